@@ -74,7 +74,7 @@ def main():
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session("compare", "local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false", spark_driver_memory="8g")
+    spark = build_session("compare", "local[8]", spark_sql_shuffle_partitions="8", spark_ui_enabled="false", spark_ui_showConsoleProgress="false", spark_driver_memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sqls = oracle_sql()
