@@ -13,7 +13,7 @@ from lumitrace.operators.cells import CELL_KEYS, cell_size, chord, fullest_cell,
 from lumitrace.workspace import materialize
 
 # A cube with more rows than this is searched at a finer radius first.
-CROWDED = 512
+CROWDED = 1024
 # Rows of one cube handled by one salt when hot cubes are spread.
 ROWS_PER_SALT = 1_000_000
 
