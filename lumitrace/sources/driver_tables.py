@@ -1,7 +1,8 @@
 """Sky tables derived from the generic test tables (they carry no sky of their own).
 
 Every event becomes a measurement of the source its user stands for, every
-day an epoch, and keys become positions spread over the sky.
+day an epoch, and keys become positions spread over the sky. A few
+milli-arcsec that depend on the event keep positions distinct.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ def measurements(spark: SparkSession, sf_dir: str, epoch_days: int = 1) -> DataF
         F.col("ts").alias("datetime"),
         epoch.cast("long").alias("epoch"),
         (epoch * 10 + kind).cast("long").alias("image_id"),
-        ((key_ra(F.col("user_id")) + offset * F.lit(2e-5) + 360.0) % F.lit(360.0)).alias("ra"),
-        (key_dec(F.col("user_id")) + offset * F.lit(1e-5)).alias("dec"),
+        ((key_ra(F.col("user_id")) + offset * F.lit(2e-5) + F.col("event_id") % 997 * F.lit(1e-8) + 360.0) % F.lit(360.0)).alias("ra"),
+        (key_dec(F.col("user_id")) + offset * F.lit(1e-5) + F.col("event_id") % 991 * F.lit(1e-8)).alias("dec"),
         peak.alias("flux_peak"),
         err.alias("flux_peak_err"),
         (peak * (1 + k / 200.0)).alias("flux_int"),
@@ -86,8 +87,8 @@ def measurements_sql(epoch_days: int = 1) -> str:
     1.0::DOUBLE / (1.0::DOUBLE + k / 50.0::DOUBLE) AS flux_peak_isl_ratio
   FROM (
     SELECT event_id AS id, user_id AS source, ts AS datetime, epoch, epoch * 10 + kind AS image_id,
-      ((user_id * 137.508::DOUBLE) % 360.0::DOUBLE + (k - 50) * 2e-5::DOUBLE + 360.0::DOUBLE) % 360.0::DOUBLE AS ra,
-      -80.0::DOUBLE + (user_id * 61.803::DOUBLE) % 160.0::DOUBLE + (k - 50) * 1e-5::DOUBLE AS dec,
+      ((user_id * 137.508::DOUBLE) % 360.0::DOUBLE + (k - 50) * 2e-5::DOUBLE + event_id % 997 * 1e-8::DOUBLE + 360.0::DOUBLE) % 360.0::DOUBLE AS ra,
+      -80.0::DOUBLE + (user_id * 61.803::DOUBLE) % 160.0::DOUBLE + (k - 50) * 1e-5::DOUBLE + event_id % 991 * 1e-8::DOUBLE AS dec,
       value + 1.0::DOUBLE AS flux_peak,
       0.5::DOUBLE + 0.05::DOUBLE * value + k / 100.0::DOUBLE AS flux_peak_err,
       (value + 1.0::DOUBLE) * (1 + k / 200.0::DOUBLE) AS flux_int,
