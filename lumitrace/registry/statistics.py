@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lumitrace.operators import pairs, stats
+from lumitrace.operators import analysis, pairs, stats
 from lumitrace.registry.base import lifted_sql, query, rnd, rnds, rounded
 from lumitrace.sources.driver_tables import measurements, measurements_sql
 
@@ -23,26 +23,30 @@ def v_sql(kind: str) -> str:
     return f"coalesce(stddev_samp(flux_{kind}) / avg(flux_{kind}), 0.0::DOUBLE)"
 
 
-def _flux_sql(kind: str) -> str:
+def _flux_sql(kind: str, r) -> str:
     f = f"flux_{kind}"
     return (
-        f"{rnd(f'avg({f})')} AS avg_{f}, {rnd(f'max({f})')} AS max_{f}, {rnd(f'min({f})')} AS min_{f}, "
-        f"{rnd(f'min({f}_isl_ratio)')} AS min_{f}_isl_ratio, {rnd(v_sql(kind))} AS v_{kind}, {rnd(eta_sql(kind))} AS eta_{kind}"
+        f"{r(f'avg({f})')} AS avg_{f}, {r(f'max({f})')} AS max_{f}, {r(f'min({f})')} AS min_{f}, "
+        f"{r(f'min({f}_isl_ratio)')} AS min_{f}_isl_ratio, {r(v_sql(kind))} AS v_{kind}, {r(eta_sql(kind))} AS eta_{kind}"
     )
 
 
-SOURCE_STATISTICS_SQL = f"""{M}
-SELECT source, count(id) AS n_meas, CAST(sum(forced::INT) AS BIGINT) AS n_meas_forced,
+def statistics_body(r=rnd) -> str:
+    """Statistics per source of CTE m; `r` rounds an expression."""
+    return f"""SELECT source, count(id) AS n_meas, CAST(sum(forced::INT) AS BIGINT) AS n_meas_forced,
   CAST(sum((NOT forced)::INT) AS BIGINT) AS n_meas_sel, CAST(sum(has_siblings::INT) AS BIGINT) AS n_sibl,
-  {rnd(f"CASE WHEN {_WAVG_RA} >= 360 THEN {_WAVG_RA} - 360 ELSE {_WAVG_RA} END")} AS wavg_ra,
-  {rnd("sum(weight_ns * dec) FILTER (NOT forced) / sum(weight_ns) FILTER (NOT forced)")} AS wavg_dec,
-  {rnd("avg(compactness) FILTER (NOT forced)")} AS avg_compactness,
-  {rnd("min(snr) FILTER (NOT forced)")} AS min_snr, {rnd("max(snr) FILTER (NOT forced)")} AS max_snr,
-  {rnd("1 / sqrt(sum(weight_ew))")} AS wavg_uncertainty_ew, {rnd("1 / sqrt(sum(weight_ns))")} AS wavg_uncertainty_ns,
-  {_flux_sql("int")}, {_flux_sql("peak")}
+  {r(f"CASE WHEN {_WAVG_RA} >= 360 THEN {_WAVG_RA} - 360 ELSE {_WAVG_RA} END")} AS wavg_ra,
+  {r("sum(weight_ns * dec) FILTER (NOT forced) / sum(weight_ns) FILTER (NOT forced)")} AS wavg_dec,
+  {r("avg(compactness) FILTER (NOT forced)")} AS avg_compactness,
+  {r("min(snr) FILTER (NOT forced)")} AS min_snr, {r("max(snr) FILTER (NOT forced)")} AS max_snr,
+  {r("1 / sqrt(sum(weight_ew))")} AS wavg_uncertainty_ew, {r("1 / sqrt(sum(weight_ns))")} AS wavg_uncertainty_ns,
+  {_flux_sql("int", r)}, {_flux_sql("peak", r)}
 FROM m GROUP BY source"""
 
 
+SOURCE_STATISTICS_SQL = f"{M} {statistics_body()}"
+
+
 @query("source_statistics", SOURCE_STATISTICS_SQL)
 def source_statistics(spark, sf_dir):
     return rounded(stats.source_statistics(measurements(spark, sf_dir)))
@@ -134,3 +138,87 @@ def average_position(spark, sf_dir):
 )
 def seen_images(spark, sf_dir):
     return stats.seen_images(measurements(spark, sf_dir))
+
+
+@query(
+    "robust_fit_one_round",
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), v AS (SELECT 'eta' AS metric, log10(eta_peak) AS value FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0
+      UNION ALL SELECT 'v', log10(v_peak) FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0),
+     a AS (SELECT v.*, abs(value - median(value) OVER (PARTITION BY metric)) AS dev FROM v),
+     b AS (SELECT a.*, median(dev) OVER (PARTITION BY metric) AS mad FROM a)
+    SELECT metric, {rnd("avg(value)", 7)} AS mean, {rnd("stddev_pop(value)", 7)} AS sigma FROM b WHERE dev <= 3 * 1.482602218505602::DOUBLE * mad GROUP BY metric""",
+)
+def robust_fit_one_round(spark, sf_dir):
+    usable = analysis.variable_candidates(stats.source_statistics(measurements(spark, sf_dir)))
+    return rounded(analysis.robust_fit(analysis.log_metrics(usable, "peak"), rounds=1), 7)
+
+
+@query(
+    "metric_histogram",
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), v AS (SELECT log10(eta_peak) AS value FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0),
+     e AS (SELECT min(value) AS lo, (max(value) - min(value)) / 50 AS w, count(*) AS n FROM v),
+     b AS (SELECT least(CAST(floor((value - lo) / w) AS BIGINT), 49) AS bin, lo, w, n FROM v, e)
+    SELECT 'eta' AS metric, bin, {rnd("lo + bin * w", 6)} AS "left", {rnd("count(*) / (n * w)", 6)} AS density FROM b GROUP BY bin, lo, w, n""",
+)
+def metric_histogram(spark, sf_dir):
+    usable = analysis.variable_candidates(stats.source_statistics(measurements(spark, sf_dir)))
+    return rounded(analysis.histogram(analysis.log_metrics(usable, "peak").filter("metric = 'eta'")))
+
+
+@query(
+    "eta_v_candidates",
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), u AS (SELECT * FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0),
+     l AS (SELECT 'eta' AS metric, log10(eta_peak) AS value FROM u UNION ALL SELECT 'v', log10(v_peak) FROM u),
+     a AS (SELECT l.*, abs(value - median(value) OVER (PARTITION BY metric)) AS dev FROM l),
+     b AS (SELECT a.*, median(dev) OVER (PARTITION BY metric) AS mad FROM a),
+     f AS (SELECT metric, avg(value) AS mean, stddev_pop(value) AS sigma FROM b WHERE dev <= 3 * 1.482602218505602::DOUBLE * mad GROUP BY metric),
+     c AS (SELECT max(pow(10, mean + sigma)) FILTER (metric = 'eta') AS ec, max(pow(10, mean + sigma)) FILTER (metric = 'v') AS vc FROM f)
+    SELECT source, {rnds("eta_peak", "v_peak")}, {rnd("ec", 5)} AS eta_cutoff, {rnd("vc", 5)} AS v_cutoff, eta_peak >= ec AND v_peak >= vc AS candidate FROM u, c""",
+)
+def eta_v_candidates(spark, sf_dir):
+    out = analysis.eta_v_analysis(stats.source_statistics(measurements(spark, sf_dir)), 1.0, 1.0, rounds=1)
+    cut = lambda c: (F.floor(F.col(c) * 1e5 + 0.5) / 1e5).alias(c)
+    return rounded(out.select("source", "eta_peak", "v_peak", cut("eta_cutoff"), cut("v_cutoff"), "candidate"))
+
+
+@query("robust_fit")
+def robust_fit(spark, sf_dir):
+    usable = analysis.variable_candidates(stats.source_statistics(measurements(spark, sf_dir)))
+    return rounded(analysis.robust_fit(analysis.log_metrics(usable, "int")))
+
+
+@query(
+    "run_counters",
+    f"""{M} SELECT (SELECT count(DISTINCT image_id) FROM m) AS n_images, (SELECT count(DISTINCT source) FROM m) AS n_sources,
+    (SELECT count(*) FROM (SELECT source FROM m GROUP BY source HAVING max(flux_peak) > 80::DOUBLE)) AS n_new_sources,
+    (SELECT count(DISTINCT id) FROM m WHERE NOT forced) AS n_selavy_measurements, (SELECT count(DISTINCT id) FROM m WHERE forced) AS n_forced_measurements""",
+)
+def run_counters(spark, sf_dir):
+    m = measurements(spark, sf_dir)
+    sources = m.groupBy("source").agg((F.max("flux_peak") > 80).alias("new"))
+    return stats.run_counters(m.select("image_id").distinct(), sources, m)
+
+
+EDGES_SQL = "SELECT source AS from_source_id, (source * 7 + k) % 120 AS to_source_id FROM m WHERE has_siblings"
+
+
+def edges(m):
+    return m.filter("has_siblings").select(F.col("source").alias("from_source_id"), ((F.col("source") * 7 + F.col("k")) % 120).alias("to_source_id"))
+
+
+@query(
+    "relation_counts",
+    f"{M}, e AS ({EDGES_SQL}) SELECT from_source_id AS source, count(DISTINCT to_source_id) AS n_rel FROM e WHERE from_source_id <> to_source_id GROUP BY 1",
+)
+def relation_counts(spark, sf_dir):
+    return stats.relation_counts(edges(measurements(spark, sf_dir)))
+
+
+@query(
+    "distinct_counts",
+    f"{M} SELECT epoch, count(DISTINCT source) AS n_sources, count(DISTINCT image_id) AS n_images, count(*) AS n FROM m GROUP BY epoch",
+)
+def distinct_counts(spark, sf_dir):
+    return measurements(spark, sf_dir).groupBy("epoch").agg(
+        F.count_distinct("source").alias("n_sources"), F.count_distinct("image_id").alias("n_images"), F.count(F.lit(1)).alias("n")
+    )

@@ -1,0 +1,54 @@
+"""Column types of the stored tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+
+_TYPES = {"bigint": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "string": T.StringType, "boolean": T.BooleanType, "timestamp": T.TimestampType}
+
+
+def _schema(**columns: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]()) for name, kind in columns.items()])
+
+
+def _same(kind: str, *names: str) -> dict[str, str]:
+    return {name: kind for name in names}
+
+
+RUNS = dict(id="bigint", name="string", description="string", time="timestamp", path="string", status="string") | _same(
+    "int", "n_images", "n_sources", "n_selavy_measurements", "n_forced_measurements", "n_new_sources"
+) | dict(epoch_based="boolean")
+BANDS = dict(id="bigint", name="string", frequency="double", bandwidth="double")
+SKY_REGIONS = dict(id="bigint") | _same("double", "centre_ra", "centre_dec", "width_ra", "width_dec", "xtr_radius", "x", "y", "z")
+IMAGES = (
+    _same("bigint", "id", "band_id", "skyreg_id")
+    | _same("string", "measurements_path", "polarisation", "name", "path", "noise_path", "background_path")
+    | dict(datetime="timestamp")
+    | _same(
+        "double", "jd", "duration", "ra", "dec", "fov_bmaj", "fov_bmin", "physical_bmaj", "physical_bmin", "radius_pixels",
+        "beam_bmaj", "beam_bmin", "beam_bpa", "rms_median", "rms_min", "rms_max",
+    )
+)
+MEASUREMENTS = (
+    dict(id="bigint", image_id="bigint", name="string", time="timestamp")
+    | _same(
+        "double", "ra", "ra_err", "dec", "dec_err", "bmaj", "err_bmaj", "bmin", "err_bmin", "pa", "err_pa", "psf_bmaj", "psf_bmin", "psf_pa",
+        "ew_sys_err", "ns_sys_err", "error_radius", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns", "flux_int", "flux_int_err",
+        "flux_int_isl_ratio", "flux_peak", "flux_peak_err", "flux_peak_isl_ratio", "chi_squared_fit", "spectral_index", "local_rms", "snr", "compactness",
+    )
+    | _same("boolean", "spectral_index_from_TT", "flag_c4", "has_siblings", "forced")
+    | _same("string", "component_id", "island_id")
+)
+ASSOCIATIONS = dict(source_id="bigint", meas_id="bigint", d2d="double", dr="double")
+RELATIONS = dict(from_source_id="bigint", to_source_id="bigint")
+
+SCHEMAS = {
+    "runs": _schema(**RUNS),
+    "bands": _schema(**BANDS),
+    "sky_regions": _schema(**SKY_REGIONS),
+    "images": _schema(**IMAGES),
+    "measurements": _schema(**MEASUREMENTS),
+    "associations": _schema(**ASSOCIATIONS),
+    "relations": _schema(**RELATIONS),
+}

@@ -13,12 +13,7 @@ from lumitrace.settings import RunSettings
 PAIRS = "id long, source long, d2d double, dr double"
 
 
-def frame(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)
-
-
-def rows_of(df, *columns):
-    return sorted(tuple(r) for r in df.select(*columns).collect())
+from helpers import frame, rows_of
 
 
 def test_forks_take_new_ids_and_history(spark):
