@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumitrace.functions.sky import _col
@@ -29,49 +29,60 @@ def position_weight(uncertainty) -> Column:
     return F.try_divide(F.lit(1.0), _col(uncertainty) * _col(uncertainty))
 
 
-def condon_errors(flux_peak, flux_int, bmaj, bmin, pa, snr, noise, beam_major, beam_minor) -> dict[str, Column]:
-    """Gaussian fit errors after Condon (1997).
+def with_condon_errors(df: DataFrame) -> DataFrame:
+    """Gaussian fit errors after Condon (1997), replacing those of the catalogue.
 
-    `bmaj` and `bmin` are arcsec, the beam is degrees. All seven errors are 0
-    when any of the sizes, fluxes, the noise or the snr is 0.
+    Reads flux_peak, flux_int, bmaj and bmin (arcsec), pa, snr, local_rms and
+    the beam beam_bmaj, beam_bmin (degrees). All seven errors are 0 when any
+    of them but pa is 0.
+
+    The shared terms are columns of their own: as one expression per error
+    they would be worked out again for each.
     """
-    major, minor = _col(bmaj) / 3600.0, _col(bmin) / 3600.0
-    theta = F.radians(_col(pa))
-    big, small = _col(beam_major), _col(beam_minor)
-    peak, integrated, snr, noise = _col(flux_peak), _col(flux_int), _col(snr), _col(noise)
-    degenerate = F.lit(False)
-    for value in (big, small, major, minor, peak, integrated, snr, noise):
-        degenerate = degenerate | (value == 0)
-
-    # Divisors that are 0 only for degenerate rows become NULL there.
-    def safe(value: Column) -> Column:
-        return F.nullif(value, F.lit(0.0))
-
-    area = major * minor / safe(4 * big * small) * snr * snr
-    ratio_major = 1 + F.pow(big / safe(major), 2)
-    ratio_minor = 1 + F.pow(small / safe(minor), 2)
+    names = df.columns
+    col = F.col
+    zero = F.lit(False)
+    for name in ("beam_bmaj", "beam_bmin", "bmaj", "bmin", "flux_peak", "flux_int", "snr", "local_rms"):
+        zero = zero | (col(name) == 0)
+    # Degenerate rows carry NULL through the formulas and end as 0.
+    df = df.withColumns({"_zero": zero, "_major": F.when(~zero, col("bmaj") / 3600.0), "_minor": F.when(~zero, col("bmin") / 3600.0)})
+    df = df.withColumns(
+        {
+            "_amp": F.sqrt(F.try_divide(col("_major") * col("_minor"), 4 * col("beam_bmaj") * col("beam_bmin"))) * F.abs("snr"),
+            "_ratio_major": F.sqrt(1 + F.pow(F.try_divide("beam_bmaj", "_major"), F.lit(2.0))),
+            "_ratio_minor": F.sqrt(1 + F.pow(F.try_divide("beam_bmin", "_minor"), F.lit(2.0))),
+        }
+    )
 
     def rho(on_major: float, on_minor: float) -> Column:
-        return safe(F.sqrt(area * F.pow(ratio_major, on_major) * F.pow(ratio_minor, on_minor)))
+        return col("_amp") * F.pow("_ratio_major", F.lit(on_major)) * F.pow("_ratio_minor", F.lit(on_minor))
 
-    rho_major, rho_minor, rho_amplitude = rho(2.5, 0.5), rho(0.5, 2.5), rho(1.5, 1.5)
+    df = df.withColumns({"_rho1": rho(2.5, 0.5), "_rho2": rho(0.5, 2.5), "_rho3": rho(1.5, 1.5)})
     fwhm = math.sqrt(4 * math.log(2))
-    along, across = major / (fwhm * rho_major), minor / (fwhm * rho_minor)
-    err_major = math.sqrt(2) * major / rho_major
-    err_minor = math.sqrt(2) * minor / rho_minor
-    tilt = F.try_divide(2 * major * minor, major * major - minor * minor) / rho_minor
-    err_pa = F.when(major > minor, F.least(tilt, F.lit(math.pi))).otherwise(math.pi)
-    err_peak = math.sqrt(2) * F.abs(peak) / rho_amplitude
-    spread = F.pow(err_major / safe(major), 2) + F.pow(err_minor / safe(minor), 2)
-    rel_peak = F.pow(err_peak / safe(peak), 2)
-    err_int = F.abs(integrated) * F.sqrt(rel_peak + big * small / safe(major * minor) * spread)
-    out = {
-        "flux_peak_err": err_peak,
-        "flux_int_err": err_int,
-        "err_bmaj": err_major,
-        "err_bmin": err_minor,
-        "err_pa": err_pa,
-        "ra_err": F.hypot(along * F.sin(theta), across * F.cos(theta)),
-        "dec_err": F.hypot(along * F.cos(theta), across * F.sin(theta)),
+    # Relative errors of both axes and of the peak.
+    df = df.withColumns(
+        {
+            "_err_major": math.sqrt(2) / col("_rho1"),
+            "_err_minor": math.sqrt(2) / col("_rho2"),
+            "_err_peak": math.sqrt(2) / col("_rho3"),
+            "_along": col("_major") / (fwhm * col("_rho1")),
+            "_across": col("_minor") / (fwhm * col("_rho2")),
+            "_sin": F.sin(F.radians("pa")),
+            "_cos": F.cos(F.radians("pa")),
+        }
+    )
+    tilt = F.try_divide(2 * col("_major") * col("_minor"), col("_major") * col("_major") - col("_minor") * col("_minor")) / col("_rho2")
+    beams = F.try_divide(col("beam_bmaj") * col("beam_bmin"), col("_major") * col("_minor"))
+    spread = col("_err_major") * col("_err_major") + col("_err_minor") * col("_err_minor")
+    errors = {
+        "flux_peak_err": F.abs("flux_peak") * col("_err_peak"),
+        "flux_int_err": F.abs("flux_int") * F.sqrt(col("_err_peak") * col("_err_peak") + beams * spread),
+        "err_bmaj": col("_major") * col("_err_major"),
+        "err_bmin": col("_minor") * col("_err_minor"),
+        "err_pa": F.when(col("_major") > col("_minor"), F.least(tilt, F.lit(math.pi))).otherwise(math.pi),
+        "ra_err": F.hypot(col("_along") * col("_sin"), col("_across") * col("_cos")),
+        "dec_err": F.hypot(col("_along") * col("_cos"), col("_across") * col("_sin")),
     }
-    return {name: F.when(degenerate, F.lit(0.0)).otherwise(value) for name, value in out.items()}
+    errors = {name: F.when(col("_zero"), F.lit(0.0)).otherwise(value) for name, value in errors.items()}
+    added = [name for name in errors if name not in names]
+    return df.withColumns(errors).select(*names, *added)

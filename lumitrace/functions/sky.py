@@ -63,14 +63,15 @@ def wrap180(angle) -> Column:
 
 
 def error_radius(ra, ra_err, dec, dec_err) -> Column:
-    """Largest separation from a position to the four corners of its error box, degrees."""
+    """Largest separation from a position to the four corners of its error box, degrees.
+
+    Corners east and west of the position are equally far, so two are enough.
+    """
     ra, dec = _col(ra), _col(dec)
-    corners = [
-        separation_arccos(ra, dec, ra + s * _col(ra_err), dec + t * _col(dec_err))
-        for s in (1, -1)
-        for t in (1, -1)
-    ]
-    return F.degrees(F.greatest(*corners))
+    east = ra + _col(ra_err)
+    north = separation_arccos(ra, dec, east, dec + _col(dec_err))
+    south = separation_arccos(ra, dec, east, dec - _col(dec_err))
+    return F.degrees(F.greatest(north, south))
 
 
 def de_ruiter(ra1, dec1, ew1, ns1, ra2, dec2, ew2, ns2) -> Column:

@@ -49,13 +49,18 @@ def with_cells_touched(df: DataFrame, ra: str, dec: str, size: float, reach) ->
 
     `reach` is a chord: a number, or a column for a radius that varies by row.
     """
-    axes = dict(zip(CELL_KEYS, unit_vector(ra, dec)))
     reach = F.lit(reach) if isinstance(reach, float) else reach
-    for key, axis in axes.items():
-        first = F.floor((axis - reach) / size)
-        last = F.floor((axis + reach) / size)
-        df = df.withColumn(key, F.explode(F.sequence(first, last)))
-    return df
+    places = [f"_at{key}" for key in CELL_KEYS]
+    # The trigonometry is done once per row, before the row is copied.
+    df = df.withColumns(dict(zip(places, unit_vector(ra, dec)))).withColumn("_reach", reach)
+    runs = {
+        place: F.sequence(F.floor((F.col(place) - F.col("_reach")) / size), F.floor((F.col(place) + F.col("_reach")) / size))
+        for place in places
+    }
+    df = df.withColumns(runs)
+    for key, place in zip(CELL_KEYS, places):
+        df = df.withColumn(key, F.explode(place)).drop(place)
+    return df.drop("_reach")
 
 
 def fullest_cell(df: DataFrame, ra: str, dec: str, size: float, by: tuple[str, ...] = ()) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumitrace.functions.fluxes import condon_errors, joint_error, position_weight
+from lumitrace.functions.fluxes import joint_error, position_weight, with_condon_errors
 from lumitrace.functions.naming import measurement_name
 from lumitrace.functions.sky import error_radius
 from lumitrace.operators.ranking import with_group_values
@@ -47,12 +47,6 @@ def with_ratios(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_condon_errors(rows: DataFrame) -> DataFrame:
-    """Errors of the Gaussian fit in place of the catalogue's own."""
-    errors = condon_errors("flux_peak", "flux_int", "bmaj", "bmin", "pa", "snr", "local_rms", "beam_bmaj", "beam_bmin")
-    return rows.withColumns(errors)
-
-
 def with_position_errors(rows: DataFrame, ra_uncertainty: float, dec_uncertainty: float) -> DataFrame:
     """Systematic (arcsec) and statistical position errors joined, and their weights."""
     rows = rows.withColumns(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lumitrace.functions.sky import separation
 from lumitrace.operators.cells import CELL_KEYS, chord, with_cell
 from lumitrace.operators.skyjoin import radius_join
+from lumitrace.workspace import materialize
 
 
 def with_centre_distance(measurements: DataFrame, images: DataFrame) -> DataFrame:
@@ -47,6 +48,7 @@ def drop_epoch_duplicates(measurements: DataFrame, limit_deg: float, by: tuple[s
         passed = passed.select(*rows.columns)
     else:
         passed = rows
+    passed = materialize(passed, "passed")
     rivals = rows.select(
         F.col("image_id").alias("_image2"), F.col("ra").alias("_ra2"), F.col("dec").alias("_dec2"), F.col("_order").alias("_order2"), *by
     )

@@ -128,9 +128,8 @@ _CONDON = {
 def condon_errors(spark, sf_dir):
     m = measurements(spark, sf_dir)
     k = F.col("k")
-    s = m.withColumns({"bmaj": (k % 20) * 1.5, "bmin": 10.0 + k % 7, "pa": k * 1.8})
-    errors = fluxes.condon_errors("flux_peak", "flux_int", "bmaj", "bmin", "pa", "snr", "local_rms", 0.0035, 0.003)
-    return rounded(s.select("id", *[e.alias(n) for n, e in errors.items()]))
+    s = m.withColumns({"bmaj": (k % 20) * 1.5, "bmin": 10.0 + k % 7, "pa": k * 1.8, "beam_bmaj": F.lit(0.0035), "beam_bmin": F.lit(0.003)})
+    return rounded(fluxes.with_condon_errors(s).select("id", *_CONDON))
 
 
 def _sexa_sql(value: str, precision: int, truncate: bool, marks: tuple[str, str, str]) -> str:
