@@ -7,11 +7,11 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# J2000 equatorial to galactic rotation (rows l=0, l=90, pole).
+# Rotation from ICRS to galactic axes (FK5 J2000 pole, with the ICRS to FK5 offset).
 GALACTIC_ROTATION = (
-    (-0.0548755604162154, -0.8734370902348850, -0.4838350155487132),
-    (0.4941094278755837, -0.4448296299600112, 0.7469822444972189),
-    (-0.8676661490190047, -0.1980763734312015, 0.4559837761750669),
+    (-0.0548756577125917, -0.8734370519556163, -0.4838350736167155),
+    (0.4941094371927275, -0.44482972122329534, 0.7469821839866675),
+    (-0.8676661375596588, -0.19807633727300059, 0.4559838136873017),
 )
 
 # Radius units, as units per degree.

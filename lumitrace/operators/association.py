@@ -257,7 +257,7 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
     info = images.select("image_id", "epoch", "skyreg_group", "ra", "dec")
     needed = ["id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns"]
     rows = measurements.select(*needed).join(info.drop("ra", "dec"), "image_id")
-    rows = materialize(with_centre_distance(rows, info), "measurements")
+    rows = with_centre_distance(rows, info)
     rows = drop_epoch_duplicates(rows, settings.epoch_duplicate_radius / ARCSEC_PER_DEG, ("skyreg_group", "epoch"))
     if settings.method == "deruiter":
         limit: Column = F.lit(settings.beamwidth_limit / 2) * F.col("_beam")

@@ -32,8 +32,8 @@ def chord(radius_deg: float) -> float:
 def cell_size(radius_deg: float) -> float:
     """Cube edge for a search radius.
 
-    At twice the chord a box touches one or two cubes per axis, so copying a
-    row costs 3.4 rows on average instead of 27 at one chord.
+    At twice the chord a box touches two cubes per axis: 8 copies of a row
+    instead of the 27 of a grid at one chord, for little more candidates.
     """
     return 2 * chord(radius_deg)
 

@@ -32,7 +32,8 @@ def drop_epoch_duplicates(measurements: DataFrame, limit_deg: float, by: tuple[s
     compared with the neighbourhood.
     """
     order = F.struct("dist_from_centre", "id")
-    rows = measurements.select("id", "image_id", "ra", "dec", "dist_from_centre", *by).withColumn("_order", order)
+    rows = measurements.select("id", "image_id", "ra", "dec", *by, order.alias("_order"))
+    rows = materialize(rows, "rows")
     # Cube diagonal = chord of the limit; shrunk so rounding cannot lie.
     edge = chord(limit_deg) / math.sqrt(3) * (1 - 1e-6)
     filed = with_cell(rows, "ra", "dec", edge) if limit_deg * 3600 > 0.25 else None

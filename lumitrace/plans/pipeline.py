@@ -14,19 +14,19 @@ from lumitrace.workspace import materialize
 RUN_TABLES = ["images", "sources", "associations", "relations", "measurements"]
 
 
-def ingest(rows: DataFrame, images: DataFrame, settings: RunSettings, root: str, existing: DataFrame | None = None) -> DataFrame:
+def ingest(rows: DataFrame, images: DataFrame, settings: RunSettings, root: str, known: DataFrame | None = None) -> DataFrame:
     """Clean catalogue rows and add them to the stored measurements, by image.
 
-    `existing` holds image_id of images that are stored already; their rows
-    are skipped. New rows get ids in (image, component) order after the
-    highest stored one. Returns the rows added.
+    `known` holds id, image_id and forced of all measurements there are, those
+    forced by runs included: images with rows of their own are skipped, and
+    new ids follow the highest known one, in (image, component) order.
+    Returns the rows added.
     """
     top = 0
-    if existing is not None:
-        rows = rows.join(existing.select("image_id"), "image_id", "left_anti")
-        if not existing.isEmpty():
-            stored = rows.sparkSession.read.parquet(root)
-            top = stored.agg(F.max("id")).first()[0] or 0
+    if known is not None:
+        stored = known.filter("NOT forced").select("image_id").distinct()
+        rows = rows.join(stored, "image_id", "left_anti")
+        top = known.agg(F.max("id")).first()[0] or 0
     cleaned = clean.clean_components(rows, images, settings)
     added = materialize(dense_index(cleaned, ["image_id", "component_id"], "id", top + 1), "ingested")
     write_by_image(added, root)
@@ -75,7 +75,8 @@ def run(
     and the beam. With `wcs` and `noise_pixels` new sources are flagged; with
     `settings.monitor` and `fits` (source, image_id, flux, flux_err, chi2)
     gaps are filled. `prior` holds the tables of an earlier run of the same
-    settings: only images that are not in it are associated.
+    settings: only images that are not in it are associated, and the ids of
+    its forced measurements must not be among the new ones.
     """
     images = materialize(images, "images")
     measurements = clean.with_flux_fraction(measurements, settings.flux_fractional_error)
