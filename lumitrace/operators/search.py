@@ -246,6 +246,21 @@ def image_list(images: DataFrame, bands: DataFrame) -> DataFrame:
     return images.join(bands.select(F.col("id").alias("band_id"), "frequency"), "band_id", "left").orderBy("datetime")
 
 
+def measurement_list(measurements: DataFrame, images: DataFrame, bands: DataFrame) -> DataFrame:
+    """Measurements with image name and frequency, in RA order."""
+    info = images.select(F.col("id").alias("image_id"), F.col("name").alias("image_name"), "band_id")
+    frequency = bands.select(F.col("id").alias("band_id"), "frequency")
+    return measurements.join(info, "image_id").join(frequency, "band_id", "left").orderBy("ra")
+
+
+def run_list(runs: DataFrame, sources: DataFrame, run_images: DataFrame) -> DataFrame:
+    """Runs by name, with the numbers of their images and sources."""
+    n_sources = sources.groupBy(F.col("run_id").alias("id")).agg(F.count(F.lit(1)).alias("n_sources"))
+    n_images = run_images.groupBy(F.col("run_id").alias("id")).agg(F.count_distinct("image_id").alias("n_images"))
+    joined = runs.join(n_sources, "id", "left").join(n_images, "id", "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_sources", "n_images")}).orderBy("name")
+
+
 def favourites_of(sources: DataFrame, favourites: DataFrame, user: str) -> DataFrame:
     """Sources a user has marked."""
     mine = favourites.filter(F.col("user") == user).select(F.col("source_id").alias("id"))

@@ -28,7 +28,6 @@ def radius_join(
     right_pos: Position = ("ra_2", "dec_2"),
     by: tuple[str, ...] = (),
     spread_hot: bool = False,
-    broadcast_right: bool = False,
 ) -> DataFrame:
     """All pairs with separation <= radius, with the distance in degrees as `sep`.
 
@@ -43,8 +42,6 @@ def radius_join(
     if spread_hot:
         filed, copied = _salted(filed, copied, keys)
         keys = [*keys, "_salt"]
-    if broadcast_right:
-        copied = F.broadcast(copied)
     distance = separation(*left_pos, *right_pos)
     return filed.join(copied, keys).withColumn("sep", distance).filter(F.col("sep") <= radius_deg).drop(*CELL_KEYS, "_salt")
 

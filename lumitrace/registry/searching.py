@@ -299,3 +299,15 @@ def first_and_last_rows(spark, sf_dir):
     first = ranking.first_by(m, ["source"], ["datetime", "id"]).select("source", F.col("id").alias("first_id"))
     last = ranking.first_by(m, ["source"], ["datetime", "id"], last=True).select("source", F.col("id").alias("last_id"))
     return first.join(last, "source")
+
+
+@query("measurement_list", f"{CTE}, im AS ({run_images_sql()}) SELECT m.id, im.name AS image_name, CAST(888 + image_id % 3 AS BIGINT) AS frequency, {rnd('m.ra')} AS ra FROM m JOIN im USING (image_id)")
+def measurement_list(spark, sf_dir):
+    im = run_images(spark, sf_dir).withColumn("band_id", F.col("image_id") % 3)
+    bands = im.select(F.col("band_id").alias("id"), (888 + F.col("band_id")).alias("frequency")).distinct()
+    return rounded(search.measurement_list(measurements(spark, sf_dir), im, bands).select("id", "image_name", "frequency", "ra"))
+
+
+@query("run_list", f"{CTE}, {_RUN_IMAGES} SELECT id, name, status, (SELECT count(*) FROM src WHERE run_id = runs.id) AS n_sources, (SELECT count(*) FROM ri WHERE run_id = runs.id) AS n_images FROM runs")
+def run_list(spark, sf_dir):
+    return search.run_list(runs(spark, sf_dir), sources(spark, sf_dir), run_images_links(spark, sf_dir))
