@@ -277,7 +277,8 @@ def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings,
     spark = measurements.sparkSession
     rows = prepare_rows(measurements, images, settings)
     prepared = new_path(spark, "epochs")
-    rows.write.partitionBy("epoch").parquet(prepared)
+    # Ranges of (epoch, id): few files per epoch, and a large epoch over several tasks.
+    rows.repartitionByRange("epoch", "id").write.partitionBy("epoch").parquet(prepared)
     rows = spark.read.schema(rows.schema).parquet(prepared)
     # One number per epoch reaches the driver: the widest search radius.
     limits = rows.groupBy("epoch").agg(F.max("_limit").alias("limit")).orderBy("epoch").collect()

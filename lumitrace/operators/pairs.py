@@ -62,10 +62,16 @@ def _with_bounds(measurements: DataFrame, kinds: tuple[str, ...], min_abs_vs: fl
 
 
 def _ends(rows: DataFrame, kind: str, keep: list[str]) -> DataFrame:
-    """Brighter and fainter ends joined per source; large sources are split over salts."""
-    salts = F.ceil(F.col("_n") / ROWS_PER_SALT)
-    high = rows.filter(f"_high_{kind}").withColumn("_salt", F.pmod(F.xxhash64("id"), salts))
-    low = rows.filter(f"_low_{kind}").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+    """Brighter and fainter ends joined per source.
+
+    Only sources with both kinds of ends are kept. Where a source has many
+    brighter ends left, they are split over salts and its fainter ends copied.
+    """
+    left = rows.groupBy("source").agg(F.count_if(f"_high_{kind}").alias("_highs"), F.count_if(f"_low_{kind}").alias("_lows"))
+    left = left.filter("_highs > 0 AND _lows > 0").select("source", F.ceil(F.col("_highs") / ROWS_PER_SALT).alias("_salts"))
+    rows = rows.join(left, "source")
+    high = rows.filter(f"_high_{kind}").withColumn("_salt", F.pmod(F.xxhash64("id"), "_salts"))
+    low = rows.filter(f"_low_{kind}").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
     high = high.select("source", "_salt", *[F.col(c).alias(f"{c}_h") for c in keep])
     low = low.select("source", "_salt", *[F.col(c).alias(f"{c}_l") for c in keep])
     return high.join(low, ["source", "_salt"]).drop("_salt")

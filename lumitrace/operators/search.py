@@ -91,14 +91,15 @@ def measurements_of_source(measurements: DataFrame, associations: DataFrame, sou
     return measurements.join(linked, "id", "left_semi")
 
 
-def siblings(measurements: DataFrame) -> DataFrame:
-    """(id, sibling_id): other measurements of the same island of the same image.
+def siblings(measurements: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Measurements in the same island of the same image as any of the chosen ones (id), other than itself.
 
-    Only rows flagged as having siblings are joined, so the pairs are those asked for.
+    Islands are summed up first, so no pairs are formed however large one is.
     """
-    me = measurements.filter("has_siblings").select("id", "image_id", "island_id")
-    other = measurements.select(F.col("id").alias("sibling_id"), "image_id", "island_id")
-    return me.join(other, ["image_id", "island_id"]).filter("id <> sibling_id").select("id", "sibling_id")
+    marked = measurements.join(chosen.select("id"), "id", "left_semi")
+    islands = marked.groupBy("image_id", "island_id").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_one"))
+    near = measurements.join(islands, ["image_id", "island_id"]).filter("_n > 1 OR _one <> id")
+    return near.select(*measurements.columns)
 
 
 def siblings_of(measurements: DataFrame, measurement_id: int) -> DataFrame:

@@ -104,10 +104,11 @@ def measurements_of_source(spark, sf_dir):
 
 @query(
     "sibling_measurements",
-    f"{CTE}, i AS (SELECT id, image_id, island_id, k % 2 = 0 AS has_siblings FROM m) SELECT a.id, b.id AS sibling_id FROM i a JOIN i b ON a.image_id = b.image_id AND a.island_id = b.island_id AND a.id <> b.id WHERE a.has_siblings",
+    f"{CTE} SELECT DISTINCT b.id, b.image_id FROM m a JOIN m b ON a.image_id = b.image_id AND a.island_id = b.island_id AND a.id <> b.id WHERE a.k >= 50",
 )
 def sibling_measurements(spark, sf_dir):
-    return search.siblings(measurements(spark, sf_dir).withColumn("has_siblings", F.col("k") % 2 == 0))
+    m = measurements(spark, sf_dir)
+    return search.siblings(m, m.filter("k >= 50")).select("id", "image_id")
 
 
 @query("siblings_of_measurement", f"{CTE} SELECT b.id FROM m a JOIN m b ON a.image_id = b.image_id AND a.island_id = b.island_id AND a.id <> b.id WHERE a.id = (SELECT min(id) FROM (SELECT min(id) AS id FROM m GROUP BY image_id, island_id HAVING count(*) > 1))")
