@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lumitrace.functions.fluxes import m_metric, vs_metric
 from lumitrace.settings import DEFAULTS, PAIR_EDGE_MIN_ABS_M, PAIR_EDGE_MIN_ABS_VS
+from lumitrace.workspace import materialize
 
 # Rows of one source on one salt of the pair join.
 ROWS_PER_SALT = 20_000
@@ -87,6 +88,8 @@ def significant_pairs(measurements: DataFrame, min_abs_vs: float = DEFAULTS["min
         raise ValueError("min_abs_vs must be positive: the pairs of a source grow with the square of its rows")
     keep = ["id", "datetime", "image_id", *_FLUXES]
     rows = _with_bounds(measurements.select("source", *keep), ("peak", "int"), min_abs_vs)
+    # Few rows are left and each is read several times below.
+    rows = materialize(rows.filter("_high_peak OR _low_peak OR _high_int OR _low_int"), "ends")
     found = {}
     for kind in ("peak", "int"):
         ends = _ends(rows, kind, keep)
@@ -156,7 +159,9 @@ def most_significant_pair(measurements: DataFrame, kind: str, min_abs_vs: float
     if min_abs_vs <= 0:
         raise ValueError("min_abs_vs must be positive")
     keep = ["id", "datetime", f"flux_{kind}", f"flux_{kind}_err"]
-    rows = _undominated(_with_bounds(measurements.select("source", *keep), (kind,), min_abs_vs), kind)
+    bounded = _with_bounds(measurements.select("source", *keep), (kind,), min_abs_vs)
+    rows = _undominated(bounded.filter(f"_high_{kind} OR _low_{kind}"), kind)
+    rows = materialize(rows.filter(f"_high_{kind} OR _low_{kind}"), "ends")
     ends = _ends(rows, kind, keep)
     vs = F.abs(vs_metric(f"flux_{kind}_h", f"flux_{kind}_l", f"flux_{kind}_err_h", f"flux_{kind}_err_l"))
     m = F.abs(m_metric(f"flux_{kind}_h", f"flux_{kind}_l"))
