@@ -50,11 +50,13 @@ def robust_fit(values: DataFrame, rounds: int = CLIP_ROUNDS) -> DataFrame:
     return values.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("sigma"))
 
 
-def eta_v_analysis(sources: DataFrame, eta_sigma: float, v_sigma: float, kind: str = "peak", rounds: int = CLIP_ROUNDS) -> DataFrame:
+def eta_v_analysis(
+    sources: DataFrame, eta_sigma: float, v_sigma: float, kind: str = "peak", rounds: int = CLIP_ROUNDS, min_sources: int = MIN_SOURCES
+) -> DataFrame:
     """Usable sources with the cutoffs of the run and whether they exceed both."""
     usable = materialize(variable_candidates(sources), "usable")
-    if usable.limit(MIN_SOURCES).count() < MIN_SOURCES:
-        raise ValueError(f"an analysis needs at least {MIN_SOURCES} sources")
+    if usable.limit(min_sources).count() < min_sources:
+        raise ValueError(f"an analysis needs at least {min_sources} sources")
     fit = robust_fit(log_metrics(usable, kind), rounds)
     sigmas = F.when(F.col("metric") == "eta", F.lit(float(eta_sigma))).otherwise(F.lit(float(v_sigma)))
     cut = fit.withColumn("cut", F.pow(F.lit(10.0), F.col("mean") + sigmas * F.col("sigma")))

@@ -176,7 +176,7 @@ def metric_histogram(spark, sf_dir):
     SELECT source, {rnds("eta_peak", "v_peak")}, {rnd("ec", 5)} AS eta_cutoff, {rnd("vc", 5)} AS v_cutoff, eta_peak >= ec AND v_peak >= vc AS candidate FROM u, c""",
 )
 def eta_v_candidates(spark, sf_dir):
-    out = analysis.eta_v_analysis(stats.source_statistics(measurements(spark, sf_dir)), 1.0, 1.0, rounds=1)
+    out = analysis.eta_v_analysis(stats.source_statistics(measurements(spark, sf_dir)), 1.0, 1.0, rounds=1, min_sources=2)
     cut = lambda c: (F.floor(F.col(c) * 1e5 + 0.5) / 1e5).alias(c)
     return rounded(out.select("source", "eta_peak", "v_peak", cut("eta_cutoff"), cut("v_cutoff"), "candidate"))
 
