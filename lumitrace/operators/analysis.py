@@ -58,14 +58,12 @@ def eta_v_analysis(
     if usable.limit(min_sources).count() < min_sources:
         raise ValueError(f"an analysis needs at least {min_sources} sources")
     fit = robust_fit(log_metrics(usable, kind), rounds)
-    sigmas = F.when(F.col("metric") == "eta", F.lit(float(eta_sigma))).otherwise(F.lit(float(v_sigma)))
-    cut = fit.withColumn("cut", F.pow(F.lit(10.0), F.col("mean") + sigmas * F.col("sigma")))
-    # One row with the two cutoffs.
-    cuts = cut.groupBy(F.lit(1).alias("_k")).agg(
-        F.max(F.when(F.col("metric") == "eta", F.col("cut"))).alias("eta_cutoff"), F.max(F.when(F.col("metric") == "v", F.col("cut"))).alias("v_cutoff")
-    )
-    flagged = usable.withColumn("_k", F.lit(1)).join(F.broadcast(cuts), "_k").drop("_k")
-    return flagged.withColumn("candidate", (F.col(f"eta_{kind}") >= F.col("eta_cutoff")) & (F.col(f"v_{kind}") >= F.col("v_cutoff")))
+    # Two rows, one per metric, reach the driver.
+    fitted = {r["metric"]: (r["mean"], r["sigma"]) for r in fit.collect()}
+    eta_cutoff = 10 ** (fitted["eta"][0] + eta_sigma * fitted["eta"][1])
+    v_cutoff = 10 ** (fitted["v"][0] + v_sigma * fitted["v"][1])
+    above = (F.col(f"eta_{kind}") >= eta_cutoff) & (F.col(f"v_{kind}") >= v_cutoff)
+    return usable.withColumns({"eta_cutoff": F.lit(eta_cutoff), "v_cutoff": F.lit(v_cutoff), "candidate": above})
 
 
 def histogram(values: DataFrame, bins: int = BINS) -> DataFrame:

@@ -82,27 +82,28 @@ def assign_bands(frequencies: DataFrame, bands: DataFrame | None = None) -> tupl
     distinct frequencies are folded in order. There are at most as many as
     integer MHz values, whatever the number of images.
     """
-    distinct = frequencies.groupBy("frequency").agg(F.min("first_seen").alias("first_seen"))
-    start = F.array().cast("array<double>")
+    distinct = frequencies.groupBy("frequency").agg(F.min("first_seen").alias("place"))
+    rows = distinct.select("place", F.col("frequency").cast("double").alias("f"), F.lit(False).alias("known"))
     if bands is not None:
-        known = bands.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "frequency"))), lambda b: b["frequency"].cast("double")).alias("_known"))
-    in_order = distinct.groupBy().agg(F.array_sort(F.collect_list(F.struct("first_seen", "frequency"))).alias("_f"))
-    if bands is not None:
-        in_order = in_order.withColumn("_k", F.lit(1)).join(known.withColumn("_k", F.lit(1)), "_k")
-        start = F.coalesce("_known", start)
-    fits = lambda bs, f: F.exists(bs, lambda b: F.abs(f - b) / b < BAND_TOLERANCE)
+        rows = rows.unionByName(bands.select(F.col("id").alias("place"), F.col("frequency").cast("double").alias("f"), F.lit(True).alias("known")))
+    # collect_list leaves out the NULLs that `when` gives for the other kind of row.
+    entry = F.struct("place", "f")
+    lists = rows.groupBy().agg(
+        F.array_sort(F.collect_list(F.when(~F.col("known"), entry))).alias("_new"),
+        F.array_sort(F.collect_list(F.when(F.col("known"), entry))).alias("_known"),
+    )
+    fits = lambda f: lambda b: F.abs(f - b) / b < BAND_TOLERANCE
     fold = F.aggregate(
-        "_f",
-        start,
-        lambda acc, x: F.when(fits(acc, x["frequency"].cast("double")), acc).otherwise(F.concat(acc, F.array(x["frequency"].cast("double")))),
+        "_new",
+        F.transform("_known", lambda b: b["f"]),
+        lambda acc, x: F.when(F.exists(acc, fits(x["f"])), acc).otherwise(F.concat(acc, F.array(x["f"]))),
     )
-    folded = in_order.select(fold.alias("bands"))
+    folded = lists.select("_new", fold.alias("bands"))
     table = folded.select(F.posexplode("bands").alias("pos", "band"))
     table = table.select((F.col("pos") + 1).cast("long").alias("band_order"), F.col("band").alias("band_frequency"))
-    # First band in order that fits: few bands, each frequency tested against all in one expression.
-    place = F.expr("filter(bands, b -> abs(frequency - b) / b < %s)[0]" % BAND_TOLERANCE)
-    of = distinct.withColumn("_k", F.lit(1)).join(F.broadcast(folded.withColumn("_k", F.lit(1))), "_k")
-    return of.select("frequency", place.alias("band_frequency")), table
+    # The first band in order that fits each frequency.
+    place = F.transform("_new", lambda x: F.struct(x["f"].cast("long").alias("frequency"), F.get(F.filter("bands", fits(x["f"])), F.lit(0)).alias("band_frequency")))
+    return folded.select(F.inline(place)), table
 
 
 def get_or_create_regions(images: DataFrame, regions: DataFrame) -> DataFrame:

@@ -108,6 +108,6 @@ def run_counters(images: DataFrame, sources: DataFrame, measurements: DataFrame)
         F.coalesce(F.sum((~F.col("forced")).cast("long")), F.lit(0)).alias("n_selavy_measurements"),
         F.coalesce(F.sum(F.col("forced").cast("long")), F.lit(0)).alias("n_forced_measurements"),
     )
-    # Three one-row frames side by side, keyed by a constant.
-    frames = [f.withColumn("_k", F.lit(1)) for f in (n_images, n_sources, n_meas)]
-    return frames[0].join(frames[1], "_k").join(frames[2], "_k").drop("_k")
+    # Three one-row frames laid over each other.
+    rows = n_images.unionByName(n_sources, allowMissingColumns=True).unionByName(n_meas, allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
