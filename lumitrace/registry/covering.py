@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from lumitrace.operators import coverage, forced, pixels, stats
 from lumitrace.registry.base import lifted_sql, query, rnd, rnds, rounded, sep_sql
-from lumitrace.registry.scalars import _tangent_sql
 from lumitrace.settings import RunSettings
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, table
 

@@ -9,7 +9,7 @@ from lumitrace.registry.scalars import POSITION_NAME_SQL
 from lumitrace.registry.statistics import _AGG_NAMES, _best_pair_sql, EDGES_SQL, PAIRS_CTE, edges, statistics_body
 from lumitrace.settings import RunSettings
 from lumitrace.sources import exports
-from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, run_images, run_images_sql, sky_rows, sky_rows_sql, table
+from lumitrace.sources.driver_tables import measurements, measurements_sql, run_images, run_images_sql, sky_rows, sky_rows_sql, table
 
 M = f"WITH m AS ({measurements_sql()})"
 

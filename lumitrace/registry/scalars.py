@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lumitrace.functions import coords, display, fluxes, naming, sky
 from lumitrace.operators import settings_tables
-from lumitrace.registry.base import query, rnd, rnds, rounded, sep_sql
+from lumitrace.registry.base import query, rnd, rounded, sep_sql
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, sky_rows, sky_rows_sql, table
 
 C = f"WITH c AS ({sky_rows_sql('customer', 'c_custkey')})"

@@ -2,11 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from lumitrace.functions.naming import selection_names
-from lumitrace.operators import ranking, search, skyjoin, stats
+from lumitrace.operators import ranking, search, stats
 from lumitrace.registry.base import query, rnd, rnds, rounded, sep_sql
 from lumitrace.registry.lifecycle import _STATUS
-from lumitrace.registry.scalars import POSITION_NAME_SQL, _B, _L, _dms_sql, _hms_sql
+from lumitrace.registry.scalars import _B, _L, _dms_sql, _hms_sql
 from lumitrace.registry.statistics import PAIRS_CTE, edges, EDGES_SQL, statistics_body
 from lumitrace.sources.driver_tables import measurements, measurements_sql, run_images, run_images_sql, table
 
