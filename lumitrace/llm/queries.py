@@ -5,10 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from lumitrace.llm import frames, language, packing
+from lumitrace.llm import decontamination, frames, language, lattice, line_templates, near_duplicates, packing, toxicity
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op2_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    return toxicity.toxic_scores(frames.table(spark, sf_dir, "documents"), frames.table(spark, sf_dir, "labels"))
+
+
+def op3_benchmark_decontamination(spark, sf_dir):
+    """Benchmark passages in every document."""
+    found = decontamination.contamination(frames.table(spark, sf_dir, "documents"), frames.table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
+
+
+def op5_minhash_near_dedup(spark, sf_dir):
+    """Class of near copies of every document."""
+    return near_duplicates.components(frames.table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op6_language_id(spark, sf_dir):
@@ -21,5 +40,54 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(frames.table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
-QUERIES: dict[str, Callable] = {f.__name__: f for f in (op6_language_id, op7_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+def op9_line_dedup(spark, sf_dir):
+    """Documents without lines of recurring templates."""
+    return line_templates.dedupe_lines(frames.table(spark, sf_dir, "documents"))
+
+
+def op10_lm_scoring(spark, sf_dir):
+    """Log probability of every document."""
+    return lattice.score(frames.table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
+_FOLDED = f"translate(coalesce(text, ''), '{frames.UPPER}', '{frames.LOWER}')"
+
+_SHINGLES = rf"""
+words AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s + 1 : s + 5], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) AS s FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)
+"""
+
+_OP3 = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all({_FOLDED}, '{decontamination.WORD}') AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), 13) AS k FROM (SELECT item_id, regexp_extract_all({_FOLDED}, '{decontamination.WORD}') AS w FROM benchmark) WHERE len(w) > 0 AND item_id IS NOT NULL),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[s + 1 : s + k], ' ') AS g FROM (SELECT *, unnest(range(0, len(w) - k + 1)) AS s FROM items)),
+places AS (SELECT doc_id, k, s, array_to_string(w[s + 1 : s + k], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS s FROM docs, (SELECT DISTINCT k FROM items))),
+hits AS (SELECT doc_id, item_id, s, p.k FROM places p JOIN windows USING (k, g)),
+covered AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS i FROM (SELECT DISTINCT doc_id, s, k FROM hits)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_OP5 = f"""
+WITH RECURSIVE {_SHINGLES.strip()},
+pairs AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS inter FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * inter >= 75 * (p.n + q.n - inter)
+),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN edges ON other = a)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id, d.doc_id = m AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other) AS m FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+QUERIES: dict[str, Callable] = {
+    f.__name__: f
+    for f in (op2_toxicity, op3_benchmark_decontamination, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_lm_scoring)
+}
+ORACLES: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5}
