@@ -144,3 +144,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, o
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     out = out.withColumn("n_hit", hit).withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
+    """`docs` without the contaminated rows."""
+    found = contamination(docs, benchmark, window, one_in).filter("contaminated")
+    return frames.without(docs, materialize(found.select("doc_id", "text_key"), "contaminated"))

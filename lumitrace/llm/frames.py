@@ -121,3 +121,21 @@ class BitFilter:
         """Which of these uint64 keys may be in it."""
         place = keys & np.uint64(self.bits - 1)
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """The row as `row` beside doc_id, text and text_key, so no column of its can clash with one that an operator adds."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
+        "text_key", F.xxhash64("text", F.col("text").isNull())
+    )
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of `row` again, some of them replaced."""
+    return rows.select(*[(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in columns])
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs` less the rows whose doc_id and text_key are in `dropped`."""
+    rows = on_key(whole_rows(docs), dropped.select("doc_id", "text_key").distinct().hint("shuffle_hash"), ["doc_id", "text_key"], "left_anti")
+    return unpacked(rows, docs.columns)

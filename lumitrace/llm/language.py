@@ -154,3 +154,11 @@ def identify(docs: DataFrame, learn: Column | None = None) -> DataFrame:
     predict = predicted(model, docs.sparkSession)
     scored = rows.select("doc_id", held.alias("held_out"), predict("text").alias("p"))
     return scored.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
+def in_known_language(docs: DataFrame, learn: Column | None = None) -> DataFrame:
+    """`docs` without the rows that no language is found for: NULL texts and texts without a letter."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    may = F.coalesce(frames.bucket(F.col("doc_id"), 4) != 2, F.lit(False)) if learn is None else learn
+    predict = predicted(train(own.filter(may)), docs.sparkSession)
+    return docs.filter(predict(F.col("text").cast("string"))["lang_pred"] != UNKNOWN)

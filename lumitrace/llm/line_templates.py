@@ -128,3 +128,13 @@ def dedupe_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFra
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
     return out.select("doc_id", n_lines.alias("n_lines"), F.size(dropped).alias("n_dropped"), kept_text().alias("text"), F.array_sort(dropped).alias("dropped"))
+
+
+def without_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """`docs` with the recurring lines out of `text`, and n_chars, if there is one, counted anew."""
+    gone = recurring_lines(materialize(parsed(docs), "lines"), min_documents)
+    rows = frames.on_key(frames.whole_rows(docs), gone.hint("shuffle_hash"), ["doc_id", "text_key"]).withColumn("text", kept_text())
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("dropped").isNull(), F.col("row.n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return frames.unpacked(rows, docs.columns, **changed)

@@ -184,3 +184,19 @@ def components(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) ->
     out = named.drop("signature").join(plain, "set_id").select("doc_id", "text_key", "n_shingles", "component_id")
     empty = signed.filter("set_id IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """`docs` with one row of every component: that of the smallest id, and among rows of that id one."""
+    found = materialize(components(docs, size, threshold), "components")
+    dropped = found.filter("NOT kept").select("doc_id", "text_key")
+    stay = found.filter("kept AND n_shingles > 0")
+    several = stay.groupBy("doc_id", "component_id").agg(F.count(F.lit(1)).alias("n"), F.min("text_key").alias("text_key")).filter("n > 1")
+    several = materialize(several.select("doc_id", "text_key"), "several")
+    if several.isEmpty():
+        return frames.without(docs, dropped)
+    # Ids given to more than one row: the row chosen is taken once, all others of the id in a component go.
+    repeated = frames.on_key(stay.select("doc_id", "text_key"), several.select("doc_id").distinct(), ["doc_id"], "left_semi")
+    rest = frames.without(docs, dropped.unionByName(repeated))
+    chosen = frames.on_key(frames.whole_rows(docs), several, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return rest.unionByName(frames.unpacked(chosen, docs.columns))

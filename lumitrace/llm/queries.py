@@ -7,12 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lumitrace.llm import decontamination, frames, language, lattice, line_templates, near_duplicates, packing, toxicity
+from lumitrace.llm import decontamination, frames, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_license_scans(spark, sf_dir):
+    """Licences named in every document."""
+    found = licenses.licences(frames.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[F.array_join(c, ",").alias(c) for c in ("sentences", "licences", "unmatched")])
+
+
 def op2_toxicity(spark, sf_dir):
     """Toxicity of every document."""
     return toxicity.toxic_scores(frames.table(spark, sf_dir, "documents"), frames.table(spark, sf_dir, "labels"))
@@ -25,6 +31,11 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest, "contaminated")
 
 
+def op4_approximate_neighbours(spark, sf_dir):
+    """Ten nearest vectors of every hundredth one."""
+    return neighbours.nearest(frames.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 def op5_minhash_near_dedup(spark, sf_dir):
     """Class of near copies of every document."""
     return near_duplicates.components(frames.table(spark, sf_dir, "documents")).drop("text_key")
@@ -40,6 +51,15 @@ def op7_best_fit_packing(spark, sf_dir):
     return packing.pack(frames.table(spark, sf_dir, "documents"), WORD_TOKENIZER)
 
 
+def op8_secret_scans(spark, sf_dir):
+    """Secrets in every document."""
+    found = secrets.scan(frames.table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda b: b["k"] == k)).cast("long").alias(f"n_{secrets.KINDS[k]}")
+    number = [count(k) for k in range(3)]
+    joined = lambda spans: F.array_join(F.transform(spans, lambda b: b["text"]), ",")
+    return found.select("doc_id", *number, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op9_line_dedup(spark, sf_dir):
     """Documents without lines of recurring templates."""
     return line_templates.dedupe_lines(frames.table(spark, sf_dir, "documents"))
@@ -88,6 +108,6 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other)
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op2_toxicity, op3_benchmark_decontamination, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op9_line_dedup, op10_lm_scoring)
+    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring)
 }
-ORACLES: dict[str, str] = {"op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5}
+ORACLES: dict[str, str] = {"op1_license_scans": licenses.sql(), "op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5}
