@@ -251,8 +251,9 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
     skyreg_group. `_ord` is the order new sources are numbered in: RA where
     an epoch has several images, else the id alone.
     """
-    if "skyreg_group" not in images.columns:
-        images = images.withColumn("skyreg_group", F.lit(0).cast("long"))
+    # Images without a group share one; the group is a key of joins, where NULL would match nothing.
+    group = F.coalesce(F.col("skyreg_group").cast("long"), F.lit(0)) if "skyreg_group" in images.columns else F.lit(0)
+    images = images.withColumn("skyreg_group", group.cast("long"))
     per_epoch = images.groupBy("skyreg_group", "epoch").agg(F.count(F.lit(1)).alias("_images"), F.max("beam_bmaj").alias("_beam"))
     info = images.select("image_id", "epoch", "skyreg_group", "ra", "dec")
     needed = ["id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns"]
@@ -364,7 +365,8 @@ def rebuild(associations: DataFrame, measurements: DataFrame, relations: DataFra
     Sums come from measurements that are not forced; forced ones stay in the
     history. Without new images this is also the state to carry on with.
     """
-    info = images.select("image_id", "skyreg_group" if "skyreg_group" in images.columns else F.lit(0).cast("long").alias("skyreg_group"))
+    group = F.coalesce(F.col("skyreg_group").cast("long"), F.lit(0)) if "skyreg_group" in images.columns else F.lit(0)
+    info = images.select("image_id", group.cast("long").alias("skyreg_group"))
     rows = associations.select("source", F.col("meas_id").alias("id")).join(measurements.filter("NOT forced"), "id")
     state = materialize(add_sums(contributions(rows.join(info, "image_id"))), "state")
     top = associations.agg(F.max("source")).first()[0] or 0

@@ -52,6 +52,6 @@ def group_regions(regions: DataFrame) -> DataFrame:
 
 
 def attach_groups(images: DataFrame, groups: DataFrame) -> DataFrame:
-    """Images with the group of their sky region."""
+    """Images with the group of their sky region; images outside all regions share group 0."""
     named = groups.select(F.col("id").alias("skyreg_id"), "skyreg_group")
-    return images.join(named, "skyreg_id", "left")
+    return images.join(named, "skyreg_id", "left").withColumn("skyreg_group", F.coalesce("skyreg_group", F.lit(0)))

@@ -103,9 +103,48 @@ def weighted_positions(spark, sf_dir):
     return rounded(association.positions(state).select("source", "src_ra", "src_dec", "src_ew"))
 
 
-@query("association_six_epochs")
+#: Epochs that `chain_sql` unrolls; those that the tables lack are empty steps.
+UNROLLED = 8
+
+
+def chain_sql(days: int, group: str = "0", before: str = "") -> str:
+    """CTEs up to `h`: the history (source, grp, meas_id, d2d) of a basic run over all epochs, with region group `group` of image im."""
+    lim, dup = f"({RADIUS}::DOUBLE / 3600)", f"({DUPLICATE}::DOUBLE / 3600)"
+    lifted = f"sum(weight_ew * {lifted_sql('ra')}) / sum(weight_ew)"
+    ctes = [
+        f"{before}m AS ({measurements_sql(days)})",
+        f"im AS (SELECT im.*, {group} AS grp FROM ({run_images_sql(days)}) im)",
+        f"d AS (SELECT m.*, im.grp, {sep_sql('m.ra', 'm.dec', 'im.ra', 'im.dec')} AS dist FROM m JOIN im ON m.image_id = im.image_id)",
+        f"""k0 AS (SELECT * FROM d WHERE id NOT IN (SELECT j.id FROM d i JOIN d j ON i.epoch = j.epoch AND i.grp = j.grp AND i.image_id <> j.image_id
+          AND abs(i.dec - j.dec) <= {dup} AND (i.dist < j.dist OR (i.dist = j.dist AND i.id < j.id)) AND {sep_sql('i.ra', 'i.dec', 'j.ra', 'j.dec')} <= {dup}))""",
+        "k AS MATERIALIZED (SELECT k0.*, CASE WHEN n > 1 THEN ra ELSE 0.0::DOUBLE END AS ord FROM k0 JOIN (SELECT grp, epoch, count(*) AS n FROM im GROUP BY grp, epoch) USING (grp, epoch))",
+        "h0 AS (SELECT 0::BIGINT AS source, 0::BIGINT AS grp, 0::BIGINT AS meas_id, 0.0::DOUBLE AS d2d WHERE false)",
+        "t0 AS (SELECT 0::BIGINT AS t)",
+    ]
+    for e in range(1, UNROLLED + 1):
+        h, t = f"h{e - 1}", f"(SELECT t FROM t{e - 1})"
+        ctes += [
+            f"s{e} AS MATERIALIZED (SELECT source, grp, CASE WHEN r >= 360 THEN r - 360 ELSE r END AS bra, bdec FROM (SELECT {h}.source, k.grp, {lifted} AS r, sum(weight_ns * dec) / sum(weight_ns) AS bdec FROM {h} JOIN k ON meas_id = id GROUP BY {h}.source, k.grp))",
+            f"e{e} AS MATERIALIZED (SELECT * FROM k WHERE epoch = {e})",
+            f"p{e} AS (SELECT b.id, a.source AS src, {sep_sql('a.bra', 'a.bdec', 'b.ra', 'b.dec')} * 3600 AS d2d FROM s{e} a JOIN e{e} b ON a.grp = b.grp AND abs(a.bdec - b.dec) <= {lim})",
+            f"n{e} AS (SELECT id, src, d2d, row_number() OVER (PARTITION BY id ORDER BY d2d, src) AS place FROM p{e} WHERE d2d <= {lim} * 3600)",
+            f"r{e} AS MATERIALIZED (SELECT id, src, d2d, row_number() OVER (PARTITION BY src ORDER BY d2d, id) AS nth FROM n{e} WHERE place = 1)",
+            f"f{e} AS MATERIALIZED (SELECT id, src, d2d, {t} + row_number() OVER (ORDER BY src, d2d, ord, id) AS child FROM r{e} JOIN e{e} USING (id) WHERE nth > 1)",
+            f"w{e} AS MATERIALIZED (SELECT id, {t} + (SELECT count(*) FROM f{e}) + row_number() OVER (ORDER BY ord, id) AS child FROM e{e} WHERE id NOT IN (SELECT id FROM r{e}))",
+            f"o{e} AS (SELECT id, src AS source, d2d FROM r{e} WHERE nth = 1 UNION ALL SELECT id, child, d2d FROM f{e} UNION ALL SELECT id, child, 0.0::DOUBLE FROM w{e})",
+            f"""h{e} AS MATERIALIZED (SELECT * FROM {h} UNION ALL SELECT o.source, e.grp, o.id, o.d2d FROM o{e} o JOIN e{e} e ON o.id = e.id
+              UNION ALL SELECT f.child, h.grp, h.meas_id, h.d2d FROM f{e} f JOIN {h} h ON f.src = h.source)""",
+            f"t{e} AS (SELECT {t} + (SELECT count(*) FROM f{e}) + (SELECT count(*) FROM w{e}) AS t)",
+        ]
+    return ", ".join(ctes) + f", h AS (SELECT * FROM h{UNROLLED})"
+
+
+_CHAINED = f"SELECT CAST(source AS BIGINT) AS source, meas_id, {rnd('d2d', 5)} AS d2d, 0.0::DOUBLE AS dr FROM h"
+
+
+@query("association_six_epochs", f"WITH {chain_sql(5)} {_CHAINED}")
 def association_six_epochs(spark, sf_dir):
-    return rounded(run(spark, sf_dir, "basic", 5).associations)
+    return rounded(run(spark, sf_dir, "basic", 5).associations, 5)
 
 
 def regions(spark, sf_dir):
@@ -139,13 +178,16 @@ def images_with_groups(spark, sf_dir):
     return grouped.select("image_id", "name", "skyreg_id", "skyreg_group", "datetime")
 
 
-@query("grouped_association")
+_GROUPED = chain_sql(15, "coalesce((SELECT skyreg_group FROM gr WHERE gr.id = im.image_id % 25), 0)", GROUPS_SQL + ", ")
+
+
+@query("grouped_association", f"WITH RECURSIVE {_GROUPED} {_CHAINED}")
 def grouped_association(spark, sf_dir):
     """All region groups in one loop: the group is part of every join key."""
     m = measurements(spark, sf_dir, 15).drop("source")
     images = run_images(spark, sf_dir, 15).withColumn("skyreg_id", F.col("image_id") % 25)
     images = components.attach_groups(images, components.group_regions(regions(spark, sf_dir)))
-    return rounded(association.associate(m, images, SETTINGS).associations)
+    return rounded(association.associate(m, images, SETTINGS).associations, 5)
 
 
 @query(

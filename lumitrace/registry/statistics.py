@@ -153,38 +153,62 @@ def robust_fit_one_round(spark, sf_dir):
     return rounded(analysis.robust_fit(analysis.log_metrics(usable, "peak"), rounds=1), 7)
 
 
+_USABLE_SQL = "SELECT * FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0"
+
+
+def _long_sql(kind: str) -> str:
+    return f"SELECT 'eta' AS metric, log10(eta_{kind}) AS value FROM u UNION ALL SELECT 'v', log10(v_{kind}) FROM u"
+
+
+def _clipped_sql(first: str, rounds: int = analysis.CLIP_ROUNDS) -> str:
+    """CTEs c1, c2, ... of the values left after each round of clipping CTE `first`."""
+    out, before = [], first
+    for i in range(1, rounds + 1):
+        out.append(f"a{i} AS (SELECT metric, value, abs(value - median(value) OVER (PARTITION BY metric)) AS dev FROM {before})")
+        out.append(f"b{i} AS (SELECT *, median(dev) OVER (PARTITION BY metric) AS mad FROM a{i})")
+        out.append(f"c{i} AS (SELECT metric, value FROM b{i} WHERE dev <= {analysis.CLIP_SIGMA}::DOUBLE * {analysis.MAD_TO_STD}::DOUBLE * mad)")
+        before = f"c{i}"
+    return ", ".join(out)
+
+
+_FITTED = f"c{analysis.CLIP_ROUNDS}"
+
+
 @query(
     "metric_histogram",
-    f"""{M}, s AS ({statistics_body(lambda e: e)}), v AS (SELECT log10(eta_peak) AS value FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0),
-     e AS (SELECT min(value) AS lo, (max(value) - min(value)) / 50 AS w, count(*) AS n FROM v),
-     b AS (SELECT least(CAST(floor((value - lo) / w) AS BIGINT), 49) AS bin, lo, w, n FROM v, e)
-    SELECT 'eta' AS metric, bin, {rnd("lo + bin * w", 6)} AS "left", {rnd("count(*) / (n * w)", 6)} AS density FROM b GROUP BY bin, lo, w, n""",
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), u AS ({_USABLE_SQL}), v AS (SELECT 'peak' AS kind, * FROM ({_long_sql("peak")}) UNION ALL SELECT 'int', * FROM ({_long_sql("int")})),
+     e AS (SELECT kind, metric, min(value) AS lo, (max(value) - min(value)) / 50 AS w, count(*) AS n FROM v GROUP BY kind, metric),
+     b AS (SELECT kind, metric, least(CAST(floor((value - lo) / w) AS BIGINT), 49) AS bin, lo, w, n FROM v JOIN e USING (kind, metric))
+    SELECT kind, metric, bin, {rnd("lo + bin * w", 6)} AS "left", {rnd("count(*) / (n * w)", 6)} AS density FROM b GROUP BY kind, metric, bin, lo, w, n""",
 )
 def metric_histogram(spark, sf_dir):
     usable = analysis.variable_candidates(stats.source_statistics(measurements(spark, sf_dir)))
-    return rounded(analysis.histogram(analysis.log_metrics(usable, "peak").filter("metric = 'eta'")))
+    peak, whole = (rounded(analysis.histogram(analysis.log_metrics(usable, kind))).withColumn("kind", F.lit(kind)) for kind in ("peak", "int"))
+    return peak.unionByName(whole)
 
 
 @query(
     "eta_v_candidates",
-    f"""{M}, s AS ({statistics_body(lambda e: e)}), u AS (SELECT * FROM s WHERE n_meas > 1 AND eta_int > 0 AND eta_peak > 0 AND v_int > 0 AND v_peak > 0),
-     l AS (SELECT 'eta' AS metric, log10(eta_peak) AS value FROM u UNION ALL SELECT 'v', log10(v_peak) FROM u),
-     a AS (SELECT l.*, abs(value - median(value) OVER (PARTITION BY metric)) AS dev FROM l),
-     b AS (SELECT a.*, median(dev) OVER (PARTITION BY metric) AS mad FROM a),
-     f AS (SELECT metric, avg(value) AS mean, stddev_pop(value) AS sigma FROM b WHERE dev <= 3 * 1.482602218505602::DOUBLE * mad GROUP BY metric),
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), u AS ({_USABLE_SQL}), l AS ({_long_sql("peak")}), {_clipped_sql("l")},
+     f AS (SELECT metric, avg(value) AS mean, stddev_pop(value) AS sigma FROM {_FITTED} GROUP BY metric),
      c AS (SELECT max(pow(10, mean + sigma)) FILTER (metric = 'eta') AS ec, max(pow(10, mean + sigma)) FILTER (metric = 'v') AS vc FROM f)
     SELECT source, {rnds("eta_peak", "v_peak")}, {rnd("ec", 5)} AS eta_cutoff, {rnd("vc", 5)} AS v_cutoff, eta_peak >= ec AND v_peak >= vc AS candidate FROM u, c""",
 )
 def eta_v_candidates(spark, sf_dir):
-    out = analysis.eta_v_analysis(stats.source_statistics(measurements(spark, sf_dir)), 1.0, 1.0, rounds=1, min_sources=2)
+    # The smallest tables hold fewer sources than an analysis asks for by default.
+    out = analysis.eta_v_analysis(stats.source_statistics(measurements(spark, sf_dir)), 1.0, 1.0, min_sources=2)
     cut = lambda c: (F.floor(F.col(c) * 1e5 + 0.5) / 1e5).alias(c)
     return rounded(out.select("source", "eta_peak", "v_peak", cut("eta_cutoff"), cut("v_cutoff"), "candidate"))
 
 
-@query("robust_fit")
+@query(
+    "robust_fit",
+    f"""{M}, s AS ({statistics_body(lambda e: e)}), u AS ({_USABLE_SQL}), l AS ({_long_sql("int")}), {_clipped_sql("l")}
+    SELECT metric, {rnd("avg(value)", 7)} AS mean, {rnd("stddev_pop(value)", 7)} AS sigma FROM {_FITTED} GROUP BY metric""",
+)
 def robust_fit(spark, sf_dir):
     usable = analysis.variable_candidates(stats.source_statistics(measurements(spark, sf_dir)))
-    return rounded(analysis.robust_fit(analysis.log_metrics(usable, "int")))
+    return rounded(analysis.robust_fit(analysis.log_metrics(usable, "int")), 7)
 
 
 @query(

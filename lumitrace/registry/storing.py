@@ -54,6 +54,32 @@ def csv_catalogues(spark, sf_dir):
     return _read_back(spark, path, catalogues.read_csv)
 
 
+@query("wide_csv_catalogues", _READ_SQL)
+def wide_csv_catalogues(spark, sf_dir):
+    """As `csv_catalogues`, behind 90 further columns."""
+    path = new_path(spark, "wide-csv")
+    lines = _catalogue_lines(spark, sf_dir, "", ",")
+    more = F.when(F.col("value").startswith("island_id"), F.lit(",".join(f"x{i}" for i in range(90)))).otherwise(F.lit("0," * 89 + "0"))
+    lines.withColumn("value", F.concat_ws(",", more, "value")).write.partitionBy("image_id").text(path)
+    return _read_back(spark, path, catalogues.read_csv)
+
+
+@query("votable_catalogues", _READ_SQL)
+def votable_catalogues(spark, sf_dir):
+    """Events as XML tables, a file per image."""
+    path = new_path(spark, "votable")
+    rows = components(spark, sf_dir)
+    names = {target: name for name, (target, _) in catalogues.COMPONENT_COLUMNS.items()}
+    cells = [F.concat(F.lit("<TD>"), F.col(t).cast("string") if t in rows.columns else F.lit("0"), F.lit("</TD>")) for t in names]
+    fields = "".join(f'<FIELD name="{n}"/>' for n in names.values())
+    line = F.struct(F.lit(1).alias("place"), F.concat(F.lit("<TR>"), *cells, F.lit("</TR>")).alias("value"))
+    ends = F.array(F.struct(F.lit(0).alias("place"), F.lit(f"<VOTABLE><RESOURCE><TABLE>{fields}<DATA><TABLEDATA>").alias("value")), F.struct(F.lit(2).alias("place"), F.lit("</TABLEDATA></DATA></TABLE></RESOURCE></VOTABLE>").alias("value")))
+    lines = rows.select("image_id", line.alias("l")).unionByName(rows.select("image_id").distinct().select("image_id", F.explode(ends).alias("l")))
+    placed = lines.select("image_id", "l.place", "l.value").repartition("image_id").sortWithinPartitions("image_id", "place")
+    placed.drop("place").write.partitionBy("image_id").text(path)
+    return _read_back(spark, path, lambda s, p: catalogues.read_votable(s, p.rstrip("*") + "*/*"))
+
+
 @query("stored_measurements", f"SELECT id, image_id, {rnd('flux_peak')} AS flux_peak FROM ({measurements_sql()})")
 def stored_measurements(spark, sf_dir):
     path = new_path(spark, "measurements")
@@ -81,13 +107,13 @@ def restored_version(spark, sf_dir):
     f"{two_epochs_sql('basic')} SELECT CAST(source AS BIGINT) AS source, meas_id, {rnd('d2d', 5)} AS d2d FROM a",
 )
 def arriving_images(spark, sf_dir):
-    """Two epochs arrive one after the other as files of a stream."""
+    """Epochs arrive one after the other as files of a stream."""
     m = measurements(spark, sf_dir, 15).drop("source")
     images = run_images(spark, sf_dir, 15)
     rows = m.select("id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns", "epoch")
     folder, checkpoint = new_path(spark, "arriving"), new_path(spark, "stream")
     steps = Increments(spark, new_path(spark, "increments"), SETTINGS)
-    for epoch in (1, 2):
+    for (epoch,) in rows.select("epoch").distinct().orderBy("epoch").collect():
         rows.filter(F.col("epoch") == epoch).drop("epoch").write.mode("append").parquet(folder)
         steps.start(folder, rows.drop("epoch").schema, images, checkpoint).awaitTermination()
     return rounded(steps.load().associations.select("source", "meas_id", "d2d"), 5)

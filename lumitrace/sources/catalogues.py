@@ -69,9 +69,6 @@ SURVEYS = {
     },
 }
 
-_MAX_CSV_COLUMNS = 80
-
-
 def _path() -> Column:
     return F.regexp_replace("_metadata.file_path", "^file:/+", "/")
 
@@ -82,48 +79,62 @@ def _canonical(name: Column) -> Column:
     return F.when(F.lower(clean) == "spectral_index_from_tt", F.lit("spectral_index_from_TT")).otherwise(clean)
 
 
-def _boolean(text: Column) -> Column:
-    return F.coalesce(text.try_cast("double") != 0, F.lower(text).isin("true", "t"))
+def _number(text: Column, name: str, kind: str) -> Column:
+    """NULL for an empty or absent field; a field that cannot be read raises."""
+    value = text.try_cast(kind)
+    wrong = F.concat(F.lit("catalogue "), F.col("catalogue_path"), F.lit(f" has an unreadable {name}: "), text)
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(None)).when(value.isNull(), F.raise_error(wrong).cast(kind)).otherwise(value)
+
+
+def _boolean(text: Column, name: str) -> Column:
+    low = F.lower(text)
+    return F.when(low.isin("true", "t"), True).when(low.isin("false", "f"), False).otherwise(_number(text, name, "double") != 0)
 
 
 def _pick(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Rows (catalogue_path, values) to typed columns by each file's header (catalogue_path, names)."""
     required = F.array(*[F.lit(c) for c in COMPONENT_COLUMNS])
-    names = F.transform("names", _canonical)
-    headers = headers.select("catalogue_path", names.alias("names"))
-    absent = headers.select("catalogue_path", F.array_except(required, "names").alias("absent"))
-    broken = absent.filter(F.size("absent") > 0).limit(1).collect()
+    headers = headers.select("catalogue_path", F.transform("names", _canonical).alias("names"))
+    # Every file has to have a header, and every header all columns, before a row is read by one.
+    known = rows.select("catalogue_path").distinct().join(headers, "catalogue_path", "full")
+    absent = F.array_except(required, F.coalesce("names", F.array().cast("array<string>")))
+    broken = known.select("catalogue_path", absent.alias("absent")).filter(F.size("absent") > 0).limit(1).collect()
     if broken:
         raise KeyError(f"catalogue {broken[0]['catalogue_path']} lacks columns {broken[0]['absent']}")
     joined = rows.join(headers, "catalogue_path")
     out = []
     for name, (target, kind) in COMPONENT_COLUMNS.items():
         text = F.trim(F.get("values", F.array_position("names", F.lit(name)).cast("int") - 1))
-        value = text if kind == "string" else _boolean(text) if kind == "boolean" else text.try_cast(kind)
+        value = text if kind == "string" else _boolean(text, name) if kind == "boolean" else _number(text, name, kind)
         out.append(value.alias(target))
     return joined.select("catalogue_path", *out)
 
 
+def _is_header(values: str) -> Column:
+    """Names of columns among the values: one will do, so that a header that lacks some is seen and refused."""
+    return F.exists(values, lambda v: F.coalesce(_canonical(v).isin(*COMPONENT_COLUMNS), F.lit(False)))
+
+
 def read_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whitespace-separated catalogues: a `#` line with names, a `#` line with units, then rows."""
     lines = spark.read.text(paths).select(_path().alias("catalogue_path"), F.trim("value").alias("line")).filter("line <> ''")
-    is_header = F.col("line").startswith("#")
     words = F.split(F.trim(F.regexp_replace("line", "^#", "")), r"\s+")
-    headers = lines.filter(is_header).withColumn("names", words).filter(F.array_contains("names", "island_id"))
-    rows = lines.filter(~is_header).select("catalogue_path", words.alias("values"))
-    return _pick(rows, headers.select("catalogue_path", "names"))
+    lines = lines.select("catalogue_path", F.col("line").startswith("#").alias("marked"), words.alias("values"))
+    headers = lines.filter("marked").filter(_is_header("values"))
+    return _pick(lines.filter("NOT marked").drop("marked"), headers.select("catalogue_path", F.col("values").alias("names")))
 
 
 def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """CSV catalogues with a header line each; short rows are filled with NULL."""
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(_MAX_CSV_COLUMNS)])
+    """CSV catalogues with a header line each, of any width; short rows are filled with NULL."""
+    # No line has more fields than commas and one; quoted commas only make the bound larger.
+    width = spark.read.text(paths).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
     raw = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
-    values = F.array(*[F.col(f"c{i}") for i in range(_MAX_CSV_COLUMNS)])
-    lines = raw.select(_path().alias("catalogue_path"), values.alias("values"))
-    is_header = F.array_contains("values", "island_id")
+    lines = raw.select(_path().alias("catalogue_path"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias("values"))
     # The header array may hold NULLs for unused places; empty names match nothing.
     names = F.transform("values", lambda v: F.coalesce(v, F.lit("")))
-    return _pick(lines.filter(~F.coalesce(is_header, F.lit(False))), lines.filter(is_header).select("catalogue_path", names.alias("names")))
+    headers = lines.filter(_is_header("values")).select("catalogue_path", names.alias("names"))
+    return _pick(lines.filter(~_is_header("values")), headers)
 
 
 def read_votable(spark: SparkSession, paths: str | list[str]) -> DataFrame:

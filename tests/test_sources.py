@@ -70,6 +70,53 @@ def test_missing_columns_are_refused(spark, tmp_path):
         catalogues.read_text(spark, f"{tmp_path}/bad.txt")
 
 
+@pytest.mark.parametrize("reader, name", [("read_text", "a.txt"), ("read_csv", "a.csv"), ("read_votable", "a.xml")])
+def test_files_without_island_ids_are_refused(spark, tmp_path, reader, name):
+    write = {"read_text": write_text, "read_csv": write_csv, "read_votable": write_xml}[reader]
+    write(tmp_path / f"good-{name}", [component(1)], NAMES)
+    write(tmp_path / f"bad-{name}", [component(2)], [n for n in NAMES if n != "island_id"])
+    with pytest.raises(KeyError, match="island_id"):
+        getattr(catalogues, reader)(spark, [f"{tmp_path}/good-{name}", f"{tmp_path}/bad-{name}"])
+
+
+def test_files_without_a_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("1 2 3\n")
+    (tmp_path / "a.csv").write_text("1,2,3\n")
+    for reader, name in ((catalogues.read_text, "a.txt"), (catalogues.read_csv, "a.csv")):
+        with pytest.raises(KeyError, match="lacks columns"):
+            reader(spark, f"{tmp_path}/{name}")
+
+
+def test_wide_csv_files_keep_their_columns(spark, tmp_path):
+    more = {f"x{i}": str(i) for i in range(200)}
+    write_csv(tmp_path / "wide.csv", [component(1) | more, component(2) | more], [*more, *NAMES])
+    read = catalogues.read_csv(spark, f"{tmp_path}/wide.csv")
+    assert rows_of(read, "component_id", "flux_peak") == [("component_1a", 11.0), ("component_2a", 12.0)]
+
+
+@pytest.mark.parametrize("column", ["ra_deg_cont", "has_siblings"])
+def test_unreadable_numbers_are_refused_and_empty_ones_are_null(spark, tmp_path, column):
+    write_csv(tmp_path / "a.csv", [component(1), component(2, **{column: ""})], NAMES)
+    target = catalogues.COMPONENT_COLUMNS[column][0]
+    assert catalogues.read_csv(spark, f"{tmp_path}/a.csv").filter(F.col(target).isNull()).count() == 1
+    write_csv(tmp_path / "b.csv", [component(1), component(2, **{column: "oops"})], NAMES)
+    with pytest.raises(Exception, match="unreadable"):
+        catalogues.read_csv(spark, f"{tmp_path}/b.csv").collect()
+
+
+def test_images_outside_all_regions_keep_their_rows(spark):
+    from lumitrace.operators.association import prepare_rows
+    from lumitrace.operators.components import attach_groups
+
+    images = frame(spark, [(1, 1, 10.0, 0.0, 0.004, 5), (2, 1, 50.0, 0.0, 0.004, 9)], "image_id long, epoch long, ra double, dec double, beam_bmaj double, skyreg_id long")
+    grouped = attach_groups(images, frame(spark, [(5, 1)], "id long, skyreg_group long"))
+    assert rows_of(grouped, "image_id", "skyreg_group") == [(1, 1), (2, 0)]
+    rows = frame(spark, [(1, 1, 10.0, 0.0), (2, 2, 50.0, 0.0)], "id long, image_id long, ra double, dec double")
+    rows = rows.withColumns({c: F.lit(1.0) for c in ("uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns")})
+    for group in (F.col("skyreg_group"), F.lit(None).cast("long")):
+        assert prepare_rows(rows, grouped.withColumn("skyreg_group", group), RunSettings()).count() == 2
+
+
 def test_cleaning_drops_and_floors(spark, tmp_path):
     rows = [component(1), component(2, flux_int=0), component(3, maj_axis=0.5), component(4, rms_image=0, flux_peak_err=0, ra_err=0)]
     write_text(tmp_path / "a.txt", rows)
