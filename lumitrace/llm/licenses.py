@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from lumitrace.llm import frames
 
 #: Texts without any of these hold no known sentence.
-HINT = "(?i)licen[cs]|copyright|rights reserved|permission|redistribut|warrant|free software|public domain|creative commons|endorse|appear in all copies|appreciated"
+HINT = "(?i)licen[cs]|copyright|rights reserved|permission|redistribut|warrant|free software|public domain|creative commons|endorse|be liable|cc0|spdx"
 BREAK = r"[.!?;:]+[\x22')\]]*\s+|\n\s*\n"
 # Normalised sentences of public licence texts and notices, by identifier.
 SENTENCES = {

@@ -2,7 +2,7 @@
 
 A line is parsed to fixed depth: its number of tokens, its leading tokens, then
 the rest in SEGMENTS segments. Tokens with a digit are variable fields and read
-as `<*>`. That gives the line's own template and, for lines of LONG tokens or
+as `<*>`, unless they are most of the line. That gives the line's own template and, for lines of LONG tokens or
 more, one template for each segment taken as a variable field as a whole. A
 template recurs if it stands in at least MIN_DOCUMENTS documents; lines of
 MIN_TOKENS or more tokens that have a recurring template are dropped.
@@ -49,7 +49,12 @@ def _hash(tokens: list[str], kind: int) -> int:
 
 def line_keys(line: str) -> list[int]:
     """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens."""
-    tokens = (_VARIABLE.sub("<*>", line) if _DIGIT.search(line) else line).split()
+    tokens = line.split()
+    if _DIGIT.search(line):
+        masked = _VARIABLE.sub("<*>", line).split()
+        # A line of little but variable fields has no template: it stands for itself.
+        if 2 * masked.count("<*>") <= len(masked) and len(masked) - masked.count("<*>") >= MIN_TOKENS:
+            tokens = masked
     n = len(tokens)
     if n < MIN_TOKENS:
         return []
