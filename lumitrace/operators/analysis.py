@@ -31,10 +31,11 @@ def log_metrics(sources: DataFrame, kind: str) -> DataFrame:
 def clip_once(values: DataFrame) -> DataFrame:
     """Values within 3 robust deviations of the median of their metric."""
     middle = group_median(values, ["metric"], "value", "_mid")
-    apart = values.join(middle, "metric").withColumn("_dev", F.abs(F.col("value") - F.col("_mid")))
+    # One row per metric.
+    apart = values.join(F.broadcast(middle), "metric").withColumn("_dev", F.abs(F.col("value") - F.col("_mid")))
     spread = group_median(apart, ["metric"], "_dev", "_mad")
     reach = F.col("_mad") * (MAD_TO_STD * CLIP_SIGMA)
-    return apart.join(spread, "metric").filter(F.col("_dev") <= reach).select("metric", "value")
+    return apart.join(F.broadcast(spread), "metric").filter(F.col("_dev") <= reach).select("metric", "value")
 
 
 def robust_fit(values: DataFrame, rounds: int = CLIP_ROUNDS) -> DataFrame:
@@ -70,7 +71,7 @@ def histogram(values: DataFrame, bins: int = BINS) -> DataFrame:
     """Density histogram per metric over equal bins; the last bin is closed."""
     ends = values.groupBy("metric").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count(F.lit(1)).alias("_n"))
     width = (F.col("_hi") - F.col("_lo")) / bins
-    rows = values.join(ends, "metric").withColumn("_width", width)
+    rows = values.join(F.broadcast(ends), "metric").withColumn("_width", width)
     place: Column = F.least(F.floor((F.col("value") - F.col("_lo")) / F.col("_width")), F.lit(bins - 1))
     counts = rows.groupBy("metric", place.cast("long").alias("bin"), "_lo", "_width", "_n").agg(F.count(F.lit(1)).alias("_in"))
     return counts.select(

@@ -40,14 +40,16 @@ def dense_index(df: DataFrame, order: list, name: str = "idx", start: int | Colu
 
 def number_within(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
     """0, 1, 2, ... inside each key, however many rows one key has."""
-    indexed = materialize(dense_index(df, [key, *order], "_idx"), "numbered")
+    indexed = dense_index(df, [key, *order], "_idx")
     firsts = indexed.groupBy(key).agg(F.min("_idx").alias("_start"))
     return indexed.join(firsts, key).withColumn(name, F.col("_idx") - F.col("_start")).drop("_idx", "_start")
 
 
 def group_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """Exact median per group; a group may be far larger than one task's memory."""
-    indexed = materialize(dense_index(df.select(*keys, value), [*keys, value], "_idx"), "median")
+    # A further key spreads equal values, which blank or rounded data have many of.
+    spread = df.select(*keys, value).withColumn("_any", F.monotonically_increasing_id())
+    indexed = dense_index(spread, [*keys, value, "_any"], "_idx").drop("_any")
     spans = indexed.groupBy(*keys).agg(F.min("_idx").alias("_lo"), F.count(F.lit(1)).alias("_n"))
     middle = F.array_distinct(
         F.array(F.col("_lo") + F.floor((F.col("_n") - 1) / 2), F.col("_lo") + F.floor(F.col("_n") / 2))
@@ -57,15 +59,22 @@ def group_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
 
 def previous_and_next(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Previous and next id of every row; a row at an end points to itself."""
-    placed = materialize(dense_index(df.select(id_col), [id_col], "_idx"), "neighbour_ids")
-    before = placed.select((F.col("_idx") + 1).alias("_idx"), F.col(id_col).alias("_prev"))
-    after = placed.select((F.col("_idx") - 1).alias("_idx"), F.col(id_col).alias("_next"))
-    joined = placed.join(before, "_idx", "left").join(after, "_idx", "left")
+    """Previous and next id of every row; a row at an end points to itself.
+
+    Neighbours inside a stored range come from a window over it; the ids at
+    the edges of ranges, one row per range, are attached to its ends.
+    """
+    placed = ordered_table(df.select(id_col), [id_col])
+    inside = Window.partitionBy("_part").orderBy("_pos")
+    near = placed.select(id_col, "_part", F.lag(id_col).over(inside).alias("_prev"), F.lead(id_col).over(inside).alias("_next"))
+    edges = placed.groupBy("_part").agg(F.min(id_col).alias("_lo"), F.max(id_col).alias("_hi"))
+    ranges = Window.orderBy("_part")
+    edges = edges.select("_part", F.lag("_hi").over(ranges).alias("_before"), F.lead("_lo").over(ranges).alias("_after"))
+    joined = near.join(F.broadcast(edges), "_part")
     return joined.select(
         id_col,
-        F.coalesce("_prev", id_col).alias("previous_id"),
-        F.coalesce("_next", id_col).alias("next_id"),
+        F.coalesce("_prev", "_before", id_col).alias("previous_id"),
+        F.coalesce("_next", "_after", id_col).alias("next_id"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumitrace.functions.sky import separation
-from lumitrace.operators.cells import CELL_KEYS, cell_size, chord, fullest_cell, with_cell, with_cells_touched
+from lumitrace.operators.cells import CELL_KEYS, MIN_CHORD, cell_size, chord, fullest_cell, with_cell, with_cells_touched
 from lumitrace.workspace import materialize
 
 # A cube with more rows than this is searched at a finer radius first.
@@ -73,7 +73,8 @@ def search_radii(right: DataFrame, limit_deg: float, right_pos: Position, by: tu
     no row is compared with a whole clump.
     """
     radii = [limit_deg]
-    while radii[0] > 1e-7 and fullest_cell(right, *right_pos, cell_size(radii[0]), by) > CROWDED:
+    # Below the floor of the chord the cubes no longer shrink.
+    while chord(radii[0]) > MIN_CHORD and fullest_cell(right, *right_pos, cell_size(radii[0]), by) > CROWDED:
         radii.insert(0, radii[0] / 8)
     return radii
 
@@ -98,7 +99,7 @@ def nearest_join(
     right = right.select(right_id, *right_pos, *by)
     found = []
     for step, radius in enumerate(radii):
-        pairs = radius_join(left, right, radius, left_pos, right_pos, by)
+        pairs = radius_join(left, right, radius, left_pos, right_pos, by, spread_hot=True)
         best = (
             pairs.groupBy(left_id)
             .agg(F.min(F.struct("sep", right_id)).alias("_best"))
@@ -124,13 +125,14 @@ def nearest_other(df: DataFrame, id_col: str = "id", pos: Position = ("ra", "dec
     spots = materialize(spots, "spots")
     total = spots.count()
     radius = math.degrees(math.sqrt(4 * math.pi / max(total, 1)))
-    while radius > 1e-7 and fullest_cell(spots, ra, dec, cell_size(radius)) > CROWDED:
+    while chord(radius) > MIN_CHORD and fullest_cell(spots, ra, dec, cell_size(radius)) > CROWDED:
         radius /= 4
     others = spots.select(F.col("_spot").alias("_other"), F.col(ra).alias("_ra2"), F.col(dec).alias("_dec2"))
     todo = spots.filter("_n = 1").select("_spot", ra, dec)
     found = [spots.filter("_n > 1").select("_spot", F.lit(0.0).alias("sep"))]
     while total > 1:
-        pairs = radius_join(todo, others, min(radius, 180.0), pos, ("_ra2", "_dec2")).filter("_spot <> _other")
+        # The rows still searched for are the smaller side: they are copied, the others filed once.
+        pairs = radius_join(others, todo, min(radius, 180.0), ("_ra2", "_dec2"), pos, spread_hot=True).filter("_spot <> _other")
         hits = materialize(pairs.groupBy("_spot").agg(F.min("sep").alias("sep")), "neighbours")
         found.append(hits)
         todo = materialize(todo.join(hits, "_spot", "left_anti"), "isolated")
@@ -190,10 +192,10 @@ def cone_search(df: DataFrame, ra_deg: float, dec_deg: float, radius_deg: float,
     return df.filter(cone_filter(ra_deg, dec_deg, radius_deg, pos)).withColumn("distance", distance).orderBy("distance")
 
 
-def write_sky_sorted(df: DataFrame, path: str, pos: Position = ("ra", "dec")) -> None:
-    """Write rows of one patch of sky together, so cone boxes skip files."""
+def sky_sorted(df: DataFrame, pos: Position = ("ra", "dec")) -> DataFrame:
+    """Rows of one patch of sky together, so cone boxes skip files once they are written."""
     strip = F.floor(F.col(pos[1]))
-    df.repartitionByRange(strip, F.col(pos[0])).sortWithinPartitions(strip, pos[0]).write.mode("overwrite").parquet(path)
+    return df.repartitionByRange(strip, F.col(pos[0])).sortWithinPartitions(strip, pos[0])
 
 
 def match_catalogue(
@@ -209,7 +211,7 @@ def match_catalogue(
     maps otype to otype_long.
     """
     objects = catalogue.select("object_name", "database", F.col("ra").alias("_ra"), F.col("dec").alias("_dec"), "otype")
-    near = radius_join(sources.select("id", *pos), objects, radius_deg, pos, ("_ra", "_dec"))
+    near = radius_join(sources.select("id", *pos), objects, radius_deg, pos, ("_ra", "_dec"), spread_hot=True)
     near = near.join(type_names, "otype", "left")
     return near.select(
         F.col("id").alias("source_id"),

@@ -11,8 +11,6 @@ DEFAULTS = {
     "monitor": False,
     "monitor_min_sigma": 3.0,
     "monitor_edge_buffer": 1.2,
-    "monitor_cluster_threshold": 3.0,
-    "monitor_allow_nan": False,
     "ra_uncertainty": 1.0,
     "dec_uncertainty": 1.0,
     "method": "basic",

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lumitrace.operators.skyjoin import sky_sorted
+
+# Columns that hold a table's position, if it has one.
+POSITIONS = (("wavg_ra", "wavg_dec"), ("ra", "dec"))
+
 
 def read_measurements(spark: SparkSession, root: str, columns: list[str] | None = None, images: list[int] | None = None) -> DataFrame:
     """Measurements under `root`, partitioned by image; columns and images are pruned at the scan."""
@@ -60,11 +65,12 @@ class RunStore:
         return history[-1][1] if history else None
 
     def save(self, run: str, tables: dict[str, DataFrame]) -> int:
-        """Write all tables as the next version and make it current."""
+        """Write all tables, those with positions by sky, as the next version and make it current."""
         history = self._history(run)
         version = max((v for _, v in history), default=0) + 1
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self._dir(run, version)}/{name}")
+            pos = next((p for p in POSITIONS if set(p) <= set(df.columns)), None)
+            (sky_sorted(df, pos) if pos else df).write.mode("overwrite").parquet(f"{self._dir(run, version)}/{name}")
         self._point(run, version)
         return version
 
