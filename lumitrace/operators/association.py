@@ -229,15 +229,15 @@ def ancestors(forks: DataFrame) -> DataFrame:
         span *= 2
 
 
-def inherit_history(log: DataFrame, forks: DataFrame) -> DataFrame:
-    """The log plus the rows each fork takes over from its ancestors.
+def inherit_history(log: DataFrame, forks: DataFrame, since: int = 0) -> DataFrame:
+    """The log from step `since` on, plus the rows each fork takes over from its ancestors.
 
     `log` has source, meas_id, d2d, dr, step.
     """
     chain = ancestors(forks)
     rows = log.select(F.col("source").alias("ancestor"), "meas_id", "d2d", "dr", "step")
     taken = chain.join(rows, "ancestor").filter("step < before")
-    own = log.select(*ASSOCIATION_COLUMNS)
+    own = log.filter(F.col("step") >= since).select(*ASSOCIATION_COLUMNS)
     return own.unionByName(taken.select(F.col("child").alias("source"), "meas_id", "d2d", "dr"))
 
 
@@ -269,11 +269,13 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
     return rows.withColumns({"_limit": limit, "_ord": order}).drop("_images", "_beam", "dist_from_centre")
 
 
-def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings, prior: Association | None = None) -> Association:
+def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings, prior: Association | None = None, only_new: bool = False) -> Association:
     """Associate all epochs of `images` in order, starting from `prior` if given.
 
     With `prior`, pass only images that are not in it; their epochs are
-    processed among themselves, after everything already there.
+    processed among themselves, after everything already there. With
+    `only_new` the associations and relations returned are those this call
+    adds, so that a store can append them.
     """
     spark = measurements.sparkSession
     rows = prepare_rows(measurements, images, settings)
@@ -308,9 +310,11 @@ def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings,
     if prior:
         earlier = prior.associations.select(*ASSOCIATION_COLUMNS, F.lit(0).cast("long").alias("step"))
         steps = earlier.unionByName(steps)
-        relations = relations.unionByName(prior.relations)
+        if not only_new:
+            relations = relations.unionByName(prior.relations)
     forks = log.filter("parent IS NOT NULL").select(F.col("source").alias("child"), "parent", "step")
-    associations = materialize(inherit_history(steps, forks), "associations")
+    # Rows of earlier calls are step 0.
+    associations = materialize(inherit_history(steps, forks, 1 if only_new else 0), "associations")
     return Association(associations, materialize(relations.distinct(), "relations"), state, next_id)
 
 

@@ -68,6 +68,7 @@ def run(
     noise_pixels: DataFrame | None = None,
     fits: DataFrame | None = None,
     prior: dict[str, DataFrame] | None = None,
+    pair_list: bool = False,
 ) -> dict[str, DataFrame]:
     """All tables of a run.
 
@@ -76,7 +77,9 @@ def run(
     `settings.monitor` and `fits` (source, image_id, flux, flux_err, chi2)
     gaps are filled. `prior` holds the tables of an earlier run of the same
     settings: only images that are not in it are associated, and the ids of
-    its forced measurements must not be among the new ones.
+    its forced measurements must not be among the new ones. `pair_list` adds
+    `measurement_pairs`, which grows with the square of a source's rows; the
+    pair metrics of a source need no list.
     """
     images = materialize(images, "images")
     measurements = clean.with_flux_fraction(measurements, settings.flux_fractional_error)
@@ -118,7 +121,7 @@ def run(
         "missing": missing,
         "sources": finalise.final_sources(curves, result.relations, new, settings),
     }
-    if settings.pair_metrics:
+    if pair_list:
         ids = curves.select("source").distinct().withColumn("id", F.col("source"))
         tables["measurement_pairs"] = finalise.final_pairs(curves, images, ids, settings.min_abs_vs)
     return tables

@@ -1,9 +1,11 @@
 """Association of images as their measurement files arrive.
 
 A streaming query over the measurement folder hands every micro-batch to the
-same associate step that a batch run uses. The state after batch n is a table
-of its own, read by batch n + 1, so a batch that is run twice after a failure
-starts from the same state and writes the same result.
+same associate step that a batch run uses. A batch writes the associations and
+relations it adds, and the state after it, in a folder of its own. Batch n + 1
+reads the state of batch n, and of the rows before only those that its forks
+inherit, so a batch costs what it brings, and one that is run twice after a
+failure starts from the same state and writes the same result.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ TABLES = ["associations", "relations", "state"]
 
 
 class Increments:
-    """States of one incremental run under a folder, one per micro-batch."""
+    """One incremental run under a folder: what each micro-batch added, and the state after it."""
 
     def __init__(self, spark: SparkSession, root: str, settings: RunSettings):
         self.spark, self.root, self.settings = spark, root.rstrip("/"), settings
@@ -38,16 +40,18 @@ class Increments:
         batches = [b for b in self._batches() if before is None or b < before]
         if not batches:
             return None
-        tables = {t: self.spark.read.parquet(f"{self.root}/batch={batches[-1]}/{t}") for t in TABLES}
-        top = tables["associations"].agg(F.max("source")).first()[0] or 0
-        return Association(tables["associations"], tables["relations"], tables["state"], top + 1)
+        added = {t: self.spark.read.parquet(*[f"{self.root}/batch={b}/{t}" for b in batches]) for t in ("associations", "relations")}
+        # Every source has a row in the state.
+        state = self.spark.read.parquet(f"{self.root}/batch={batches[-1]}/state")
+        top = state.agg(F.max("source")).first()[0] or 0
+        return Association(added["associations"], added["relations"].distinct(), state, top + 1)
 
     def process(self, rows: DataFrame, batch: int, images: DataFrame) -> None:
         """Associate the images of one batch after all earlier ones."""
         if rows.isEmpty():
             return
         arrived = images.join(rows.select("image_id").distinct(), "image_id", "left_semi")
-        result = association.associate(rows, arrived, self.settings, self.load(batch))
+        result = association.associate(rows, arrived, self.settings, self.load(batch), only_new=True)
         for name in TABLES:
             getattr(result, name).write.mode("overwrite").parquet(f"{self.root}/batch={batch}/{name}")
 
