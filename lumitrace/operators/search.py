@@ -190,6 +190,12 @@ def measurement_details(measurements: DataFrame, associations: DataFrame) -> Dat
     return joined.withColumn("n_sources", F.coalesce("n_sources", F.lit(0)))
 
 
+def sources_of_each_measurement(measurements: DataFrame, associations: DataFrame) -> DataFrame:
+    """id, source_id: the sources behind `n_sources`, a row each."""
+    linked = associations.select(F.col("meas_id").alias("id"), "source_id").distinct()
+    return linked.join(measurements.select("id"), "id", "left_semi")
+
+
 def image_details(images: DataFrame, measurements: DataFrame, run_images: DataFrame) -> DataFrame:
     """Images with the numbers of their measurements and runs."""
     n_meas = measurements.groupBy("image_id").agg(F.count_if(~F.col("forced")).alias("n_meas"))

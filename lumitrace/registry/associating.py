@@ -213,3 +213,18 @@ def renumbered_sources(spark, sf_dir):
     edges = m.select(F.col("source").alias("from_source_id"), F.col("source").alias("to_source_id"))
     rows, _ = association.renumber_added(m, edges, done, 5000)
     return rows
+
+
+@query(
+    "renumbered_relations",
+    f"""WITH m AS ({measurements_sql()}), n AS (SELECT source, 5000 + row_number() OVER (ORDER BY source) - 1 AS fresh
+      FROM (SELECT DISTINCT source FROM m WHERE source NOT IN (SELECT s_suppkey FROM supplier)))
+    SELECT m.id, coalesce(a.fresh, m.source) AS from_source_id, coalesce(b.fresh, (m.source * 7 + m.k) % 120) AS to_source_id
+    FROM m LEFT JOIN n a ON m.source = a.source LEFT JOIN n b ON (m.source * 7 + m.k) % 120 = b.source WHERE m.has_siblings""",
+)
+def renumbered_relations(spark, sf_dir):
+    """The relations of renumbered sources, both ends mapped."""
+    m = measurements(spark, sf_dir)
+    done = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("source"))
+    edges = m.filter("has_siblings").select("id", F.col("source").alias("from_source_id"), ((F.col("source") * 7 + F.col("k")) % 120).alias("to_source_id"))
+    return association.renumber_added(m.select("id", "source"), edges, done, 5000)[1]

@@ -50,6 +50,26 @@ def sources_by_range(spark, sf_dir):
     return rounded(found.select("id", "v_peak", "eta_int", "max_snr"))
 
 
+# Columns that a source gets from other tables of a run, here filled from its statistics.
+_FILLED = {
+    "vs_abs_significant_max_int": "v_int * 7", "vs_abs_significant_max_peak": "v_peak * 7", "m_abs_significant_max_int": "v_int * 3",
+    "m_abs_significant_max_peak": "v_peak * 3", "n_rel": "n_sibl", "new_high_sigma": "max_snr / 9", "n_neighbour_dist": "abs(wavg_dec) / 60",
+}
+_EVERY_RANGE_SQL = " UNION ALL ".join(f"SELECT '{c}' AS criterion, id FROM f WHERE {c} >= {'0.25' if c == 'n_neighbour_dist' else '0.3'}::DOUBLE AND {c} <= {'0.75' if c == 'n_neighbour_dist' else '60'}::DOUBLE" for c in search.RANGE_COLUMNS)
+
+
+@query("sources_by_every_range", f"{CTE}, f AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in _FILLED.items())} FROM done) {_EVERY_RANGE_SQL}")
+def sources_by_every_range(spark, sf_dir):
+    """Each of the 25 criteria in turn; neighbour distances are asked for in arcmin."""
+    s, r = sources(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _FILLED.items()}), runs(spark, sf_dir)
+    found = None
+    for c in search.RANGE_COLUMNS:
+        low, high = (15.0, 45.0) if c == "n_neighbour_dist" else (0.3, 60.0)
+        one = search.search_sources(s, r, ranges={c: (low, high)}, neighbour_unit="arcmin").select(F.lit(c).alias("criterion"), "id")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query(
     "sources_by_flags_and_tags",
     f"""{CTE} SELECT id FROM done WHERE new AND id IN (SELECT source_id FROM tags WHERE tag = '1-URGENT') AND id NOT IN (SELECT source_id FROM tags WHERE tag = '5-LOW' AND source_id IS NOT NULL)
@@ -211,6 +231,11 @@ def measurement_details(spark, sf_dir):
     return search.measurement_details(measurements(spark, sf_dir), links(spark, sf_dir)).select("id", "n_sources", "n_siblings")
 
 
+@query("sources_of_each_measurement", f"{CTE} SELECT id, source AS source_id FROM m")
+def sources_of_each_measurement(spark, sf_dir):
+    return search.sources_of_each_measurement(measurements(spark, sf_dir), links(spark, sf_dir))
+
+
 @query(
     "image_details",
     f"{CTE}, im AS ({run_images_sql()}) SELECT im.id, name, (SELECT count(*) FROM m WHERE m.image_id = im.id AND NOT forced) AS n_meas, (SELECT count(DISTINCT source % 25) FROM m WHERE m.image_id = im.id) AS n_runs FROM im",
