@@ -32,7 +32,7 @@ from lumitrace.llm import frames
 
 GRAMS = 1 << 16
 ORDERS = 3
-LANDMARKS = 400
+LANDMARKS = 256
 TRAINING = 1600
 RIDGE = 0.05
 UNKNOWN = "und"
@@ -83,6 +83,12 @@ class Model:
         return names, sure
 
 
+def _unit_rows(bits: list[bytes]) -> np.ndarray:
+    """Gram sets as rows, each divided by the root of its size."""
+    x = np.unpackbits(np.frombuffer(b"".join(bits), np.uint8).reshape(len(bits), -1), axis=1)
+    return x.astype(np.float32) / np.sqrt(x.sum(axis=1, dtype=np.float32, keepdims=True))
+
+
 def train(rows: DataFrame) -> Model:
     """From rows (doc_id, text, lang). See the module for the bounded sample."""
     labelled = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
@@ -107,25 +113,24 @@ def train(rows: DataFrame) -> Model:
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("lang"), pa.array(bits, pa.binary())], names=["doc_id", "lang", "bits"])
 
     sample = sorted(((r["doc_id"], r["lang"], bytes(r["bits"])) for r in frames.arrow_map(chosen, grams, "doc_id long, lang string, bits binary").collect()), key=lambda r: (r[0], r[1], r[2]))
-    x = np.unpackbits(np.frombuffer(b"".join(s[2] for s in sample), np.uint8).reshape(len(sample), -1), axis=1).astype(np.float32)
-    sizes = x.sum(axis=1)
-    x, sample = x[sizes > 0], [s for s, n in zip(sample, sizes) if n]
+    sample = [s for s in sample if any(s[2])]
     if not sample:
         return Model([], np.zeros((GRAMS, 0)))
-    x /= np.sqrt(x.sum(axis=1, keepdims=True))
+    marks = _unit_rows([sample[i][2] for i in np.unique(np.linspace(0, len(sample) - 1, min(LANDMARKS, len(sample))).astype(int))])
+    # Kernel rows of the sample against the landmarks, a batch at a time.
+    kernel = np.concatenate([_unit_rows([s[2] for s in sample[i : i + 128]]) @ marks.T for i in range(0, len(sample), 128)]).astype(np.float64)
     y = np.array([[float(s[1] == lang) for lang in languages] for s in sample])
-    marks = x[np.unique(np.linspace(0, len(x) - 1, min(LANDMARKS, len(x))).astype(int))]
     # Nystroem features: kernel values against the landmarks times the inverse root of the landmarks' own kernel.
     own = (marks @ marks.T).astype(np.float64)
     values, vectors = np.linalg.eigh(own)
     keep = values > 1e-6 * values[-1]
     root = vectors[:, keep] / np.sqrt(values[keep])
-    z = (x @ marks.T).astype(np.float64) @ root
+    z = kernel @ root
     weight = 1.0 / np.maximum(y.sum(axis=0), 1.0)
     rows_weight = (y * weight).sum(axis=1) * len(y) / max(1, len(languages))
     zw = z * rows_weight[:, None]
     coefficients = np.linalg.solve(zw.T @ z + RIDGE * len(z) / len(languages) * 0.01 * np.eye(z.shape[1]), zw.T @ y)
-    return Model(languages, marks.T.astype(np.float64) @ (root @ coefficients))
+    return Model(languages, (marks.T @ (root @ coefficients).astype(np.float32)).astype(np.float64))
 
 
 def predicted(model: Model, spark) -> callable:
