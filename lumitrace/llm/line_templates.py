@@ -36,11 +36,11 @@ SEGMENTS = 4
 MIN_TOKENS = 3
 LONG = 12
 MIN_DOCUMENTS = 5
-FAMILIES = 6
+FAMILIES = 16
 
 _DIGIT = re.compile(r"\d")
 _VARIABLE = re.compile(r"\S*\d\S*")
-_ORDERS = [np.uint64(int(x)) for x in np.random.default_rng(17).integers(1, 1 << 62, FAMILIES)]
+_ORDERS = np.random.default_rng(17).integers(1, 1 << 62, FAMILIES).astype(np.uint64)[:, None]
 
 
 def _hash(tokens: list[str], kind: int) -> int:
@@ -68,13 +68,10 @@ def line_keys(line: str) -> list[int]:
 
 def families(lines: np.ndarray) -> np.ndarray:
     """FAMILIES hashes, each of the two smallest line hashes in one order."""
-    out = np.zeros(FAMILIES, np.uint64)
-    for j, order in enumerate(_ORDERS):
-        h = words.mix(lines ^ order)
-        if len(h) > 2:
-            h = np.partition(h, 1)[:2]
-        out[j] = words.mix(np.array([h.min(), h.max()]) + np.array([order, np.uint64(j)])).sum(dtype=np.uint64)
-    return out
+    h = words.mix(lines[None, :] ^ _ORDERS)
+    if len(lines) > 2:
+        h = np.partition(h, 1, axis=1)[:, :2]
+    return words.mix(words.mix(h.min(axis=1)) + h.max(axis=1))
 
 
 def parsed(docs: DataFrame) -> DataFrame:
