@@ -5,13 +5,13 @@ all lower orders are continuation counts shared by both classes, so an
 expression that a class has not seen is as likely in both. A word's value is
 its toxic less its ordinary log-likelihood, per character. A text's values are
 the mean over all its words and the mean of its TOP highest words, which stay
-the same however long the text is around them. A logistic curve on these two,
-fitted on texts the models have not seen, gives the score.
+the same however long the text is around them. A logistic curve on these two
+gives the score; it is fitted on values of texts that the models behind them
+have not seen, FOLDS times a part of the sample by models of the other parts.
 
-Both are fitted on a bounded sample: of each class about SAMPLE labelled texts,
-chosen by a hash of the id, FOLDS - 1 parts of it for the counts and one part
-for the curve. What reaches the driver is the sample's words with the number of
-texts that hold them, and two numbers per text of the last part.
+All is fitted on a bounded sample: of each class about SAMPLE labelled texts,
+chosen by a hash of the id. What reaches the driver is the sample's words with
+the number of texts that hold them, and two numbers per text.
 
 Defined results: texts without words, NULL ones included, score as the curve
 has it for no evidence; with labels of one class only every score is 0 or 1;
@@ -33,9 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumitrace.llm import frames
+from lumitrace.workspace import materialize
 
 ORDER = 5
+#: Discounts of continuation counts, and of class counts of one, two, and three or more: one text alone says nothing of a class.
 DISCOUNT = 0.75
+CLASS_DISCOUNTS = (1.0, 1.6, 2.2)
 TOP = 3
 SAMPLE = 1500
 FOLDS = 3
@@ -63,7 +66,7 @@ class Model:
             shorter = Counter(g[1:] for g in grams)
             self.lower[size] = dict(shorter)
             grams = set(shorter)
-        self.contexts = [self._contexts(self.full[c]) for c in (0, 1)]
+        self.contexts = [self._class_contexts(self.full[c]) for c in (0, 1)]
         self.lower_contexts = [self._contexts(d) for d in self.lower]
         self.letters = max(2, len(self.lower[1]) + 1)
         self.words: dict[str, float] = {}
@@ -78,6 +81,28 @@ class Model:
             t[1] += 1
         return {k: (a, b) for k, (a, b) in total.items()}
 
+    @staticmethod
+    def _discount(n: int) -> float:
+        return CLASS_DISCOUNTS[min(n, 3) - 1] if n else 0.0
+
+    @classmethod
+    def _class_contexts(cls, grams: dict[str, int]) -> dict[str, tuple[int, float]]:
+        """Per context the number of its continuations, and what the discounts take from them."""
+        total: dict[str, list] = {}
+        for g, n in grams.items():
+            t = total.setdefault(g[:-1], [0, 0.0])
+            t[0] += n
+            t[1] += cls._discount(n)
+        return {k: (a, b) for k, (a, b) in total.items()}
+
+    def _given(self, c: int, gram: str, shared: float) -> float:
+        """P(last character | those before it, class): what is discounted goes to the shared value."""
+        context = self.contexts[c].get(gram[:-1])
+        if context is None:
+            return shared
+        n = self.full[c].get(gram, 0)
+        return (n - self._discount(n) + context[1] * shared) / context[0]
+
     def _shared(self, gram: str) -> float:
         """P(last character | those before it) from the shared counts of this order and below."""
         p = 1.0 / self.letters
@@ -93,14 +118,7 @@ class Model:
     def log_ratio(self, gram: str) -> float:
         """log P(last character | those before it, toxic) less the same of the ordinary class."""
         shared = self._shared(gram[1:])
-        out = []
-        for c in (0, 1):
-            context = self.contexts[c].get(gram[:-1])
-            p = shared
-            if context is not None:
-                p = (max(self.full[c].get(gram, 0) - DISCOUNT, 0.0) + DISCOUNT * context[1] * shared) / context[0]
-            out.append(math.log(p))
-        return out[1] - out[0]
+        return math.log(self._given(1, gram, shared)) - math.log(self._given(0, gram, shared))
 
     def _ratio(self, gram: str) -> float:
         # A context that neither class has seen leaves both at the shared value.
@@ -186,34 +204,50 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model:
         return pa.array([i in picked.value for i in ids.to_pylist()])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL").filter(in_sample("doc_id"))
+    # The sample is small; it is stored, so that the table is read for it once.
+    rows = materialize(rows, "sample").coalesce(4)
 
     def count(batches):
         for batch in batches:
             for some in frames.chunks(batch):
                 seen = Counter()
                 for i, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
-                    label, part = picked.value[i]
-                    if part:
-                        seen.update((w, label) for w in set(_WORD.findall(text.lower())))
-                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "toxic", "n"])
-
-    counted = frames.arrow_map(rows, count, "word string, toxic int, n long").groupBy("word", "toxic").agg(F.sum("n").alias("n")).toArrow()
-    model = Model(dict(zip(zip(counted["word"].to_pylist(), counted["toxic"].to_pylist()), counted["n"].to_pylist())))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def evidence(batches):
-        for batch in batches:
-            for some in frames.chunks(batch):
-                found = [(picked.value[i][0], *shared.value.features(t)) for i, t in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()) if not picked.value[i][1]]
-                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.float64(), pa.float64()))], names=["toxic", "mean", "top"])
-
-    seen = frames.arrow_map(rows, evidence, "toxic int, mean double, top double").toArrow()
-    y = seen["toxic"].to_numpy()
-    if len(set(y.tolist())) < 2:
-        # Too few texts for a part of their own: one word that only the toxic class has tips the scale.
+                    seen.update((w, *picked.value[i]) for w in set(_WORD.findall(text.lower())))
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), *[pa.array([k[j] for k in seen], pa.int32()) for j in (1, 2)], pa.array(list(seen.values()), pa.int64())], names=["word", "toxic", "fold", "n"])
+
+    counted = frames.arrow_map(rows, count, "word string, toxic int, fold int, n long").groupBy("word", "toxic", "fold").agg(F.sum("n").alias("n")).toArrow()
+    counted = list(zip(*[counted[c].to_pylist() for c in ("word", "toxic", "fold", "n")]))
+
+    def model_without(fold: int | None) -> Model:
+        counts = Counter()
+        for word, label, part, n in counted:
+            if part != fold:
+                counts[word, label] += n
+        return Model(counts)
+
+    features, classes = [], []
+    for fold in range(FOLDS):
+        if {y for y, f in picked.value.values() if f != fold} != {0, 1}:
+            continue
+        shared = docs.sparkSession.sparkContext.broadcast(model_without(fold))
+
+        def evidence(batches, fold=fold, shared=shared):
+            for batch in batches:
+                for some in frames.chunks(batch):
+                    own = [(picked.value[i][0], t) for i, t in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()) if picked.value[i][1] == fold]
+                    found = [(y, *shared.value.features(t)) for y, t in own]
+                    yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int32(), pa.float64(), pa.float64()))], names=["toxic", "mean", "top"])
+
+        seen = frames.arrow_map(rows, evidence, "toxic int, mean double, top double").toArrow()
+        shared.destroy()
+        classes += seen["toxic"].to_pylist()
+        features += zip(seen["mean"].to_pylist(), seen["top"].to_pylist())
+    model = model_without(None)
+    if set(classes) != {0, 1}:
+        # Too few texts to hold some back: one word that only the toxic class has tips the scale.
         model.curve = (-3.0, 0.0, 12.0)
     else:
-        model.curve = fit_curve(np.column_stack((seen["mean"].to_numpy(), seen["top"].to_numpy())), y)
+        model.curve = fit_curve(np.array(features), np.array(classes))
     return model
 
 

@@ -142,15 +142,13 @@ def test_languages_are_told_apart(spark):
 def test_models_are_distributions():
     counts = {("idiot", 1): 5, ("idiom", 0): 3, ("tree", 0): 4, ("tree", 1): 2, ("trees", 0): 1}
     model = toxicity.Model(counts)
-    letters = set("idiotmres$")
+    letters = set("idiotmres$")  # all that follow another
     for context in ("^^^^", "^^^i", "idio", "zzzz", "^tre"):
         for c in (0, 1):
             total = 0.0
             for x in letters:
                 gram = (context + x)[-toxicity.ORDER :]
-                shared = model._shared(gram[1:])
-                seen = model.contexts[c].get(gram[:-1])
-                total += shared if seen is None else (max(model.full[c].get(gram, 0) - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * seen[1] * shared) / seen[0]
+                total += model._given(c, gram, model._shared(gram[1:]))
             # One place in the alphabet is left for letters never seen.
             assert 0.8 < total <= 1.0 + 1e-9, (context, c, total)
     assert model.word("idiot") > 0 > model.word("idiom") and abs(model.word("zzz")) < 0.1
