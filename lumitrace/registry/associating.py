@@ -107,13 +107,13 @@ def weighted_positions(spark, sf_dir):
 UNROLLED = 8
 
 
-def chain_sql(days: int, group: str = "0", before: str = "") -> str:
-    """CTEs up to `h`: the history (source, grp, meas_id, d2d) of a basic run over all epochs, with region group `group` of image im."""
+def chain_sql(days: int, group: str = "0", before: str = "", centre: tuple[str, str] = ("im.ra", "im.dec")) -> str:
+    """CTEs up to `h`: the history (source, grp, meas_id, d2d) of a basic run over all epochs, with region group `group` and `centre` of image im."""
     lim, dup = f"({RADIUS}::DOUBLE / 3600)", f"({DUPLICATE}::DOUBLE / 3600)"
     lifted = f"sum(weight_ew * {lifted_sql('ra')}) / sum(weight_ew)"
     ctes = [
         f"{before}m AS ({measurements_sql(days)})",
-        f"im AS (SELECT im.*, {group} AS grp FROM ({run_images_sql(days)}) im)",
+        f"im AS (SELECT im.* EXCLUDE (ra, dec), {centre[0]} AS ra, {centre[1]} AS dec, {group} AS grp FROM ({run_images_sql(days)}) im)",
         f"d AS (SELECT m.*, im.grp, {sep_sql('m.ra', 'm.dec', 'im.ra', 'im.dec')} AS dist FROM m JOIN im ON m.image_id = im.image_id)",
         f"""k0 AS (SELECT * FROM d WHERE id NOT IN (SELECT j.id FROM d i JOIN d j ON i.epoch = j.epoch AND i.grp = j.grp AND i.image_id <> j.image_id
           AND abs(i.dec - j.dec) <= {dup} AND (i.dist < j.dist OR (i.dist = j.dist AND i.id < j.id)) AND {sep_sql('i.ra', 'i.dec', 'j.ra', 'j.dec')} <= {dup}))""",

@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from lumitrace.plans import pipeline
-from lumitrace.registry.associating import SETTINGS, two_epochs_sql
-from lumitrace.registry.base import query, rnd, rnds, rounded
+from lumitrace.registry.associating import SETTINGS, UNROLLED, chain_sql, two_epochs_sql
+from lumitrace.registry.base import query, rnd, rnds, rounded, sep_sql
 from lumitrace.registry.cleaning import COMPONENTS_SQL, components
 from lumitrace.registry.covering import regions
+from lumitrace.registry.scalars import POSITION_NAME_SQL
+from lumitrace.registry.statistics import M, PAIRS_CTE, _best_pair_sql, statistics_body
 from lumitrace.settings import RunSettings
 from lumitrace.sources import catalogues
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, run_images
@@ -119,7 +121,21 @@ def arriving_images(spark, sf_dir):
     return rounded(steps.load().associations.select("source", "meas_id", "d2d"), 5)
 
 
-@query("whole_run")
+_RUN_FORKS = " UNION ALL ".join(f"SELECT src AS x, child AS y FROM f{e} UNION ALL SELECT child, src FROM f{e}" for e in range(1, UNROLLED + 1))
+_RUN_PAIRS = PAIRS_CTE[len(M) + 2 :].replace("FROM m a JOIN m b", "FROM lc a JOIN lc b")
+_CENTRE = ("(im.image_id % 10 * 137.508::DOUBLE) % 360.0::DOUBLE", "-80.0::DOUBLE + (im.image_id % 10 * 61.803::DOUBLE) % 160.0::DOUBLE")
+_RUN_SQL = f"""WITH {chain_sql(10, centre=_CENTRE)},
+ lc AS MATERIALIZED (SELECT h.source, false AS forced, im.datetime, k.* EXCLUDE (source, forced, datetime) FROM h JOIN k ON h.meas_id = k.id JOIN im ON k.image_id = im.image_id),
+ s AS MATERIALIZED ({statistics_body(lambda e: e).replace("FROM m GROUP", "FROM lc GROUP")}), {_RUN_PAIRS},
+ rel AS (SELECT x AS source, count(DISTINCT y) AS n_rel FROM ({_RUN_FORKS}) WHERE x <> y GROUP BY x),
+ nn AS (SELECT a.source, min({sep_sql("a.wavg_ra", "a.wavg_dec", "b.wavg_ra", "b.wavg_dec")}) AS n_neighbour_dist FROM s a JOIN s b ON a.source <> b.source GROUP BY a.source),
+ x AS (SELECT s.*, wavg_ra AS ra, wavg_dec AS dec FROM s)
+ SELECT CAST(x.source AS BIGINT) AS source, {POSITION_NAME_SQL} AS name, n_meas, coalesce(n_rel, 0) AS n_rel, {rnds("wavg_ra", "wavg_dec", "eta_peak", "v_peak", "n_neighbour_dist")},
+  {rnd("coalesce(m_abs_significant_max_peak, 0)")} AS m_abs_significant_max_peak
+ FROM x LEFT JOIN rel USING (source) LEFT JOIN nn USING (source) LEFT JOIN ({_best_pair_sql("peak")}) USING (source)"""
+
+
+@query("whole_run", _RUN_SQL)
 def whole_run(spark, sf_dir):
     """A run from measurements to final sources, over three epochs."""
     m = measurements(spark, sf_dir, 10).drop("source", "epoch", "datetime").withColumn("forced", F.lit(False))
