@@ -139,15 +139,15 @@ def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_votable(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """VOTable XML catalogues: FIELD elements give the order of the TD values of each TR."""
-    joined = paths if isinstance(paths, str) else ",".join(paths)
+    paths = [paths] if isinstance(paths, str) else paths
     field = T.StructType([T.StructField("_name", T.StringType())])
-    fields = spark.read.format("xml").options(rowTag="FIELD").schema(field).load(joined)
+    fields = spark.read.format("xml").options(rowTag="FIELD").schema(field).load(paths)
     # Field order inside a file is the order the reader meets them in: one file
     # is one task here, as row tags are found by scanning the file from its start.
     ordered = fields.select(_path().alias("catalogue_path"), F.struct(F.monotonically_increasing_id().alias("i"), F.col("_name").alias("n")).alias("f"))
     headers = ordered.groupBy("catalogue_path").agg(F.array_sort(F.collect_list("f")).alias("f"))
     cell = T.StructType([T.StructField("TD", T.ArrayType(T.StringType()))])
-    rows = spark.read.format("xml").options(rowTag="TR").schema(cell).load(joined)
+    rows = spark.read.format("xml").options(rowTag="TR").schema(cell).load(paths)
     rows = rows.select(_path().alias("catalogue_path"), F.col("TD").alias("values"))
     return _pick(rows, headers.select("catalogue_path", F.transform("f", lambda f: f["n"]).alias("names")))
 
