@@ -1,19 +1,22 @@
 """Near-duplicate documents by MinHash in one permutation.
 
 A document is the set of its distinct shingles of SIZE words. One hash per
-shingle fills BINS bins with their minimum; an empty bin borrows from the first
-full one in a random order of its own, the same for all sets (optimal
-densification). Bands of ROWS bins make buckets: two sets of similarity 0.75
-share none with a chance of (1 - 0.75**4)**32, about 5e-6. Sets that are equal
-are one node from the start.
-
-Inside a bucket candidates are stars: one member is compared with the others. A
-bucket whose members then belong to one component is done; in the others
-further members become centres, twice as many each round, until all are in one
-component or every member was a centre. So no link is lost to the star shape,
-and a bucket of near copies costs one comparison each. Candidates whose
-signatures agree in under half of the bins are dropped (0.75 is over six
-standard deviations away); the rest are confirmed on the full sets.
+shingle fills bins with their minimum; an empty bin borrows from the first full
+one in a random order of its own, the same for all sets (optimal
+densification). Bands of ROWS of the BINS coarse bins make buckets: two sets of
+similarity 0.75 share none with a chance of (1 - 0.75**4)**32, about 5e-6. Sets
+that are equal are one node from the start.
+
+Candidates are stars first: in each bucket the member that meets most others in
+all its buckets is the centre, and is compared with the rest, so a group of
+near copies costs one comparison each. A bucket whose members are then in one
+component is done. In the few others no link may be lost to the star shape, so
+members of different components are held against each other, in blocks of at
+most BLOCK of a bucket, and only pairs that may be links leave the block, from
+the first bucket they share. A pair is judged by FINE finer bins of both sets;
+sets of 0.75 agree in fewer than asked for with a chance of about 3e-6. What
+that lets pass is confirmed on full sets: those of up to WHOLE shingles are at
+hand, larger ones are made from their texts again.
 
 Defined results: a document without words or text has no shingles, is linked
 with nothing and kept; one with fewer than SIZE words has its whole sequence as
@@ -24,6 +27,8 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,26 +42,77 @@ SIZE = 5
 THRESHOLD = 75
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-#: Bins, of BINS, that must agree before full sets are compared.
-AGREEING = BINS // 2
+#: Bins that only tell how alike two sets are; each keeps two bits.
+FINE = 2048
+#: Sets of up to so many shingles are compared whole wherever they meet.
+WHOLE = 256
+BLOCK = 2000
+
+
+def _orders(bins: int) -> np.ndarray:
+    return np.array([np.random.default_rng(1000 + b).permutation(bins)[:128] for b in range(bins)])
+
 
-_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(57)
-_ORDERS = np.array([np.random.default_rng(1000 + b).permutation(BINS) for b in range(BINS)])
+_EDGES = {n: np.arange(n, dtype=np.uint64) << np.uint64(64 - n.bit_length() + 1) for n in (BINS, FINE)}
+_ORDERS = {n: _orders(n) for n in (BINS, FINE)}
+_BAND_SEEDS = words.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """16-bit minima of the bins of an ordered, non-empty set of hashes."""
-    first = np.append(np.searchsorted(shingles, _EDGES), len(shingles))
+def minima(shingles: np.ndarray, bins: int) -> np.ndarray:
+    """Minimum of every bin of an ordered, non-empty set of hashes, empty ones filled."""
+    first = np.append(np.searchsorted(shingles, _EDGES[bins]), len(shingles))
     full = first[1:] > first[:-1]
-    out = np.zeros(BINS, dtype=np.uint16)
-    out[full] = (shingles[first[:-1][full]] & np.uint64(0xFFFF)).astype(np.uint16)
+    out = np.zeros(bins, dtype=np.uint64)
+    out[full] = shingles[first[:-1][full]]
     empty = np.flatnonzero(~full)
     if len(empty):
-        donors = _ORDERS[empty]
-        out[empty] = out[donors[np.arange(len(empty)), full[donors].argmax(axis=1)]]
+        donors = _ORDERS[bins][empty]
+        hit = full[donors]
+        place = hit.argmax(axis=1)
+        out[empty] = out[donors[np.arange(len(empty)), place]]
+        # No full bin among the first of the order: the next full one after a place of the bin's own.
+        rest = empty[~hit.any(axis=1)]
+        filled = np.flatnonzero(full)
+        out[rest] = out[filled[np.searchsorted(filled, rest * 7919 % bins) % len(filled)]]
     return out
 
 
+def buckets(shingles: np.ndarray) -> np.ndarray:
+    """Buckets of the bands, signed 64-bit."""
+    coarse = (minima(shingles, BINS) & np.uint64(0xFFFF)).astype("<u2").view("<u8")
+    return words.mix(words.mix(coarse) ^ _BAND_SEEDS).view(np.int64)
+
+
+def fine_bins(shingles: np.ndarray) -> bytes:
+    """Two bits of every fine bin, packed."""
+    f = (minima(shingles, FINE) & np.uint64(3)).astype(np.uint8).reshape(-1, 4)
+    return (f[:, 0] | f[:, 1] << 2 | f[:, 2] << 4 | f[:, 3] << 6).tobytes()
+
+
+_EQUAL = np.array([sum((x >> 2 * k) & 3 == 0 for k in range(4)) for x in range(256)], dtype=np.uint8)
+
+
+def agreeing(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Fine bins in which packed rows agree."""
+    return _EQUAL[one ^ others].sum(axis=-1, dtype=np.int64)
+
+
+def _rows(column: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint8).reshape(len(column), FINE // 4)
+
+
+def least_agreement(threshold: int) -> int:
+    """Fine bins, of FINE, in which sets that are just similar enough agree, less 4.5 standard deviations."""
+    p = threshold / 100
+    p += (1 - p) / 4
+    return math.floor(FINE * p - 4.5 * math.sqrt(FINE * p * (1 - p)))
+
+
+def _similar(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= threshold * (len(x) + len(y) - both)
+
+
 def set_hash(shingles: np.ndarray) -> int:
     """A signed 64-bit hash of an ordered set."""
     place = np.arange(1, len(shingles) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -65,7 +121,7 @@ def set_hash(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_id and signature of every row; the last two are NULL for empty sets."""
+    """doc_id, text_key, n_shingles, set_id and buckets of every row; the last two are NULL for empty sets."""
 
     def sign(batches):
         for batch in batches:
@@ -76,112 +132,197 @@ def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
                     own = words.shingle_set(w.of(i), size)
                     counts.append(len(own))
                     ids.append(set_hash(own) if len(own) else None)
-                    signs.append(signature(own).tobytes() if len(own) else None)
+                    signs.append(buckets(own) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(signs, pa.binary())],
-                    names=["doc_id", "text_key", "n_shingles", "set_id", "signature"],
+                    [some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(signs, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_key", "n_shingles", "set_id", "buckets"],
                 )
 
-    return frames.arrow_map(frames.keyed(docs), sign, "doc_id long, text_key long, n_shingles long, set_id long, signature binary")
+    return frames.arrow_map(frames.keyed(docs), sign, "doc_id long, text_key long, n_shingles long, set_id long, buckets array<long>")
 
 
-def _agreeing(a: pa.Array, b: pa.Array) -> pa.Array:
-    x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, BINS) for c in (a, b))
-    return pa.array((x == y).sum(axis=1).astype(np.int32))
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """set_id and text of the documents named in `wanted` (set_id, doc_id, text_key); others leave before any shuffle."""
+    spark = docs.sparkSession
+    frames.ship(spark)
+    few = spark.sparkContext.broadcast(frames.BitFilter.build(wanted, "text_key"))
+
+    @F.arrow_udf("boolean")
+    def maybe(key: pa.Array) -> pa.Array:
+        return pa.array(few.value.has(key.to_numpy(zero_copy_only=False).view(np.uint64)))
 
+    texts = frames.keyed(docs).filter(maybe("text_key"))
+    return frames.on_key(wanted, texts, ["doc_id", "text_key"], "inner").select("set_id", "text")
+
+
+def looks(docs: DataFrame, wanted: DataFrame, size: int = SIZE) -> DataFrame:
+    """set_id, n, buckets, fine bins and, of sets of up to WHOLE shingles, the shingles themselves."""
+
+    def look(batches):
+        for batch in batches:
+            for some in frames.chunks(batch):
+                w = words.Words(some.column("text"), words.SPACED)
+                sets = [words.shingle_set(w.of(i), size) for i in range(some.num_rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("set_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([buckets(x) for x in sets], pa.list_(pa.int64())), pa.array([fine_bins(x) for x in sets], pa.binary()), pa.array([x.tobytes() if len(x) <= WHOLE else b"" for x in sets], pa.binary())],
+                    names=["set_id", "n", "buckets", "fine", "whole"],
+                )
+
+    found = frames.arrow_map(_texts(docs, wanted), look, "set_id long, n long, buckets array<long>, fine binary, whole binary")
+    return materialize(found.dropDuplicates(["set_id"]), "looks")
+
+
+NO, MAYBE, YES = 0, 1, 2
+
+
+def _judged(threshold: int):
+    least = least_agreement(threshold)
+
+    def judge(fa: pa.Array, fb: pa.Array, na: pa.Array, nb: pa.Array, wa: pa.Array, wb: pa.Array) -> pa.Array:
+        if not len(fa):
+            return pa.array([], pa.int32())
+        n, m = na.to_numpy(), nb.to_numpy()
+        out = np.where((agreeing(_rows(fa.to_pylist()), _rows(fb.to_pylist())) >= least) & (100 * np.minimum(n, m) >= threshold * np.maximum(n, m)), MAYBE, NO)
+        for i in np.flatnonzero(np.maximum(n, m) <= WHOLE):
+            out[i] = YES if _similar(np.frombuffer(wa[i].as_py(), np.uint64), np.frombuffer(wb[i].as_py(), np.uint64), threshold) else NO
+        return pa.array(out.astype(np.int32))
+
+    return judge
+
+
+#: For sets compared whole the bins only have to spare most comparisons: so many standard deviations more.
+WIDE = 3
+
+
+def _across(threshold: int):
+    """Rows (bucket, i, j, side, set_id, label, n, buckets, fine, whole), sorted by block: pairs of different labels that are or may be similar."""
+    least = least_agreement(threshold)
+    spare = least - math.ceil(WIDE * math.sqrt(FINE) / 2)
+
+    def pairs(bucket, own, other):
+        """own, other: rows of the two sides; the same list for a block against itself."""
+        if not own or not other:
+            return
+        bins = _rows([r["fine"] for r in other])
+        labels, n = (np.array([r[c] for r in other]) for c in ("label", "n"))
+        bands = np.array([r["buckets"] for r in other])
+        for x, row in enumerate(own):
+            apart = (labels != row["label"]) & (100 * np.minimum(n, row["n"]) >= threshold * np.maximum(n, row["n"]))
+            if own is other:
+                apart[: x + 1] = False
+            at = np.flatnonzero(apart)
+            if not len(at):
+                continue
+            same = agreeing(np.frombuffer(row["fine"], np.uint8), bins[at])
+            whole = np.maximum(n[at], row["n"]) <= WHOLE
+            mine, mine_whole = np.array(row["buckets"]), np.frombuffer(row["whole"], np.uint64)
+            for y, exact in zip(at[same >= np.where(whole, spare, least)], whole[same >= np.where(whole, spare, least)]):
+                # The first bucket that both are in speaks for the pair.
+                if mine[np.argmax(mine == bands[y])] != bucket:
+                    continue
+                if not exact or _similar(mine_whole, np.frombuffer(other[y]["whole"], np.uint64), threshold):
+                    yield row["set_id"], other[y]["set_id"], YES if exact else MAYBE
+
+    def compare(batches):
+        held, key = [], None
+
+        def flush():
+            own = [r for r in held if r["side"] == 0]
+            other = [r for r in held if r["side"] == 1] if key[1] != key[2] else own
+            found = list(pairs(key[0], own, other))
+            return pa.RecordBatch.from_arrays([pa.array([min(p[:2]) for p in found], pa.int64()), pa.array([max(p[:2]) for p in found], pa.int64()), pa.array([p[2] for p in found], pa.int32())], names=["a", "b", "judged"])
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                for r in batch.slice(at, 256).to_pylist():
+                    now = (r["bucket"], r["i"], r["j"])
+                    if key is not None and now != key:
+                        yield flush()
+                        held = []
+                    key = now
+                    held.append(r)
+        if held:
+            yield flush()
+
+    return compare
+
+
+def links(docs: DataFrame, sets: DataFrame, judged: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) that are judged YES, or MAYBE and similar enough on the full sets of their texts. `sets`: set_id, and doc_id and text_key of one document each."""
 
-def _linked(size: int, threshold: int):
     def confirm(batches):
         for batch in batches:
             for some in frames.chunks(batch, "text_a"):
                 a, b = (words.Words(some.column(c), words.SPACED) for c in ("text_a", "text_b"))
-                keep = []
-                for i in range(some.num_rows):
-                    x, y = words.shingle_set(a.of(i), size), words.shingle_set(b.of(i), size)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= threshold * (len(x) + len(y) - both))
+                keep = [_similar(words.shingle_set(a.of(i), size), words.shingle_set(b.of(i), size), threshold) for i in range(some.num_rows)]
                 yield some.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return confirm
-
-
-def links(docs: DataFrame, sets: DataFrame, pairs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
-    """Those of `pairs` (a, b: set ids) whose full sets are similar enough. `sets`: set_id, doc_id, text_key of one document each, and signature."""
-    spark = docs.sparkSession
-    frames.ship(spark)
-    side = {c: sets.select(F.col("set_id").alias(c), F.col("signature").alias(f"s_{c}")) for c in "ab"}
-    agree = F.arrow_udf(_agreeing, "int")
-    alike = pairs.join(side["a"], "a").join(side["b"], "b").withColumn("same", agree("s_a", "s_b"))
-    alike = materialize(alike.filter(F.col("same") >= AGREEING).select("a", "b"), "candidates")
-    wanted = alike.select(F.col("a").alias("set_id")).union(alike.select("b")).distinct()
-    wanted = materialize(wanted.join(sets.select("set_id", "doc_id", "text_key"), "set_id"), "wanted")
-    few = spark.sparkContext.broadcast(frames.BitFilter.build(wanted, "text_key"))
+    judged = materialize(judged.filter(F.col("judged") > NO), "judged")
+    maybe = judged.filter(F.col("judged") == MAYBE).select("a", "b")
+    wanted = maybe.select(F.col("a").alias("set_id")).union(maybe.select("b")).distinct()
+    wanted = materialize(wanted.join(sets, "set_id"), "wanted")
+    texts = _texts(docs, wanted)
+    both = maybe.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
+    sure = judged.filter(F.col("judged") == YES).select("a", "b")
+    return materialize(frames.arrow_map(both, confirm, "a long, b long").unionByName(sure).distinct(), "links")
 
-    @F.arrow_udf("boolean")
-    def maybe(key: pa.Array) -> pa.Array:
-        return pa.array(few.value.has(key.to_numpy(zero_copy_only=False).view(np.uint64)))
 
-    texts = frames.keyed(docs).filter(maybe("text_key"))
-    texts = frames.on_key(wanted, texts, ["doc_id", "text_key"], "inner").select("set_id", "text")
-    both = alike.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return materialize(frames.arrow_map(both, _linked(size, threshold), "a long, b long").distinct(), "links")
+def _merged(found: DataFrame) -> DataFrame:
+    """set_id, label of all ends of the links (a, b)."""
+    ends = found.select(F.col("a").alias("id"), F.col("b").alias("other"))
+    ends = ends.unionByName(ends.select(F.col("other").alias("id"), F.col("id").alias("other")))
+    return connected_labels(ends.select("id").distinct(), ends).withColumnRenamed("id", "set_id")
 
 
 def components(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
     """Per row: doc_id, text_key, n_shingles, component_id, kept."""
+    frames.ship(docs.sparkSession)
     signed = materialize(signatures(docs, size), "signatures")
     named = signed.filter("set_id IS NOT NULL")
     # A NULL id is the last choice of a set's document.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    sets = named.groupBy("set_id").agg(least.alias("d"), F.first("signature").alias("signature"))
-    sets = materialize(sets.select("set_id", "d.doc_id", "d.text_key", "signature"), "sets")
+    sets = materialize(named.groupBy("set_id").agg(least.alias("d")).select("set_id", "d.doc_id", "d.text_key"), "sets")
 
-    band = [F.xxhash64(F.lit(i), F.substring("signature", 2 * ROWS * i + 1, 2 * ROWS)) for i in range(BANDS)]
-    filed = sets.select("set_id", F.explode(F.array(*band)).alias("bucket")).repartition("bucket")
-    shared = filed.groupBy("bucket").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).filter("lo <> hi").select("bucket")
+    distinct = named.groupBy("set_id").agg(F.first("buckets").alias("buckets"))
+    filed = distinct.select("set_id", F.explode("buckets").alias("bucket")).repartition("bucket")
+    shared = filed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = materialize(filed.join(shared, "bucket"), "members")
-
-    found = None
-    labels = None
-    tested = None
-    used = None
-    centres_each = 1
-    while True:
-        own = members.withColumn("label", F.col("set_id"))
-        if labels is not None:
-            own = members.join(labels, "set_id", "left").select("bucket", "set_id", F.coalesce("label", "set_id").alias("label"))
-        state = own.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        open_ = own.join(state.filter("lo <> hi").select("bucket"), "bucket")
-        free = open_ if used is None else open_.join(used, ["bucket", "set_id"], "left_anti")
-        shard = F.pmod(F.xxhash64("set_id", "bucket"), F.lit(centres_each))
-        centres = free.groupBy("bucket", shard.alias("shard")).agg(F.min(F.struct("set_id", "label")).alias("c"))
-        centres = materialize(centres.select("bucket", F.col("c.set_id").alias("centre"), F.col("c.label").alias("its")), "centres")
-        if centres.isEmpty():
-            break
-        now = centres.select("bucket", F.col("centre").alias("set_id"))
-        used = materialize(now if used is None else used.unionByName(now), "used")
-        pairs = open_.join(centres, "bucket").filter("label <> its")
-        pairs = pairs.select(F.least("set_id", "centre").alias("a"), F.greatest("set_id", "centre").alias("b")).distinct()
-        pairs = materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        centres_each *= 2
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = links(docs, sets, pairs, size, threshold)
-        if new.isEmpty():
-            continue
-        found = new if found is None else found.unionByName(new)
-        ends = found.select(F.col("a").alias("id"), F.col("b").alias("other"))
-        ends = ends.unionByName(ends.select(F.col("other").alias("id"), F.col("id").alias("other")))
-        labels = connected_labels(ends.select("id").distinct(), ends).withColumnRenamed("id", "set_id")
+    seen = looks(docs, materialize(members.select("set_id").distinct().join(sets, "set_id"), "wanted"), size)
+
+    # Stars: the centre of a bucket is the member that meets most others.
+    met = members.groupBy("set_id").agg(F.sum("size").alias("met"))
+    centres = members.join(met, "set_id").groupBy("bucket").agg(F.max(F.struct("met", "set_id")).alias("c")).select("bucket", "c.set_id")
+    stars = members.select("bucket", F.col("set_id").alias("a")).join(centres.withColumnRenamed("set_id", "b"), "bucket").filter("a <> b").select("a", "b").distinct()
+    side = {c: seen.select(F.col("set_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("fine", "n", "whole")]) for c in "ab"}
+    judge = F.arrow_udf(_judged(threshold), "int")
+    judged = stars.join(side["a"], "a").join(side["b"], "b").select("a", "b", judge("fine_a", "fine_b", "n_a", "n_b", "whole_a", "whole_b").alias("judged"))
+    labels = _merged(links(docs, sets, judged, size, threshold))
+
+    # Buckets with several components left: members against those of other components.
+    own = members.join(labels, "set_id", "left").select("bucket", "set_id", "size", F.coalesce("label", "set_id").alias("label"))
+    left = own.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi AND lo IS NOT NULL").select("bucket")
+    # The star of a bucket of two has compared all there is.
+    left = materialize(own.join(left, "bucket").filter("size > 2"), "left")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(k, mine).alias("i"), F.greatest(k, mine).alias("j"), (mine > k).cast("int").alias("side")))
+    laid = left.select("bucket", "set_id", "label", F.explode(meets).alias("m")).select("bucket", "m.i", "m.j", "m.side", "set_id", "label")
+    laid = laid.join(seen, "set_id").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    more = links(docs, sets, frames.arrow_map(laid, _across(threshold), "a long, b long, judged int"), size, threshold)
+    if not more.isEmpty():
+        name = {c: labels.select(F.col("set_id").alias(c), F.col("label").alias(f"l_{c}")) for c in "ab"}
+        between = more.join(name["a"], "a", "left").join(name["b"], "b", "left").select(F.coalesce("l_a", "a").alias("a"), F.coalesce("l_b", "b").alias("b")).distinct()
+        joined = _merged(between).select(F.col("set_id").alias("label"), F.col("label").alias("whole"))
+        # A set that was alone so far is its own label.
+        alone = joined.select(F.col("label").alias("set_id"), F.col("whole").alias("label")).join(labels, "set_id", "left_anti")
+        labels = materialize(labels.join(joined, "label", "left").select("set_id", F.coalesce("whole", "label").alias("label")).unionByName(alone), "labels")
 
     plain = sets.select("set_id", F.col("doc_id").alias("component_id"))
-    if labels is not None:
-        in_component = sets.select("set_id", "doc_id").join(labels, "set_id")
-        smallest = in_component.groupBy("label").agg(F.min("doc_id").alias("smallest"))
-        linked = in_component.join(smallest, "label").select("set_id", "smallest")
-        plain = plain.join(linked, "set_id", "left").select("set_id", F.coalesce("smallest", "component_id").alias("component_id"))
-    out = named.drop("signature").join(plain, "set_id").select("doc_id", "text_key", "n_shingles", "component_id")
+    in_component = sets.select("set_id", "doc_id").join(labels, "set_id")
+    smallest = in_component.groupBy("label").agg(F.min("doc_id").alias("smallest"))
+    linked = in_component.join(smallest, "label").select("set_id", "smallest")
+    plain = plain.join(linked, "set_id", "left").select("set_id", F.coalesce("smallest", "component_id").alias("component_id"))
+    out = named.drop("buckets").join(plain, "set_id").select("doc_id", "text_key", "n_shingles", "component_id")
     empty = signed.filter("set_id IS NULL").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
