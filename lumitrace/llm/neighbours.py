@@ -35,12 +35,12 @@ JOINED = 32
 #: Best partners that a node learns of in one comparison.
 PARTNERS = 6
 PROJECTIONS, BLOCK = 4, 512
-ROUNDS = 7
+ROUNDS = 5
 #: Rounds end when less than this part of all edges is new.
 SETTLED = 0.02
 #: Links of a node that the search follows.
 LINKS = 128
-WIDTH = 160
+WIDTH = 220
 STEPS = 12
 ENTRIES = 4
 
