@@ -30,17 +30,17 @@ from pyspark.sql import functions as F
 from lumitrace.llm import frames
 from lumitrace.workspace import materialize
 
-DEGREE = 16
-JOINED = 32
+DEGREE = 20
+JOINED = 48
 #: Best partners that a node learns of in one comparison.
-PARTNERS = 6
-PROJECTIONS, BLOCK = 4, 512
+PARTNERS = 8
+PROJECTIONS, BLOCK = 6, 512
 ROUNDS = 5
 #: Rounds end when less than this part of all edges is new.
-SETTLED = 0.02
+SETTLED = 0.01
 #: Links of a node that the search follows.
 LINKS = 128
-WIDTH = 220
+WIDTH = 400
 STEPS = 12
 ENTRIES = 4
 
