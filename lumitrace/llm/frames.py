@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
+#: Rows in an Arrow batch. Batches are held on both sides of a worker's pipe, and a row may be a long text.
+BATCH_ROWS = 500
+
 #: Bytes of text that are worked on at once inside a task; a longer document is a chunk of its own.
 CHUNK_BYTES = 1 << 20
 
@@ -23,7 +26,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors the package's source, once per application; Spark's file server hands it out."""
+    """Give executors the package's source, once per application; Spark's file server hands it out. Batches are kept small from here on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

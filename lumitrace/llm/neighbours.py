@@ -32,6 +32,8 @@ from lumitrace.workspace import materialize
 
 DEGREE = 20
 JOINED = 48
+#: Rows that a task compares at once; those of one node stay together.
+MEETING_ROWS = 8192
 #: Best partners that a node learns of in one comparison.
 PARTNERS = 8
 PROJECTIONS, BLOCK = 6, 512
@@ -140,17 +142,23 @@ def _local_joins(batches):
             g, i, j = np.nonzero(np.isfinite(value))
             yield _edge_batch(node[place[g, i]], node[place[g, best[g, i, j]]], value[g, i, j])
 
-    held = None
+    held, waiting, n = None, [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "node", "radius", "fresh")] + [_matrix(batch.column("half"), "<f2")]
-        held = own if held is None else [np.concatenate((a, b)) for a, b in zip(held, own)]
+        waiting.append([batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "node", "radius", "fresh")] + [_matrix(batch.column("half"), "<f2")])
+        n += batch.num_rows
+        if n < MEETING_ROWS:
+            continue
+        held = [np.concatenate(parts) for parts in zip(*([held] if held else []), *waiting)]
+        waiting, n = [], 0
         cut = int(np.searchsorted(held[0], held[0][-1]))
         if cut:
             yield from compare(*[a[:cut] for a in held])
             held = [a[cut:] for a in held]
-    if held is not None:
+    if waiting:
+        held = [np.concatenate(parts) for parts in zip(*([held] if held else []), *waiting)]
+    if held is not None and len(held[0]):
         yield from compare(*held)
 
 
