@@ -8,10 +8,10 @@ template recurs if it stands in at least MIN_DOCUMENTS documents; lines of
 MIN_TOKENS or more tokens that have a recurring template are dropped.
 
 Copies of a document count as one document, else every line of a copied page
-would recur. Copies are told by families: FAMILIES times, the two smallest line
-hashes of a document under another order name its family, and a document
-weighs one over the size of its largest family. A near copy keeps the two
-lines of at least one order, so a group of copies weighs about one.
+would recur. Copies are what `near_duplicates` links: texts whose word shingles
+agree, directly or through other texts. Pages that share lines but are not near
+copies as a whole are different documents. Groups are only looked for if some
+template stands in enough distinct texts.
 
 Defined results: NULL text stays NULL with no lines; an empty text is one
 line, which is never dropped; a table without rows gives none; repeated rows are
@@ -22,13 +22,12 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumitrace.llm import frames, words
+from lumitrace.llm import frames, near_duplicates
 from lumitrace.workspace import materialize
 
 LEADING = 2
@@ -36,11 +35,9 @@ SEGMENTS = 4
 MIN_TOKENS = 3
 LONG = 12
 MIN_DOCUMENTS = 5
-FAMILIES = 16
 
 _DIGIT = re.compile(r"\d")
 _VARIABLE = re.compile(r"\S*\d\S*")
-_ORDERS = np.random.default_rng(17).integers(1, 1 << 62, FAMILIES).astype(np.uint64)[:, None]
 
 
 def _hash(tokens: list[str], kind: int) -> int:
@@ -66,51 +63,41 @@ def line_keys(line: str) -> list[int]:
     return keys
 
 
-def families(lines: np.ndarray) -> np.ndarray:
-    """FAMILIES hashes, each of the two smallest line hashes in one order."""
-    h = words.mix(lines[None, :] ^ _ORDERS)
-    if len(lines) > 2:
-        h = np.partition(h, 1, axis=1)[:, :2]
-    return words.mix(words.mix(h.min(axis=1)) + h.max(axis=1))
-
-
 def parsed(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, text_key, n_lines, families, and (line, key) of each template of each line."""
+    """Per row: doc_id, text_key, n_lines, and (line, key) of each template of each line."""
     kind = pa.list_(pa.struct([("line", pa.int32()), ("key", pa.int64())]))
 
     def parse(batches):
         for batch in batches:
             for some in frames.chunks(batch):
-                counts, groups, templates = [], [], []
+                counts, templates = [], []
                 for text in some.column("text").to_pylist():
                     if text is None:
-                        counts.append(0), groups.append([]), templates.append([])
+                        counts.append(0), templates.append([])
                         continue
                     lines = text.split("\n")
-                    whole = np.array([xxhash.xxh3_64_intdigest(x) for x in dict.fromkeys(lines)], np.uint64)
                     counts.append(len(lines))
-                    groups.append(families(whole).view(np.int64).tolist())
                     templates.append([{"line": i, "key": k - (1 << 64) if k >> 63 else k} for i, line in enumerate(lines) for k in line_keys(line)])
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int32()), pa.array(groups, pa.list_(pa.int64())), pa.array(templates, kind)],
-                    names=["doc_id", "text_key", "n_lines", "families", "templates"],
+                    [some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int32()), pa.array(templates, kind)],
+                    names=["doc_id", "text_key", "n_lines", "templates"],
                 )
 
-    return frames.arrow_map(frames.keyed(docs), parse, "doc_id long, text_key long, n_lines int, families array<long>, templates array<struct<line: int, key: long>>")
+    return frames.arrow_map(frames.keyed(docs), parse, "doc_id long, text_key long, n_lines int, templates array<struct<line: int, key: long>>")
 
 
-def recurring_lines(rows: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """doc_id, text_key, dropped (line numbers) of documents with recurring lines. `rows`: see `parsed`."""
     row = ["doc_id", "text_key"]
-    each = rows.select(*row, F.posexplode("families").alias("j", "family"))
-    sizes = each.groupBy("j", "family").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # Documents alone in all their families have no row here and weigh one.
-    heavy = each.join(sizes, ["j", "family"]).groupBy(*row).agg(F.max("n").alias("n"))
-    keys = rows.select(*row, F.array_distinct(F.col("templates.key")).alias("keys"))
-    weighed = frames.on_key(keys, heavy, row).select(F.explode("keys").alias("key"), (1.0 / F.coalesce("n", F.lit(1))).alias("weight"))
-    # Weights of one group of copies add up to one, save for rounding.
-    recurring = weighed.groupBy("key").agg(F.sum("weight").alias("documents")).filter(F.col("documents") >= min_documents - 1e-6).select("key")
-    recurring = materialize(recurring, "recurring")
+    enough = F.count(F.lit(1)) >= min_documents
+    held = rows.select("text_key", F.explode(F.array_distinct(F.col("templates.key"))).alias("key")).distinct()
+    # Groups are no more than texts, so a template in too few texts cannot recur.
+    often = held.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key")
+    often = materialize(held.join(often, "key", "left_semi"), "often")
+    if often.isEmpty():
+        return often.select(F.lit(None).cast("long").alias("doc_id"), "text_key", F.array().cast("array<int>").alias("dropped"))
+    counted = often.join(near_duplicates.groups(docs), "text_key").select("key", "group").distinct()
+    recurring = materialize(counted.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key"), "recurring")
     lines = rows.select(*row, F.explode("templates").alias("t")).select(*row, "t.line", "t.key").join(recurring, "key", "left_semi")
     return lines.groupBy(*row).agg(F.collect_set("line").alias("dropped"))
 
@@ -125,7 +112,7 @@ def kept_text(text: str = "text", dropped: str = "dropped"):
 def dedupe_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped, text without recurring lines, dropped (sorted line numbers)."""
     rows = materialize(parsed(docs), "lines")
-    gone = recurring_lines(rows, min_documents)
+    gone = recurring_lines(rows, docs, min_documents)
     out = frames.on_key(frames.keyed(docs), gone.hint("shuffle_hash"), ["doc_id", "text_key"])
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
@@ -134,7 +121,7 @@ def dedupe_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFra
 
 def without_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """`docs` with the recurring lines out of `text`, and n_chars, if there is one, counted anew."""
-    gone = recurring_lines(materialize(parsed(docs), "lines"), min_documents)
+    gone = recurring_lines(materialize(parsed(docs), "lines"), docs, min_documents)
     rows = frames.on_key(frames.whole_rows(docs), gone.hint("shuffle_hash"), ["doc_id", "text_key"]).withColumn("text", kept_text())
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:

@@ -274,8 +274,8 @@ def _merged(found: DataFrame) -> DataFrame:
     return connected_labels(ends.select("id").distinct(), ends).withColumnRenamed("id", "set_id")
 
 
-def components(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, text_key, n_shingles, component_id, kept."""
+def _labelled(docs: DataFrame, size: int, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, the first document of every set, and the label (set_id, label) of every set that is linked."""
     frames.ship(docs.sparkSession)
     signed = materialize(signatures(docs, size), "signatures")
     named = signed.filter("set_id IS NOT NULL")
@@ -316,7 +316,20 @@ def components(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) ->
         # A set that was alone so far is its own label.
         alone = joined.select(F.col("label").alias("set_id"), F.col("whole").alias("label")).join(labels, "set_id", "left_anti")
         labels = materialize(labels.join(joined, "label", "left").select("set_id", F.coalesce("whole", "label").alias("label")).unionByName(alone), "labels")
+    return signed, sets, labels
+
+
+def groups(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """text_key and group of every text with words, each text once: near copies are in one group, whatever their ids."""
+    signed, _, labels = _labelled(docs, size, threshold)
+    named = signed.filter("set_id IS NOT NULL").select("text_key", "set_id").distinct()
+    return named.join(labels, "set_id", "left").select("text_key", F.coalesce("label", "set_id").alias("group"))
 
+
+def components(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
+    """Per row: doc_id, text_key, n_shingles, component_id, kept."""
+    signed, sets, labels = _labelled(docs, size, threshold)
+    named = signed.filter("set_id IS NOT NULL")
     plain = sets.select("set_id", F.col("doc_id").alias("component_id"))
     in_component = sets.select("set_id", "doc_id").join(labels, "set_id")
     smallest = in_component.groupBy("label").agg(F.min("doc_id").alias("smallest"))

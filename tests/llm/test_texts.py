@@ -261,6 +261,15 @@ def test_recurring_passages_go_and_copies_stay(spark):
     assert line_templates.dedupe_lines(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shared, own", [(2, 1), (5, 4), (10, 5)])
+def test_boilerplate_of_many_pages_goes(spark, shared, own):
+    rng = generator(21)
+    menu = [plain(rng, 6) for _ in range(shared)]
+    rows = [(i, "\n".join([*menu, "", "---", *[plain(rng, 12) for _ in range(own)]])) for i in range(1000)]
+    out = {r["doc_id"]: r["text"] for r in line_templates.dedupe_lines(docs(spark, rows)).collect()}
+    assert all(out[i] == "\n".join(text.split("\n")[shared:]) for i, text in rows)
+
+
 def test_variable_fields_share_a_template():
     a, b = (line_templates.line_keys(f"page {n} of 20 was printed") for n in (3, 17))
     assert a == b and line_templates.line_keys("only two") == []
