@@ -270,6 +270,25 @@ def test_boilerplate_of_many_pages_goes(spark, shared, own):
     assert all(out[i] == "\n".join(text.split("\n")[shared:]) for i, text in rows)
 
 
+@pytest.mark.parametrize("n_lines", [1, 2])
+def test_near_copies_of_few_lines_keep_a_text(spark, n_lines):
+    from lumitrace.llm import near_duplicates
+
+    rng = generator(22)
+    rows = []
+    for group, n in enumerate((20, 1000)):
+        lines = [plain(rng, 120).split() for _ in range(n_lines)]
+        for i in range(n):
+            own = [list(x) for x in lines]
+            own[rng.randrange(n_lines)][rng.randrange(120)] = f"other{i}x"
+            rows.append((2000 * group + i, "\n".join(" ".join(x) for x in own)))
+    table = docs(spark, rows)
+    kept = line_templates.without_recurring_lines(table)
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == dict(rows)
+    left = near_duplicates.one_of_each(kept).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [rows[0], rows[20]]
+
+
 def test_variable_fields_share_a_template():
     a, b = (line_templates.line_keys(f"page {n} of 20 was printed") for n in (3, 17))
     assert a == b and line_templates.line_keys("only two") == []
