@@ -4,7 +4,8 @@ A line is parsed to fixed depth: its number of tokens, its leading tokens, then
 the rest in SEGMENTS segments. Tokens with a digit are variable fields and read
 as `<*>`, unless they are most of the line. That gives the line's own template and, for lines of LONG tokens or
 more, one template for each segment taken as a variable field as a whole. A
-template recurs if it stands in at least MIN_DOCUMENTS documents; lines of
+template recurs if it stands in at least MIN_DOCUMENTS documents, or MIN_LONG
+for lines of PASSAGE tokens or more, which do not meet by chance; lines of
 MIN_TOKENS or more tokens that have a recurring template are dropped.
 
 Copies of a document count as one document, else every line of a copied page
@@ -35,6 +36,8 @@ SEGMENTS = 4
 MIN_TOKENS = 3
 LONG = 12
 MIN_DOCUMENTS = 5
+PASSAGE = 20
+MIN_LONG = 2
 
 _DIGIT = re.compile(r"\d")
 _VARIABLE = re.compile(r"\S*\d\S*")
@@ -45,7 +48,7 @@ def _hash(tokens: list[str], kind: int) -> int:
 
 
 def line_keys(line: str) -> list[int]:
-    """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens."""
+    """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens. Keys of lines of PASSAGE tokens are odd, others even."""
     tokens = line.split()
     if _DIGIT.search(line):
         masked = _VARIABLE.sub("<*>", line).split()
@@ -60,7 +63,7 @@ def line_keys(line: str) -> list[int]:
         head, rest = tokens[:LEADING], tokens[LEADING:]
         cuts = [len(rest) * s // SEGMENTS for s in range(SEGMENTS + 1)]
         keys += [_hash([*head, *rest[: cuts[s]], "<*>", *rest[cuts[s + 1] :]], n + ((s + 1) << 40)) for s in range(SEGMENTS)]
-    return keys
+    return [k & ~1 | (n >= PASSAGE) for k in keys]
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -86,10 +89,10 @@ def parsed(docs: DataFrame) -> DataFrame:
     return frames.arrow_map(frames.keyed(docs), parse, "doc_id long, text_key long, n_lines int, templates array<struct<line: int, key: long>>")
 
 
-def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_long: int = MIN_LONG) -> DataFrame:
     """doc_id, text_key, dropped (line numbers) of documents with recurring lines. `rows`: see `parsed`."""
     row = ["doc_id", "text_key"]
-    enough = F.count(F.lit(1)) >= min_documents
+    enough = F.count(F.lit(1)) >= F.when(F.col("key").bitwiseAND(1) == 1, min_long).otherwise(min_documents)
     held = rows.select("text_key", F.explode(F.array_distinct(F.col("templates.key"))).alias("key")).distinct()
     # Groups are no more than texts, so a template in too few texts cannot recur.
     often = held.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key")
@@ -109,19 +112,19 @@ def kept_text(text: str = "text", dropped: str = "dropped"):
     return F.when(F.col(dropped).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
 
 
-def dedupe_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def dedupe_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_long: int = MIN_LONG) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped, text without recurring lines, dropped (sorted line numbers)."""
     rows = materialize(parsed(docs), "lines")
-    gone = recurring_lines(rows, docs, min_documents)
+    gone = recurring_lines(rows, docs, min_documents, min_long)
     out = frames.on_key(frames.keyed(docs), gone.hint("shuffle_hash"), ["doc_id", "text_key"])
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
     dropped = F.coalesce("dropped", F.array().cast("array<int>"))
     return out.select("doc_id", n_lines.alias("n_lines"), F.size(dropped).alias("n_dropped"), kept_text().alias("text"), F.array_sort(dropped).alias("dropped"))
 
 
-def without_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def without_recurring_lines(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_long: int = MIN_LONG) -> DataFrame:
     """`docs` with the recurring lines out of `text`, and n_chars, if there is one, counted anew."""
-    gone = recurring_lines(materialize(parsed(docs), "lines"), docs, min_documents)
+    gone = recurring_lines(materialize(parsed(docs), "lines"), docs, min_documents, min_long)
     rows = frames.on_key(frames.whole_rows(docs), gone.hint("shuffle_hash"), ["doc_id", "text_key"]).withColumn("text", kept_text())
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:

@@ -289,6 +289,21 @@ def test_near_copies_of_few_lines_keep_a_text(spark, n_lines):
     assert sorted((r["doc_id"], r["text"]) for r in left) == [rows[0], rows[20]]
 
 
+def test_long_lines_recur_from_two_documents(spark):
+    rng = generator(23)
+    rows, expected = [], {}
+    for group, (words, n) in enumerate([(60, 2), (60, 3), (20, 4), (60, 1), (19, 4), (8, 4)]):
+        passage = plain(rng, words)
+        for i in range(n):
+            own = [plain(rng, 80) for _ in range(3)]
+            rows.append((10 * group + i, "\n".join([own[0], passage, *own[1:]])))
+            expected[10 * group + i] = "\n".join(own) if words >= 20 and n > 1 else rows[-1][1]
+    copied = plain(rng, 60) + "\n" + plain(rng, 40)
+    rows += [(100 + i, copied) for i in range(3)]
+    expected |= {100 + i: copied for i in range(3)}
+    assert {r["doc_id"]: r["text"] for r in line_templates.dedupe_lines(docs(spark, rows)).collect()} == expected
+
+
 def test_variable_fields_share_a_template():
     a, b = (line_templates.line_keys(f"page {n} of 20 was printed") for n in (3, 17))
     assert a == b and line_templates.line_keys("only two") == []
