@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lumitrace.llm import neighbours
@@ -47,3 +48,18 @@ def test_few_rows_odd_rows_and_copies(spark):
     few = neighbours.nearest(table(spark, good + odd), F.col("vec_id") == 0, 10).collect()
     assert sorted((r["rank"], r["vec_id"]) for r in few) == [(k + 1, i) for k, (i, _) in enumerate(brute(good, 0, 10))]
     assert neighbours.nearest(table(spark, good).limit(0), F.col("vec_id") == 0, 10).count() == 0
+
+
+@pytest.mark.parametrize("scale, noise, offset", [(1, 3e-5, 0), (1e6, 1, 0), (1e-7, 1, 0), (1, 1, 1000)])
+def test_recall_whatever_the_scale(spark, scale, noise, offset):
+    rng = np.random.default_rng(3)
+    middle = rng.standard_normal(24) / 5
+    x = (scale * (offset + middle + noise * rng.standard_normal((600, 24)) / 5)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    graph = neighbours.build_graph(neighbours.prepared(table(spark, rows)))
+    name = {r["node"]: r["vec_id"] for r in neighbours.prepared(table(spark, rows)).select("node", "vec_id").collect()}
+    found = {}
+    for r in graph.collect():
+        found.setdefault(name[r["node"]], set()).add(name[r["nbr"]])
+    hits = sum(len({i for i, _ in brute(rows, q, 10)} & found.get(q, set())) for q in range(0, 600, 20))
+    assert hits >= 0.95 * 300
