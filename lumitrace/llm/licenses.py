@@ -8,7 +8,8 @@ them into the name of a licence, and later rules see what is left. Identifiers
 that no rule took are reported.
 
 A sentence ends with . ! ? ; or : before white space, or at an empty line, so
-licence text may be wrapped over lines. Known sentences may stand inside a
+licence text may be wrapped over lines; the colon of an SPDX tag ends none.
+A sentence that is known counts as often as it stands there. Known sentences may stand inside a
 sentence, as a heading before them need not end with a stop.
 
 Defined results: NULL and empty texts have no sentences and no licences;
@@ -26,6 +27,9 @@ from lumitrace.llm import frames
 #: Texts without any of these hold no known sentence.
 HINT = "(?i)licen[cs]|copyright|rights reserved|permission|redistribut|warrant|free software|public domain|creative commons|endorse|be liable|cc0|spdx"
 BREAK = r"[.!?;:]+[\x22')\]]*\s+|\n\s*\n"
+#: The same as they are asked of raw text: words of a hint may be wrapped, and a tag and its licence are one sentence.
+RAW_HINT = HINT.replace(" ", "[^a-z0-9]+")
+RAW_BREAK = f"(?<!(?i:spdx-license-identifier))(?:{BREAK})"
 # Normalised sentences of public licence texts and notices, by identifier.
 SENTENCES = {
     "spdx-apache2": "spdx license identifier apache 2 0",
@@ -110,14 +114,23 @@ RULES = [
 
 def sentences(text: Column) -> Column:
     """Normalised sentences of the text, with a space at both ends."""
-    plain = F.transform(F.split(text, BREAK, -1), lambda s: F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate(s, frames.UPPER, frames.LOWER), "[^a-z0-9]+", " ")), F.lit(" ")))
-    return F.when(text.rlike(HINT), plain).otherwise(F.array().cast("array<string>"))
+    plain = F.transform(F.split(text, RAW_BREAK, -1), lambda s: F.concat(F.lit(" "), F.trim(F.regexp_replace(F.translate(s, frames.UPPER, frames.LOWER), "[^a-z0-9]+", " ")), F.lit(" ")))
+    return F.when(text.rlike(RAW_HINT), plain).otherwise(F.array().cast("array<string>"))
+
+
+def _places(sentence: Column, pattern: Column) -> Column:
+    """Where the matches of a pattern start."""
+    between, found = F.split(sentence, pattern, -1), F.regexp_extract_all(sentence, pattern, F.lit(0))
+    length = lambda parts, n: F.aggregate(F.slice(parts, 1, n), F.lit(0), lambda total, x: total + F.length(x))
+    return F.transform(found, lambda m, i: length(between, i + 1) + length(found, i) + 1)
 
 
 def identifiers(sentence: Column) -> Column:
-    """Identifiers of the known sentences inside one, by place, then by name."""
-    known = F.array(*[F.struct(F.regexp_instr(sentence, F.lit(f" {p} ")).alias("at"), F.lit(name).alias("name")) for name, p in SENTENCES.items()])
-    return F.transform(F.array_sort(F.filter(known, lambda k: k["at"] > 0)), lambda k: k["name"])
+    """Identifiers of the known sentences inside one, each as often as it stands there, by place, then by name."""
+    known = F.array(*[F.struct(F.regexp_instr(sentence, F.lit(f" {p} ")).alias("at"), F.lit(name).alias("name"), F.lit(f" {p}(?= )").alias("pattern")) for name, p in SENTENCES.items()])
+    found = F.filter(known, lambda k: k["at"] > 0)
+    each = F.flatten(F.transform(found, lambda k: F.transform(_places(sentence, k["pattern"]), lambda at: F.struct(at.alias("at"), k["name"].alias("name")))))
+    return F.transform(F.array_sort(each), lambda k: k["name"])
 
 
 def licences(docs: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataFrame:

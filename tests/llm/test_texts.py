@@ -338,6 +338,22 @@ def test_licences(spark, text, names):
         assert row["unmatched"] == ["apache2-copy"]
 
 
+def test_tags_wrapped_and_repeated_notices(spark):
+    cases = [
+        ("// SPDX-License-Identifier: MIT\nint main;", ["spdx-mit"], ["MIT"]),
+        ("# spdx-license-identifier:  Apache-2.0\n\nimport os", ["spdx-apache2"], ["Apache-2.0"]),
+        ("SPDX-License-Identifier: GPL-3.0-or-later", ["spdx-gpl3"], ["GPL-3.0"]),
+        ("SPDX-License-Identifier:BSD-3-Clause", ["spdx-bsd3"], ["BSD-3-Clause"]),
+        ("Some work\nAll rights\nreserved", ["reserved"], []),
+        ("This is free and unencumbered software released into the public\n domain", ["unlicense"], ["Unlicense"]),
+        ("Released under the MIT License\nText\nReleased under the MIT License", ["mit-short", "mit-short"] , ["MIT", "MIT"]),
+        ("All rights reserved all rights reserved", ["reserved", "reserved"], []),
+    ]
+    out = {r["doc_id"]: r for r in licenses.licences(docs(spark, [(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    for i, (_, names, taken) in enumerate(cases):
+        assert ([n for n in out[i]["sentences"] if n != "mit-title"], out[i]["licences"]) == (names, taken), cases[i]
+
+
 def test_every_known_sentence_finds_itself(spark):
     plain = {name: re.sub(r"\(([^()|]*)[^()]*\)\??", r"\1", p).replace("[a-z0-9 ]+", "someone").replace("[12][0-9]{3}", "1999").replace("[23]", "2").replace("[01]", "1") for name, p in licenses.SENTENCES.items()}
     out = licenses.licences(docs(spark, [(i, t.upper() + ".") for i, t in enumerate(plain.values())])).collect()
