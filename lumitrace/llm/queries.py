@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lumitrace.llm import decontamination, frames, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
+from lumitrace.llm import decontamination, exact_duplicates, frames, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -70,6 +70,11 @@ def op10_lm_scoring(spark, sf_dir):
     return lattice.score(frames.table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op11_exact_dedup(spark, sf_dir):
+    """Copies of equal text of every document."""
+    return exact_duplicates.copies(frames.table(spark, sf_dir, "documents"))
+
+
 _FOLDED = f"translate(coalesce(text, ''), '{frames.UPPER}', '{frames.LOWER}')"
 
 _SHINGLES = rf"""
@@ -108,6 +113,11 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other)
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring)
+    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring, op11_exact_dedup)
 }
-ORACLES: dict[str, str] = {"op1_license_scans": licenses.sql(), "op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5}
+_OP11 = f"""
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_FOLDED} AS t FROM documents) WINDOW same AS (PARTITION BY t)
+"""
+
+ORACLES: dict[str, str] = {"op1_license_scans": licenses.sql(), "op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5, "op11_exact_dedup": _OP11}
