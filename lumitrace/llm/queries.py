@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lumitrace.llm import decontamination, exact_duplicates, frames, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
+from lumitrace.llm import decontamination, exact_duplicates, frames, hard_negatives, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -75,6 +75,13 @@ def op11_exact_dedup(spark, sf_dir):
     return exact_duplicates.copies(frames.table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector."""
+    rows = frames.table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
+
+
 _FOLDED = f"translate(coalesce(text, ''), '{frames.UPPER}', '{frames.LOWER}')"
 
 _SHINGLES = rf"""
@@ -113,11 +120,31 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other)
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring, op11_exact_dedup)
+    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring, op11_exact_dedup, op12_hard_negatives)
 }
 _OP11 = f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, {_FOLDED} AS t FROM documents) WINDOW same AS (PARTITION BY t)
 """
 
-ORACLES: dict[str, str] = {"op1_license_scans": licenses.sql(), "op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5, "op11_exact_dedup": _OP11}
+_OP12 = """
+WITH used AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+    coalesce(list_sum(list_transform(range(1, least(len(a.v), len(c.v)) + 1), lambda k: a.v[k] * c.v[k])), 0)::BIGINT AS score
+  FROM used a JOIN used c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS positive_rank
+  FROM scores WHERE same QUALIFY positive_rank <= 5
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score, positive_rank::INT AS positive_rank FROM (
+  SELECT p.*, s.other AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY anchor_id, positive_rank ORDER BY s.score DESC, s.other) AS rank
+  FROM positives p JOIN scores s USING (anchor_id) WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+) WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_license_scans": licenses.sql(), "op3_benchmark_decontamination": _OP3, "op5_minhash_near_dedup": _OP5, "op11_exact_dedup": _OP11, "op12_hard_negatives": _OP12}
