@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lumitrace.llm import decontamination, exact_duplicates, frames, hard_negatives, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity
+from lumitrace.llm import decontamination, exact_duplicates, frames, hard_negatives, language, lattice, licenses, line_templates, near_duplicates, neighbours, packing, secrets, toxicity, word_runs
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -82,6 +82,40 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(rows.withColumn("label", moved), F.col("id") % 100 == 0)
 
 
+def planted_repeats(docs):
+    """`docs` with the text of every tenth one, by crc32 of its id, repeated with a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    found = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    n = F.size(found).cast("long")
+    a = F.pmod(g, F.greatest(n, F.lit(1)))
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(found, (a + 1).cast("int"), p.cast("int")), times)), F.lit(1), (n - a).cast("int"))
+    text = F.array_join(F.concat(F.slice(found, F.lit(1), a.cast("int")), tail), " ")
+    return docs.withColumn("text", F.when(F.col("text").isNotNull() & (h % 10 == 0) & (n > 0), text).otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of repeated words in every document."""
+    found = word_runs.periodic_runs(planted_repeats(frames.table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    found = found.withColumn("best", longest)
+    length = -F.col("best.less")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * length / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _FOLDED = f"translate(coalesce(text, ''), '{frames.UPPER}', '{frames.LOWER}')"
 
 _SHINGLES = rf"""
@@ -120,7 +154,7 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT doc_id, min(other)
 
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring, op11_exact_dedup, op12_hard_negatives)
+    for f in (op1_license_scans, op2_toxicity, op3_benchmark_decontamination, op4_approximate_neighbours, op5_minhash_near_dedup, op6_language_id, op7_best_fit_packing, op8_secret_scans, op9_line_dedup, op10_lm_scoring, op11_exact_dedup, op12_hard_negatives, op13_periodic_runs)
 }
 _OP11 = f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
