@@ -10,6 +10,7 @@ filled in once at the end, along the chain of parents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -229,13 +230,18 @@ def ancestors(forks: DataFrame) -> DataFrame:
         span *= 2
 
 
-def inherit_history(log: DataFrame, forks: DataFrame, since: int = 0) -> DataFrame:
+def inherit_history(log: DataFrame, forks: DataFrame, since: int = 0, earlier: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The log from step `since` on, plus the rows each fork takes over from its ancestors.
 
-    `log` has source, meas_id, d2d, dr, step.
+    `log` has source, meas_id, d2d, dr, step. `earlier` gives the associations
+    from before the log of the sources it is asked for (`source`).
     """
     chain = ancestors(forks)
-    rows = log.select(F.col("source").alias("ancestor"), "meas_id", "d2d", "dr", "step")
+    steps = log
+    if earlier is not None:
+        asked = chain.select(F.col("ancestor").alias("source")).distinct()
+        steps = log.unionByName(earlier(asked).select(*ASSOCIATION_COLUMNS, F.lit(0).cast("long").alias("step")))
+    rows = steps.select(F.col("source").alias("ancestor"), "meas_id", "d2d", "dr", "step")
     taken = chain.join(rows, "ancestor").filter("step < before")
     own = log.filter(F.col("step") >= since).select(*ASSOCIATION_COLUMNS)
     return own.unionByName(taken.select(F.col("child").alias("source"), "meas_id", "d2d", "dr"))
@@ -269,13 +275,21 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
     return rows.withColumns({"_limit": limit, "_ord": order}).drop("_images", "_beam", "dist_from_centre")
 
 
-def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings, prior: Association | None = None, only_new: bool = False) -> Association:
+def associate(
+    measurements: DataFrame,
+    images: DataFrame,
+    settings: RunSettings,
+    prior: Association | None = None,
+    only_new: bool = False,
+    earlier: Callable[[DataFrame], DataFrame] | None = None,
+) -> Association:
     """Associate all epochs of `images` in order, starting from `prior` if given.
 
     With `prior`, pass only images that are not in it; their epochs are
     processed among themselves, after everything already there. With
     `only_new` the associations and relations returned are those this call
-    adds, so that a store can append them.
+    adds, so that a store can append them. A store that need not read all of
+    `prior.associations` passes `earlier`, which gives those of some sources.
     """
     spark = measurements.sparkSession
     rows = prepare_rows(measurements, images, settings)
@@ -308,13 +322,14 @@ def associate(measurements: DataFrame, images: DataFrame, settings: RunSettings,
     if settings.method != "basic":
         relations = relations.unionByName(sharing_relations(log))
     if prior:
-        earlier = prior.associations.select(*ASSOCIATION_COLUMNS, F.lit(0).cast("long").alias("step"))
-        steps = earlier.unionByName(steps)
+        if earlier is None:
+            before = prior.associations.select(*ASSOCIATION_COLUMNS, F.lit(0).cast("long").alias("step"))
+            steps = before.unionByName(steps)
         if not only_new:
             relations = relations.unionByName(prior.relations)
     forks = log.filter("parent IS NOT NULL").select(F.col("source").alias("child"), "parent", "step")
     # Rows of earlier calls are step 0.
-    associations = materialize(inherit_history(steps, forks, 1 if only_new else 0), "associations")
+    associations = materialize(inherit_history(steps, forks, 1 if only_new else 0, earlier), "associations")
     return Association(associations, materialize(relations.distinct(), "relations"), state, next_id)
 
 

@@ -23,13 +23,19 @@ def light_curves(associations: DataFrame, measurements: DataFrame, images: DataF
     return linked.join(measurements.drop(*drop), "id").join(info, "image_id")
 
 
-def final_sources(curves: DataFrame, relations: DataFrame, new: DataFrame, settings: RunSettings) -> DataFrame:
-    """One row per source with all statistics."""
+def with_neighbours(sources: DataFrame) -> DataFrame:
+    """Adds the distance to the nearest other source."""
+    spots = nearest_other(sources.select(F.col("source").alias("id"), F.col("wavg_ra").alias("ra"), F.col("wavg_dec").alias("dec")))
+    return sources.join(spots.select(F.col("id").alias("source"), F.col("sep").alias("n_neighbour_dist")), "source", "left")
+
+
+def final_sources(curves: DataFrame, relations: DataFrame, new: DataFrame, settings: RunSettings, neighbours: bool = True) -> DataFrame:
+    """One row per source with all statistics; those of its own rows only without `neighbours`."""
     sources = source_statistics(curves)
     sources = flag_new(sources, new)
     sources = sources.join(relation_counts(relations), "source", "left").withColumn("n_rel", F.coalesce("n_rel", F.lit(0)))
-    spots = nearest_other(sources.select(F.col("source").alias("id"), F.col("wavg_ra").alias("ra"), F.col("wavg_dec").alias("dec")))
-    sources = sources.join(spots.select(F.col("id").alias("source"), F.col("sep").alias("n_neighbour_dist")), "source", "left")
+    if neighbours:
+        sources = with_neighbours(sources)
     if settings.pair_metrics:
         sources = sources.join(pair_aggregates(curves, settings.min_abs_vs), "source", "left")
         sources = sources.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in PAIR_COLUMNS})

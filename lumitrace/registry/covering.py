@@ -33,13 +33,15 @@ def regions(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(k.alias("id"), key_ra(k).alias("centre_ra"), key_dec(k).alias("centre_dec"), (28.0 + k % 5).alias("xtr_radius"))
 
 
-COVER_CTE = f"""d AS (SELECT * EXCLUDE (image_id), epoch * 100 + source % 25 AS image_id FROM ({measurements_sql(DAYS)})),
+_COVER_TABLES = f"""d AS (SELECT * EXCLUDE (image_id), epoch * 100 + source % 25 AS image_id FROM ({measurements_sql(DAYS)})),
  im AS (SELECT image_id, min(epoch) AS epoch, min(datetime) AS datetime, min(local_rms) AS rms_min, image_id % 100 AS skyreg_id,
    0.002::DOUBLE + (image_id % 7) * 0.0005::DOUBLE AS beam_bmaj, 0.002::DOUBLE + (image_id % 5) * 0.0002::DOUBLE AS beam_bmin,
    CAST(image_id % 180 AS DOUBLE) AS beam_bpa FROM d GROUP BY image_id),
  rg AS (SELECT CAST(n_nationkey AS BIGINT) AS id, (n_nationkey * 137.508::DOUBLE) % 360.0::DOUBLE AS centre_ra,
-   -80.0::DOUBLE + (n_nationkey * 61.803::DOUBLE) % 160.0::DOUBLE AS centre_dec, 28.0::DOUBLE + n_nationkey % 5 AS xtr_radius FROM nation),
- pos0 AS (SELECT source, sum(weight_ew * {lifted_sql("ra")}) FILTER (NOT forced) / sum(weight_ew) FILTER (NOT forced) AS wra,
+   -80.0::DOUBLE + (n_nationkey * 61.803::DOUBLE) % 160.0::DOUBLE AS centre_dec, 28.0::DOUBLE + n_nationkey % 5 AS xtr_radius FROM nation)"""
+
+# From detections d, images im and regions rg to the missing images with the flux of the first detection.
+COVER_STEPS = f"""pos0 AS (SELECT source, sum(weight_ew * {lifted_sql("ra")}) FILTER (NOT forced) / sum(weight_ew) FILTER (NOT forced) AS wra,
    sum(weight_ns * dec) FILTER (NOT forced) / sum(weight_ns) FILTER (NOT forced) AS wavg_dec FROM d GROUP BY source),
  pos AS (SELECT source, CASE WHEN wra >= 360 THEN wra - 360 ELSE wra END AS wavg_ra, wavg_dec FROM pos0),
  cov AS (SELECT source, rg.id AS skyreg_id, {sep_sql("wavg_ra", "wavg_dec", "centre_ra", "centre_dec")} AS sep, xtr_radius FROM pos, rg),
@@ -55,6 +57,7 @@ COVER_CTE = f"""d AS (SELECT * EXCLUDE (image_id), epoch * 100 + source % 25 AS
    WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.source = ideal.source AND (seen.image_id = ideal.image_id OR seen.epoch = ideal.epoch))),
  fl AS (SELECT source, image_id AS detection, max(flux_peak) AS flux_peak FROM d GROUP BY source, image_id),
  mf AS (SELECT mis.*, fl.flux_peak, im.rms_min FROM mis JOIN im ON mis.image_id = im.image_id LEFT JOIN fl ON mis.source = fl.source AND mis.detection = fl.detection)"""
+COVER_CTE = f"{_COVER_TABLES}, {COVER_STEPS}"
 
 
 def missing(spark, sf_dir):

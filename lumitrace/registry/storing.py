@@ -114,7 +114,7 @@ def arriving_images(spark, sf_dir):
     images = run_images(spark, sf_dir, 15)
     rows = m.select("id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns", "epoch")
     folder, checkpoint = new_path(spark, "arriving"), new_path(spark, "stream")
-    steps = Increments(spark, new_path(spark, "increments"), SETTINGS)
+    steps = Increments(spark, new_path(spark, "increments"), SETTINGS, width=30.0)
     for (epoch,) in rows.select("epoch").distinct().orderBy("epoch").collect():
         rows.filter(F.col("epoch") == epoch).drop("epoch").write.mode("append").parquet(folder)
         steps.start(folder, rows.drop("epoch").schema, images, checkpoint).awaitTermination()
