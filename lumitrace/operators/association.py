@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from lumitrace.functions.sky import de_ruiter
 from lumitrace.operators.duplicates import drop_epoch_duplicates, with_centre_distance
-from lumitrace.operators.ranking import dense_index, number_rows, ordered_table, with_group_values
+from lumitrace.operators.ranking import dense_index, number_rows, ordered_table, prefix_sums, with_group_values
 from lumitrace.operators.skyjoin import CROWDED, nearest_join, radius_join
 from lumitrace.operators.stats import lifted_ra
 from lumitrace.settings import ARCSEC_PER_DEG, RunSettings
@@ -354,13 +354,10 @@ def chain_group_ids(rows: DataFrame) -> DataFrame:
 
     One row per group is summed up; the offsets are joined back.
     """
-    from pyspark.sql import Window
-
     tops = rows.groupBy("skyreg_group").agg(F.max("source").alias("_top"))
-    before = Window.orderBy("skyreg_group").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = tops.select("skyreg_group", F.coalesce(F.sum("_top").over(before), F.lit(0)).alias("_offset"))
+    offsets = prefix_sums(tops, ["skyreg_group"], "_top", "_earlier").drop("_top")
     joined = rows.join(offsets, "skyreg_group")
-    return joined.withColumn("source", F.col("source") + F.col("_offset")).drop("_offset")
+    return joined.withColumn("source", F.col("source") + F.col("_earlier")).drop("_earlier")
 
 
 def renumber_added(rows: DataFrame, relations: DataFrame, done: DataFrame, start: int) -> tuple[DataFrame, DataFrame]:

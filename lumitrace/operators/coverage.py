@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lumitrace.operators.pixels import sample_noise
 from lumitrace.operators.skyjoin import region_join
 from lumitrace.operators.stats import average_position
+from lumitrace.sources.pixel_tiles import PixelTiles
 
 
 def ideal_images(positions: DataFrame, images: DataFrame, regions: DataFrame) -> DataFrame:
@@ -29,6 +30,12 @@ def ideal_images(positions: DataFrame, images: DataFrame, regions: DataFrame) ->
     return nearest.select("source", "epoch", F.col("_best._image.image_id").alias("image_id"), F.col("_best._image.datetime").alias("datetime"))
 
 
+def region_images(regions: DataFrame, images: DataFrame) -> DataFrame:
+    """Images of every sky region, a row each; a region without images has one row of NULLs."""
+    of_region = images.select(F.col("skyreg_id").alias("id"), "image_id", "name", "epoch", "datetime")
+    return regions.select("id").join(of_region, "id", "left").withColumnRenamed("id", "skyreg_id")
+
+
 def missing_images(detections: DataFrame, images: DataFrame, regions: DataFrame) -> DataFrame:
     """Ideal images a source was not seen in, one row each.
 
@@ -99,7 +106,7 @@ def new_sources(
     detections: DataFrame,
     images: DataFrame,
     wcs: DataFrame,
-    noise_pixels: DataFrame,
+    noise_pixels: DataFrame | PixelTiles,
     min_sigma: float,
     edge_buffer: float,
     intended: bool = False,

@@ -1,4 +1,8 @@
-"""Lookups in pixel tables (image_id, i, j, value) through an image's projection."""
+"""Lookups in pixel tables (image_id, i, j, value) through an image's projection.
+
+Pixels come as a table, or as stored tiles (`lumitrace.sources.pixel_tiles`), of
+which only those around the positions are read.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumitrace.functions.sky import beam_pixels, tangent_pixel
+from lumitrace.sources.pixel_tiles import PixelTiles
 
 _WCS = ["projection", "crval1", "crval2", "crpix1", "crpix2", "cdelt1", "cdelt2"]
 
@@ -17,7 +22,7 @@ def locate(rows: DataFrame, wcs: DataFrame) -> DataFrame:
     return rows.join(known, "image_id").withColumns({"i": i, "j": j})
 
 
-def sample_noise(rows: DataFrame, wcs: DataFrame, pixels: DataFrame, nbeam: int = 3, edge_buffer: float = 1.0) -> DataFrame:
+def sample_noise(rows: DataFrame, wcs: DataFrame, pixels: DataFrame | PixelTiles, nbeam: int = 3, edge_buffer: float = 1.0) -> DataFrame:
     """Noise (x 1000) at each (source, image_id, ra, dec), as `true_rms`.
 
     NULL near the image edge, and where a pixel within half a beam is blank.
@@ -33,6 +38,8 @@ def sample_noise(rows: DataFrame, wcs: DataFrame, pixels: DataFrame, nbeam: int
         & (F.col("j") < F.col("naxis1") - F.col("_margin"))
     )
     good = located.filter(inside).select("source", "image_id", "i", "j", "_near")
+    if isinstance(pixels, PixelTiles):
+        pixels = pixels.near(good.select("image_id", "i", "j", F.col("_near").alias("half")))
     blank = pixels.filter(F.col("value").isNull() | F.isnan("value")).select("image_id", "i", "j")
     # A few pixels around each position, met with blank pixels by equality.
     span = lambda c: F.explode(F.sequence(F.col(c) - F.col("_near"), F.col(c) + F.col("_near") - 1))
@@ -45,7 +52,7 @@ def sample_noise(rows: DataFrame, wcs: DataFrame, pixels: DataFrame, nbeam: int
     return rows.select("source", "image_id").join(sampled, ["source", "image_id"], "left")
 
 
-def stamp(rows: DataFrame, wcs: DataFrame, pixels: DataFrame, size_arcmin: float) -> DataFrame:
+def stamp(rows: DataFrame, wcs: DataFrame, pixels: DataFrame | PixelTiles, size_arcmin: float) -> DataFrame:
     """Pixels of the square box of a given size around each row's position, cut at the image edges.
 
     `rows` has id, image_id, ra, dec. Pixels and boxes meet on tiles as wide
@@ -53,6 +60,8 @@ def stamp(rows: DataFrame, wcs: DataFrame, pixels: DataFrame, size_arcmin: float
     """
     half = F.floor(F.lit(size_arcmin / 60.0 / 2) / F.abs(F.col("cdelt2")))
     boxes = locate(rows, wcs).withColumn("_half", half.cast("long")).select("id", "image_id", F.col("i").alias("_i0"), F.col("j").alias("_j0"), "_half")
+    if isinstance(pixels, PixelTiles):
+        pixels = pixels.near(boxes.select("image_id", F.col("_i0").alias("i"), F.col("_j0").alias("j"), F.col("_half").alias("half")))
     widest = wcs.agg(F.min(F.abs("cdelt2"))).first()[0]
     if not widest:
         raise ValueError("no image projection to cut stamps from")

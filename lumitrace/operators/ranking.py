@@ -45,17 +45,71 @@ def number_within(df: DataFrame, key: str, order: list, name: str) -> DataFrame:
     return indexed.join(firsts, key).withColumn(name, F.col("_idx") - F.col("_start")).drop("_idx", "_start")
 
 
+#: Equal parts that a range of values is cut into, and values of one part that are sorted as a list.
+BINS, FEW = 4096, 4096
+
+
 def group_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group; a group may be far larger than one task's memory."""
-    # A further key spreads equal values, which blank or rounded data have many of.
-    spread = df.select(*keys, value).withColumn("_any", F.monotonically_increasing_id())
-    indexed = dense_index(spread, [*keys, value, "_any"], "_idx").drop("_any")
-    spans = indexed.groupBy(*keys).agg(F.min("_idx").alias("_lo"), F.count(F.lit(1)).alias("_n"))
-    middle = F.array_distinct(
-        F.array(F.col("_lo") + F.floor((F.col("_n") - 1) / 2), F.col("_lo") + F.floor(F.col("_n") / 2))
-    )
-    wanted = spans.select(F.explode(middle).alias("_idx"))
-    return indexed.join(wanted, "_idx").groupBy(*keys).agg(F.avg(value).alias(name))
+    """Exact median per group by radix selection; NULL and NaN values and NULL keys leave.
+
+    A first histogram counts values by sign and half octave, further ones cut
+    the part that holds a middle value into BINS. Counts merge before they are
+    shuffled; the values themselves are neither sorted nor moved nor stored,
+    but read once per histogram. Half octaves hold 2**51 doubles, so at most
+    five histograms follow the first. Parts of up to FEW values, or of one
+    value however often, end the search.
+    """
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).dropna(subset=[*keys, "_v"])
+    # Logarithms keep the order of their arguments, so a part holds all values between its least and greatest.
+    octave = F.least(F.log2(F.abs("_v")), F.lit(1100.0)) + 1100.0
+    part = F.when(F.col("_v") == 0, 0).otherwise(F.floor(F.signum("_v") * octave * 2)).cast("long").alias("_part")
+    counts = rows.groupBy(*keys, part).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    # A few thousand parts of a group at most.
+    up_to = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part"))
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    both = F.array_distinct(F.array(F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)))
+    ranked = counts.withColumns({"_to": up_to, "_total": total}).withColumn("_rank", F.explode(both))
+    sought = [*keys, "_rank", "_n", "_lo", "_hi"]
+
+    def holding(found: DataFrame) -> DataFrame:
+        before = F.col("_to") - F.col("_n")
+        inside = found.filter((before <= F.col("_rank")) & (F.col("_rank") < F.col("_to")))
+        return materialize(inside.withColumn("_rank", F.col("_rank") - before).select(*sought), "medians")
+
+    wanted = holding(ranked)
+    ended = (F.col("_lo") == F.col("_hi")) | (F.col("_n") <= FEW)
+    while True:
+        open_ = wanted.filter(~ended)
+        if open_.isEmpty():
+            break
+        spans = open_.select(*keys, "_lo", "_hi").distinct()
+        width, past = F.col("_hi") - F.col("_lo"), F.col("_v") - F.col("_lo")
+        # Halves where the width of a range is more than a double holds.
+        place = F.when(width < float("inf"), past / width).otherwise((F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2))
+        inside = rows.join(spans, keys).filter("_v BETWEEN _lo AND _hi").withColumn("_part", F.least(F.floor(place * BINS), F.lit(BINS - 1)))
+        of_span = [*keys, "_lo", "_hi"]
+        counts = inside.groupBy(*of_span, "_part").agg(F.count(F.lit(1)).alias("_in"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        counts = counts.withColumn("_to", F.sum("_in").over(Window.partitionBy(*of_span).orderBy("_part")))
+        finer = open_.drop("_n").join(counts, of_span).select(*keys, "_rank", F.col("_in").alias("_n"), F.col("_least").alias("_lo"), F.col("_most").alias("_hi"), "_to")
+        wanted = materialize(wanted.filter(ended).unionByName(holding(finer)), "medians")
+    few = wanted.filter("_lo < _hi")
+    lists = rows.join(few.select(*keys, "_lo", "_hi").distinct(), keys).filter("_v BETWEEN _lo AND _hi")
+    lists = lists.groupBy(*keys, "_lo", "_hi").agg(F.array_sort(F.collect_list("_v")).alias("_values"))
+    picked = few.join(lists, [*keys, "_lo", "_hi"]).select(*keys, F.get("_values", F.col("_rank").cast("int")).alias("_v"))
+    same = wanted.filter("_lo = _hi").select(*keys, F.col("_lo").alias("_v"))
+    return picked.unionByName(same).groupBy(*keys).agg(F.avg("_v").alias(name))
+
+
+def prefix_sums(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Sum of `value` over all rows before each row, in two levels: sums of stored ranges, then inside each range."""
+    placed = ordered_table(df, order)
+    ranges = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    offsets = ranges.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn("_own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return summed.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_offset") + F.col("_own")).drop("_part", "_pos", "_offset", "_own")
 
 
 def previous_and_next(df: DataFrame, id_col: str = "id") -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 
 from lumitrace.registry.base import ORACLES, QUERIES
 
-_MODULES = ["scalars", "cleaning", "skyjoins", "statistics", "associating", "covering", "lifecycle", "searching", "storing", "growing"]
+_MODULES = ["scalars", "cleaning", "skyjoins", "statistics", "associating", "covering", "lifecycle", "searching", "storing", "growing", "versions"]
 
 
 def load() -> tuple[dict, dict]:

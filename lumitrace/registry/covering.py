@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from lumitrace.operators import coverage, forced, pixels, stats
 from lumitrace.registry.base import lifted_sql, query, rnd, rnds, rounded, sep_sql
 from lumitrace.settings import RunSettings
+from lumitrace.sources.pixel_tiles import PixelTiles
+from lumitrace.workspace import new_path
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, table
 
 DAYS = 1
@@ -223,6 +225,13 @@ def pixel_table(spark, sf_dir):
     return table(spark, sf_dir, "part").select((F.col("p_partkey") % 4).alias("image_id"), F.floor(place / 25).alias("i"), (place % 25).alias("j"), value.alias("value"))
 
 
+def pixel_tiles(spark, sf_dir):
+    """The same pixels, stored by tiles of 8 pixels a side."""
+    tiles = PixelTiles(spark, new_path(spark, "pixels"), 8)
+    tiles.write(pixel_table(spark, sf_dir))
+    return tiles
+
+
 def projections(spark, sf_dir):
     number = lambda v: F.lit(float(v))
     return pixel_table(spark, sf_dir).groupBy("image_id").agg((F.max("i") + 1).alias("naxis2")).select(
@@ -253,7 +262,7 @@ SPOTS_SQL = f"""sp AS (SELECT id, id % 4 AS image_id, (10.0::DOUBLE * (id % 4) +
     FROM lo LEFT JOIN px ON lo.image_id = px.image_id AND lo.i = px.i AND lo.j = px.j""",
 )
 def sampled_noise(spark, sf_dir):
-    out = pixels.sample_noise(spots(spark, sf_dir), projections(spark, sf_dir), pixel_table(spark, sf_dir), edge_buffer=1.2)
+    out = pixels.sample_noise(spots(spark, sf_dir), projections(spark, sf_dir), pixel_tiles(spark, sf_dir), edge_buffer=1.2)
     return rounded(out)
 
 
@@ -263,5 +272,5 @@ def sampled_noise(spark, sf_dir):
     FROM lo JOIN px ON lo.image_id = px.image_id AND abs(px.i - lo.i) <= 1 AND abs(px.j - lo.j) <= 1""",
 )
 def stamps(spark, sf_dir):
-    out = pixels.stamp(spots(spark, sf_dir), projections(spark, sf_dir), pixel_table(spark, sf_dir), 2.0)
+    out = pixels.stamp(spots(spark, sf_dir), projections(spark, sf_dir), pixel_tiles(spark, sf_dir), 2.0)
     return rounded(out.withColumn("value", F.nanvl("value", F.lit(0.0))), 7)
