@@ -35,8 +35,8 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` once and return a scan of the written table."""
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write `df` once and return a scan of the written table. `options` are the Parquet writer's, with `_` for `.`."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**{k.replace("_", "."): v for k, v in options.items()}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
