@@ -24,6 +24,7 @@ import math
 from collections import Counter
 from functools import cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,15 +35,22 @@ from lumitrace.workspace import materialize
 
 HOT = 50_000
 #: No word holds a space, so this names the end.
-END = " "
-_SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"}) | {ord(u): lo for u, lo in zip(frames.UPPER, frames.LOWER)}
+END, _END = " ", b" "
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: A task counts words of up to so many bytes of text before it passes the counts on.
 COUNT_BYTES = 1 << 24
+#: Distinct words whose recursion a task takes.
+WORDS_PER_TASK = 100_000
+
+
+def split_words(text: bytes | None) -> list[bytes]:
+    """Words `[^\\x20\\x09-\\x0D]+` of UTF-8 with A-Z in lower case."""
+    return text.translate(_FOLD).split() if text else []
 
 
 def text_words(text: str | None) -> list[str]:
-    """Words `[^\\x20\\x09-\\x0D]+` with A-Z in lower case."""
-    return [w for w in text.translate(_SPACES).split(" ") if w] if text else []
+    """The same words of a string."""
+    return [w.decode() for w in split_words((text or "").encode())]
 
 
 class Lattice:
@@ -51,25 +59,30 @@ class Lattice:
     def __init__(self, pieces: list[str], is_byte: list[int], scores: np.ndarray, end: int):
         self.score = {p: float(s) for p, b, s in zip(pieces, is_byte, scores) if b < 0 and p}
         self.byte = {b: float(s) for b, s in zip(is_byte, scores) if b >= 0}
-        self.longest = max(map(len, self.score), default=1)
         self.end = float(scores[end])
+        self.pieces = ahocorasick.Automaton()
+        for p, v in self.score.items():
+            self.pieces.add_word(p, (len(p), v))
+        self.pieces.make_automaton()
 
     def word(self, word: str) -> float:
         text = "▁" + word
         n, score = len(text), self.score
+        # Pieces by the place they end at; a character that is no piece is spelt by its bytes.
+        ways = [[] for _ in range(n)]
+        for last, way in self.pieces.iter(text) if len(self.pieces) else ():
+            ways[last].append(way)
         # forward[i]: log probability of the first i characters over all segmentations.
-        forward = [-math.inf] * (n + 1)
-        forward[0] = 0.0
-        for i in range(n):
-            here = forward[i]
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                s = score.get(text[i:j])
-                if s is not None:
-                    a, b = here + s, forward[j]
-                    forward[j] = a if b == -math.inf else max(a, b) + math.log1p(math.exp(-abs(a - b)))
+        forward = [0.0] * (n + 1)
+        for i, found in enumerate(ways):
+            logs = [forward[i + 1 - size] + s for size, s in found]
             if text[i] not in score:
-                a, b = here + sum(self.byte.get(x, -20.0) for x in text[i].encode("utf-8", "surrogatepass")), forward[i + 1]
-                forward[i + 1] = a if b == -math.inf else max(a, b) + math.log1p(math.exp(-abs(a - b)))
+                logs.append(forward[i] + sum(self.byte.get(x, -20.0) for x in text[i].encode("utf-8", "surrogatepass")))
+            if len(logs) == 1:
+                forward[i + 1] = logs[0]
+            else:
+                top = max(logs)
+                forward[i + 1] = top + math.log(sum([math.exp(x - top) for x in logs])) if top > -math.inf else top
         return forward[n] / math.log(10)
 
 
@@ -91,21 +104,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held, seen = 0, {}
 
         def flush():
-            ws = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+            ws = pa.array(list(seen), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([ws, pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
         for batch in batches:
             for some in frames.chunks(batch):
-                for text, learn in zip(some.column("text").to_pylist(), some.column("learn").to_pylist()):
-                    own = text_words(text)
+                texts = some.column("text").cast(pa.binary()).to_pylist()
+                for text, learn in zip(texts, some.column("learn").to_pylist()):
+                    own = split_words(text)
                     if learn:
                         for w, n in Counter(own).items():
                             seen[w] = seen.get(w, 0) + n
-                        seen[END] = seen.get(END, 0) + 1
+                        seen[_END] = seen.get(_END, 0) + 1
                     else:
                         for w in own:
                             seen.setdefault(w, 0)
-                held += sum(len(t or "") for t in some.column("text").to_pylist())
+                held += sum(len(t or b"") for t in texts)
                 if held > COUNT_BYTES or len(seen) > 400_000:
                     yield flush()
                     held, seen = 0, {}
@@ -138,6 +152,11 @@ def piece_scores(counts: DataFrame, path: str) -> np.ndarray:
     return np.log(used / used.sum())
 
 
+def _parts(words: int) -> int:
+    """Tasks for the recursion: it costs by the word, which a number of partitions by bytes does not see."""
+    return max(1, -(-words // WORDS_PER_TASK))
+
+
 def score(docs: DataFrame, vocabulary_path: str, learn: Column | None = None) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. `learn`: rows to learn from (default: crc32(doc_id) mod 7 is not 2)."""
     spark = docs.sparkSession
@@ -156,32 +175,27 @@ def score(docs: DataFrame, vocabulary_path: str, learn: Column | None = None) ->
             logs = [lattice.end / math.log(10) if w == END else lattice.word(w) for w in batch.column("word").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(logs, pa.float64())], names=["word", "n", "lp"])
 
-    weighed = materialize(frames.arrow_map(counts.repartition("word"), weigh, "word string, n long, lp double"), "word_scores")
+    weighed = materialize(frames.arrow_map(counts.repartition(_parts(counts.count()), "word"), weigh, "word string, n long, lp double"), "word_scores")
     top = weighed.orderBy(F.desc("n"), "word").limit(HOT).toArrow()
-    hot = spark.sparkContext.broadcast({w: (c, lp) for w, c, lp in zip(top["word"].to_pylist(), top["n"].to_pylist(), top["lp"].to_pylist())})
+    hot = {w.encode(): (c > 0, math.log10(c + 1), lp) for w, c, lp in zip(top["word"].to_pylist(), top["n"].to_pylist(), top["lp"].to_pylist())}
+    hot = spark.sparkContext.broadcast(hot)
 
     def first_sums(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
         known = hot.value
         for batch in batches:
             for some in frames.chunks(batch):
                 out = []
-                for text in some.column("text").to_pylist():
-                    own = Counter(text_words(text))
+                for text in some.column("text").cast(pa.binary()).to_pylist():
+                    own = Counter(split_words(text))
                     tokens = sum(own.values()) + 1
-                    own[END] += 1
-                    seen, logs, lps, rare, times = 0, [], [], [], []
-                    for w, k in own.items():
-                        got = known.get(w)
-                        if got is None:
-                            rare.append(w)
-                            times.append(k)
-                        else:
-                            seen += k if got[0] > 0 else 0
-                            logs.append(k * math.log10(got[0] + 1))
-                            lps.append(k * got[1])
-                    out.append((tokens, seen, math.fsum(logs), math.fsum(lps), rare, times))
-                yield pa.RecordBatch.from_arrays([some.column(c) for c in ("doc_id", "text_key", "held_out")] + [pa.array(c, t) for c, t in zip(zip(*out), schema.types[3:])], schema=schema)
+                    own[_END] += 1
+                    got = [(k, *known[w]) for w, k in own.items() if w in known]
+                    rare = [w for w in own if w not in known]
+                    out.append((tokens, sum([k for k, is_known, _, _ in got if is_known]), math.fsum([k * lc for k, _, lc, _ in got]), math.fsum([k * lp for k, _, _, lp in got]), rare, [own[w] for w in rare]))
+                made = [pa.array(c, t) for c, t in zip(zip(*out), schema.types[3:])]
+                made[4] = made[4].cast(pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([some.column(c) for c in ("doc_id", "text_key", "held_out")] + made, names=schema.names)
 
     first = frames.arrow_map(
         rows.select("doc_id", "text_key", "held_out", "text"), first_sums,
