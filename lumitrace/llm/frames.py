@@ -129,6 +129,18 @@ class BitFilter:
         return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, text, text_key of the rows whose text_key is in `wanted`, before any shuffle; a few others may be among them."""
+    ship(docs.sparkSession)
+    few = docs.sparkSession.sparkContext.broadcast(BitFilter.build(wanted, "text_key"))
+
+    @F.arrow_udf("boolean")
+    def maybe(key: pa.Array) -> pa.Array:
+        return pa.array(few.value.has(key.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return keyed(docs).filter(maybe("text_key"))
+
+
 def whole_rows(docs: DataFrame) -> DataFrame:
     """The row as `row` beside doc_id, text and text_key, so no column of its can clash with one that an operator adds."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(

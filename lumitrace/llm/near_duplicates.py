@@ -13,10 +13,10 @@ near copies costs one comparison each. A bucket whose members are then in one
 component is done. In the few others no link may be lost to the star shape, so
 members of different components are held against each other, in blocks of at
 most BLOCK of a bucket, and only pairs that may be links leave the block, from
-the first bucket they share. A pair is judged by FINE finer bins of both sets;
-sets of 0.75 agree in fewer than asked for with a chance of about 3e-6. What
-that lets pass is confirmed on full sets: those of up to WHOLE shingles are at
-hand, larger ones are made from their texts again.
+the first bucket they share. Sets of up to WHOLE shingles are at hand and
+compared exactly. Pairs with a larger one are judged by FINE finer bins of both
+sets; sets of 0.75 agree in fewer than asked for with a chance of about 3e-6.
+What that lets pass is confirmed on full sets, made from the texts again.
 
 Defined results: a document without words or text has no shingles, is linked
 with nothing and kept; one with fewer than SIZE words has its whole sequence as
@@ -47,6 +47,8 @@ FINE = 2048
 #: Sets of up to so many shingles are compared whole wherever they meet.
 WHOLE = 256
 BLOCK = 2000
+#: Sets that one copy of a text is compared with.
+PART = 128
 
 
 def _orders(bins: int) -> np.ndarray:
@@ -143,15 +145,7 @@ def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and text of the documents named in `wanted` (set_id, doc_id, text_key); others leave before any shuffle."""
-    spark = docs.sparkSession
-    frames.ship(spark)
-    few = spark.sparkContext.broadcast(frames.BitFilter.build(wanted, "text_key"))
-
-    @F.arrow_udf("boolean")
-    def maybe(key: pa.Array) -> pa.Array:
-        return pa.array(few.value.has(key.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    texts = frames.keyed(docs).filter(maybe("text_key"))
+    texts = frames.among(docs, wanted)
     return frames.on_key(wanted, texts, ["doc_id", "text_key"], "inner").select("set_id", "text")
 
 
@@ -190,14 +184,26 @@ def _judged(threshold: int):
     return judge
 
 
-#: For sets compared whole the bins only have to spare most comparisons: so many standard deviations more.
-WIDE = 3
+class Shared:
+    """Numbers of shingles that a set shares with each of some small sets, exact."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], owner[order]
+
+    def with_(self, one: np.ndarray) -> np.ndarray:
+        lo, hi = np.searchsorted(self.flat, one), np.searchsorted(self.flat, one, side="right")
+        counts = hi - lo
+        at = np.repeat(lo - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return np.bincount(self.owner[at], minlength=self.n)
 
 
 def _across(threshold: int):
     """Rows (bucket, i, j, side, set_id, label, n, buckets, fine, whole), sorted by block: pairs of different labels that are or may be similar."""
     least = least_agreement(threshold)
-    spare = least - math.ceil(WIDE * math.sqrt(FINE) / 2)
 
     def pairs(bucket, own, other):
         """own, other: rows of the two sides; the same list for a block against itself."""
@@ -206,22 +212,28 @@ def _across(threshold: int):
         bins = _rows([r["fine"] for r in other])
         labels, n = (np.array([r[c] for r in other]) for c in ("label", "n"))
         bands = np.array([r["buckets"] for r in other])
+        small = n <= WHOLE
+        # Two small sets are compared exactly, whatever their bins say.
+        shared = Shared([np.frombuffer(r["whole"], np.uint64) for r in other])
         for x, row in enumerate(own):
             apart = (labels != row["label"]) & (100 * np.minimum(n, row["n"]) >= threshold * np.maximum(n, row["n"]))
             if own is other:
                 apart[: x + 1] = False
-            at = np.flatnonzero(apart)
-            if not len(at):
+            if not apart.any():
                 continue
-            same = agreeing(np.frombuffer(row["fine"], np.uint8), bins[at])
-            whole = np.maximum(n[at], row["n"]) <= WHOLE
-            mine, mine_whole = np.array(row["buckets"]), np.frombuffer(row["whole"], np.uint64)
-            for y, exact in zip(at[same >= np.where(whole, spare, least)], whole[same >= np.where(whole, spare, least)]):
+            exact = apart & small & (row["n"] <= WHOLE)
+            judged = np.full(len(n), NO)
+            if exact.any():
+                both = shared.with_(np.frombuffer(row["whole"], np.uint64))
+                judged[exact & (100 * both >= threshold * (n + row["n"] - both))] = YES
+            at = np.flatnonzero(apart & ~exact)
+            if len(at):
+                judged[at[agreeing(np.frombuffer(row["fine"], np.uint8), bins[at]) >= least]] = MAYBE
+            mine = np.array(row["buckets"])
+            for y in np.flatnonzero(judged > NO):
                 # The first bucket that both are in speaks for the pair.
-                if mine[np.argmax(mine == bands[y])] != bucket:
-                    continue
-                if not exact or _similar(mine_whole, np.frombuffer(other[y]["whole"], np.uint64), threshold):
-                    yield row["set_id"], other[y]["set_id"], YES if exact else MAYBE
+                if mine[np.argmax(mine == bands[y])] == bucket:
+                    yield row["set_id"], other[y]["set_id"], int(judged[y])
 
     def compare(batches):
         held, key = [], None
@@ -251,18 +263,33 @@ def links(docs: DataFrame, sets: DataFrame, judged: DataFrame, size: int = SIZE,
     """Pairs (a, b) that are judged YES, or MAYBE and similar enough on the full sets of their texts. `sets`: set_id, and doc_id and text_key of one document each."""
 
     def confirm(batches):
+        # Rows of one (b, part) in a row, that of b first.
+        key, centre = None, None
         for batch in batches:
-            for some in frames.chunks(batch, "text_a"):
-                a, b = (words.Words(some.column(c), words.SPACED) for c in ("text_a", "text_b"))
-                keep = [_similar(words.shingle_set(a.of(i), size), words.shingle_set(b.of(i), size), threshold) for i in range(some.num_rows)]
-                yield some.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for some in frames.chunks(batch):
+                w = words.Words(some.column("text"), words.SPACED)
+                ids, bs, parts, sides = (some.column(c).to_pylist() for c in ("a", "b", "part", "side"))
+                found = []
+                for i in range(some.num_rows):
+                    own = words.shingle_set(w.of(i), size)
+                    if sides[i] == 0:
+                        key, centre = (bs[i], parts[i]), own
+                    elif key == (bs[i], parts[i]) and _similar(own, centre, threshold):
+                        found.append((ids[i], bs[i]))
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
     judged = materialize(judged.filter(F.col("judged") > NO), "judged")
     maybe = judged.filter(F.col("judged") == MAYBE).select("a", "b")
     wanted = maybe.select(F.col("a").alias("set_id")).union(maybe.select("b")).distinct()
     wanted = materialize(wanted.join(sets, "set_id"), "wanted")
     texts = _texts(docs, wanted)
-    both = maybe.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b")
+    # A set that many others are compared with meets them in parts of PART; its text travels once a part.
+    parts = maybe.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+    placed = maybe.join(parts, "b").select("a", "b", F.pmod(F.xxhash64("a"), "parts").cast("int").alias("part"))
+    placed = materialize(placed, "placed")
+    others = placed.join(texts.select(F.col("set_id").alias("a"), "text"), "a").select("a", "b", "part", F.lit(1).alias("side"), "text")
+    centres = placed.select("b", "part").distinct().join(texts.select(F.col("set_id").alias("b"), "text"), "b").select(F.col("b").alias("a"), "b", "part", F.lit(0).alias("side"), "text")
+    both = centres.unionByName(others).repartition("b", "part").sortWithinPartitions("b", "part", "side")
     sure = judged.filter(F.col("judged") == YES).select("a", "b")
     return materialize(frames.arrow_map(both, confirm, "a long, b long").unionByName(sure).distinct(), "links")
 

@@ -3,6 +3,8 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from samples import docs, generator, prose
 
@@ -179,3 +181,68 @@ def test_word_hashes_tell_words_apart():
     many = [hashlib.md5(str(i).encode()).hexdigest()[: 1 + i % 12] for i in range(50000)]
     h = words.Words(pa.array([" ".join(many)]), words.SPACED).hashes
     assert len(set(h.tolist())) == len(set(many))
+
+
+def short_texts(rng):
+    """Texts of 3 to 25 words from few sequences, so that many are alike without being near copies."""
+    bases = [[f"w{rng.randrange(60)}" for _ in range(25)] for _ in range(40)]
+    out = []
+    for _ in range(2000):
+        base = rng.choice(bases)
+        start = rng.randrange(3)
+        words = base[start : start + rng.randrange(3, 26)]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(5000)}"
+        out.append(" ".join(words))
+    return out
+
+
+def linked_by_brute_force(texts):
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(texts)))
+
+    def top(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    holders = {}
+    for i, s in enumerate(sets):
+        for g in s:
+            holders.setdefault(g, []).append(i)
+    for i, s in enumerate(sets):
+        met = {}
+        for g in s:
+            for j in holders[g]:
+                if j < i:
+                    met[j] = met.get(j, 0) + 1
+        for j, both in met.items():
+            if 100 * both >= 75 * (len(s) + len(sets[j]) - both):
+                a, b = top(i), top(j)
+                label[max(a, b)] = min(a, b)
+    return [top(i) for i in range(len(texts))]
+
+
+def test_short_texts_keep_all_links(spark):
+    texts = short_texts(generator(31))
+    found = {r["doc_id"]: r["component_id"] for r in near_duplicates.components(docs(spark, list(enumerate(texts)))).collect()}
+    assert found == dict(enumerate(linked_by_brute_force(texts)))
+
+
+def test_small_sets_of_one_block_are_compared_exactly():
+    """Sets of 3 and 4 shingles whose bins disagree: the comparison inside a block must not ask the bins."""
+    rng = np.random.default_rng(3)
+    links = 0
+    for _ in range(300):
+        n = int(rng.integers(3, 21))
+        whole = np.unique(rng.integers(0, 2**63, n + n // 3, dtype=np.uint64))
+        part = np.sort(rng.choice(whole, n, replace=False))
+        rows = [{"set_id": k, "label": k, "n": len(x), "buckets": [7] * near_duplicates.BANDS, "fine": near_duplicates.fine_bins(x), "whole": x.tobytes(), "bucket": 7, "i": 0, "j": 0, "side": 0} for k, x in enumerate((part, whole))]
+        found = list(near_duplicates._across(75)([pa.RecordBatch.from_pylist(rows)]))
+        assert sum(f.num_rows for f in found) == (100 * n >= 75 * len(whole))
+        links += 100 * n >= 75 * len(whole)
+    assert links > 250
