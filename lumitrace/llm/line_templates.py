@@ -9,10 +9,10 @@ for lines of PASSAGE tokens or more, which do not meet by chance; lines of
 MIN_TOKENS or more tokens that have a recurring template are dropped.
 
 Copies of a document count as one document, else every line of a copied page
-would recur. Copies are what `near_duplicates` links: texts whose word shingles
-agree, directly or through other texts. Pages that share lines but are not near
-copies as a whole are different documents. Groups are only looked for if some
-template stands in enough distinct texts.
+would recur. Copies are what `near_duplicates` links among the texts that hold a
+template met in enough texts: texts whose word shingles agree, directly or
+through other such texts. Pages that share lines but are not near copies as a
+whole are different documents.
 
 Defined results: NULL text stays NULL with no lines; an empty text is one
 line, which is never dropped; a table without rows gives none; repeated rows are
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -89,19 +90,45 @@ def parsed(docs: DataFrame) -> DataFrame:
     return frames.arrow_map(frames.keyed(docs), parse, "doc_id long, text_key long, n_lines int, templates array<struct<line: int, key: long>>")
 
 
+def _candidates(rows: DataFrame, enough) -> DataFrame:
+    """doc_id, text_key, line, key of lines with a template that enough rows have; a few others may be among them."""
+    keys = rows.select(F.explode(F.array_distinct(F.col("templates.key"))).alias("key"))
+    often = materialize(keys.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key"), "often")
+    frames.ship(rows.sparkSession)
+    few = rows.sparkSession.sparkContext.broadcast(frames.BitFilter.build(often, "key"))
+
+    def pick(batches):
+        for batch in batches:
+            templates = batch.column("templates")
+            flat = templates.flatten()
+            sizes = np.diff(templates.offsets.to_numpy())
+            hit = np.flatnonzero(few.value.has(flat.field("key").to_numpy(zero_copy_only=False).view(np.uint64)))
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), sizes)[hit])
+            at = pa.array(hit)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(owner), batch.column("text_key").take(owner), flat.field("line").take(at), flat.field("key").take(at)], names=["doc_id", "text_key", "line", "key"]
+            )
+
+    picked = frames.arrow_map(rows.select("doc_id", "text_key", "templates"), pick, "doc_id long, text_key long, line int, key long")
+    return materialize(picked, "candidates")
+
+
 def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_DOCUMENTS, min_long: int = MIN_LONG) -> DataFrame:
     """doc_id, text_key, dropped (line numbers) of documents with recurring lines. `rows`: see `parsed`."""
     row = ["doc_id", "text_key"]
     enough = F.count(F.lit(1)) >= F.when(F.col("key").bitwiseAND(1) == 1, min_long).otherwise(min_documents)
-    held = rows.select("text_key", F.explode(F.array_distinct(F.col("templates.key"))).alias("key")).distinct()
+    # Most templates stand in one row and leave here, before anything but their keys is shuffled.
+    lines = _candidates(rows, enough)
+    held = lines.select("text_key", "key").distinct()
     # Groups are no more than texts, so a template in too few texts cannot recur.
     often = held.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key")
     often = materialize(held.join(often, "key", "left_semi"), "often")
     if often.isEmpty():
         return often.select(F.lit(None).cast("long").alias("doc_id"), "text_key", F.array().cast("array<int>").alias("dropped"))
-    counted = often.join(near_duplicates.groups(docs), "text_key").select("key", "group").distinct()
+    holders = frames.among(docs, often.select("text_key").distinct())
+    counted = often.join(near_duplicates.groups(holders), "text_key").select("key", "group").distinct()
     recurring = materialize(counted.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key"), "recurring")
-    lines = rows.select(*row, F.explode("templates").alias("t")).select(*row, "t.line", "t.key").join(recurring, "key", "left_semi")
+    lines = lines.join(recurring, "key", "left_semi")
     return lines.groupBy(*row).agg(F.collect_set("line").alias("dropped"))
 
 
