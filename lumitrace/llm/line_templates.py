@@ -22,6 +22,7 @@ copies; NULL doc_ids take part; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,10 @@ def _hash(tokens: list[str], kind: int) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(tokens), kind)
 
 
+def _mix(parts: list[int], kind: int) -> int:
+    return xxhash.xxh3_64_intdigest(struct.pack(f"<{len(parts)}Q", *parts), kind)
+
+
 def line_keys(line: str) -> list[int]:
     """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens. Keys of lines of PASSAGE tokens are odd, others even."""
     tokens = line.split()
@@ -59,33 +64,36 @@ def line_keys(line: str) -> list[int]:
     n = len(tokens)
     if n < MIN_TOKENS:
         return []
-    keys = [_hash(tokens, n)]
-    if n >= LONG:
-        head, rest = tokens[:LEADING], tokens[LEADING:]
-        cuts = [len(rest) * s // SEGMENTS for s in range(SEGMENTS + 1)]
-        keys += [_hash([*head, *rest[: cuts[s]], "<*>", *rest[cuts[s + 1] :]], n + ((s + 1) << 40)) for s in range(SEGMENTS)]
+    if n < LONG:
+        keys = [_hash(tokens, n)]
+    else:
+        # The leading tokens and each segment are hashed once; a template is all parts, or all but one.
+        rest = n - LEADING
+        cuts = [LEADING + rest * s // SEGMENTS for s in range(SEGMENTS + 1)]
+        parts = [_hash(tokens[:LEADING], 0), *[_hash(tokens[x:y], 0) for x, y in zip(cuts, cuts[1:])]]
+        keys = [_mix(parts, n)]
+        for s in range(1, SEGMENTS + 1):
+            keys.append(_mix([*parts[:s], 0, *parts[s + 1 :]], n + (s << 40)))
     return [k & ~1 | (n >= PASSAGE) for k in keys]
 
 
 def parsed(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, text_key, n_lines, and (line, key) of each template of each line."""
-    kind = pa.list_(pa.struct([("line", pa.int32()), ("key", pa.int64())]))
-
     def parse(batches):
         for batch in batches:
             for some in frames.chunks(batch):
-                counts, templates = [], []
+                counts, ends, lines, keys = [], [0], [], []
                 for text in some.column("text").to_pylist():
-                    if text is None:
-                        counts.append(0), templates.append([])
-                        continue
-                    lines = text.split("\n")
-                    counts.append(len(lines))
-                    templates.append([{"line": i, "key": k - (1 << 64) if k >> 63 else k} for i, line in enumerate(lines) for k in line_keys(line)])
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int32()), pa.array(templates, kind)],
-                    names=["doc_id", "text_key", "n_lines", "templates"],
-                )
+                    own = [] if text is None else text.split("\n")
+                    counts.append(len(own))
+                    for i, line in enumerate(own):
+                        found = line_keys(line)
+                        keys += found
+                        lines += [i] * len(found)
+                    ends.append(len(keys))
+                flat = pa.StructArray.from_arrays([pa.array(lines, pa.int32()), pa.array(np.array(keys, np.uint64).view(np.int64))], names=["line", "key"])
+                templates = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int32()), templates], names=["doc_id", "text_key", "n_lines", "templates"])
 
     return frames.arrow_map(frames.keyed(docs), parse, "doc_id long, text_key long, n_lines int, templates array<struct<line: int, key: long>>")
 
@@ -125,8 +133,7 @@ def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_D
     often = materialize(held.join(often, "key", "left_semi"), "often")
     if often.isEmpty():
         return often.select(F.lit(None).cast("long").alias("doc_id"), "text_key", F.array().cast("array<int>").alias("dropped"))
-    holders = frames.among(docs, often.select("text_key").distinct())
-    counted = often.join(near_duplicates.groups(holders), "text_key").select("key", "group").distinct()
+    counted = often.join(near_duplicates.groups(docs, among=often.select("text_key").distinct()), "text_key").select("key", "group").distinct()
     recurring = materialize(counted.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key"), "recurring")
     lines = lines.join(recurring, "key", "left_semi")
     return lines.groupBy(*row).agg(F.collect_set("line").alias("dropped"))

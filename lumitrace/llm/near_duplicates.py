@@ -122,11 +122,16 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
-def signatures(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_id and buckets of every row; the last two are NULL for empty sets."""
+def signatures(docs: DataFrame, size: int = SIZE, among: DataFrame | None = None) -> DataFrame:
+    """doc_id, text_key, n_shingles, set_id and buckets of every row; the last two are NULL for empty sets. `among`: of rows whose text_key is there, and perhaps a few others."""
+    few = None
+    if among is not None:
+        few = docs.sparkSession.sparkContext.broadcast(frames.BitFilter.build(among, "text_key"))
 
     def sign(batches):
         for batch in batches:
+            if few is not None:
+                batch = batch.filter(pa.array(few.value.has(batch.column("text_key").to_numpy().view(np.uint64))))
             for some in frames.chunks(batch):
                 w = words.Words(some.column("text"), words.SPACED)
                 counts, ids, signs = [], [], []
@@ -301,10 +306,10 @@ def _merged(found: DataFrame) -> DataFrame:
     return connected_labels(ends.select("id").distinct(), ends).withColumnRenamed("id", "set_id")
 
 
-def _labelled(docs: DataFrame, size: int, threshold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _labelled(docs: DataFrame, size: int, threshold: int, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signatures of all rows, the first document of every set, and the label (set_id, label) of every set that is linked."""
     frames.ship(docs.sparkSession)
-    signed = materialize(signatures(docs, size), "signatures")
+    signed = materialize(signatures(docs, size, among), "signatures")
     named = signed.filter("set_id IS NOT NULL")
     # A NULL id is the last choice of a set's document.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
@@ -346,9 +351,9 @@ def _labelled(docs: DataFrame, size: int, threshold: int) -> tuple[DataFrame, Da
     return signed, sets, labels
 
 
-def groups(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD) -> DataFrame:
-    """text_key and group of every text with words, each text once: near copies are in one group, whatever their ids."""
-    signed, _, labels = _labelled(docs, size, threshold)
+def groups(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD, among: DataFrame | None = None) -> DataFrame:
+    """text_key and group of every text with words, each text once: near copies are in one group, whatever their ids. `among`: only texts with these text_keys."""
+    signed, _, labels = _labelled(docs, size, threshold, among)
     named = signed.filter("set_id IS NOT NULL").select("text_key", "set_id").distinct()
     return named.join(labels, "set_id", "left").select("text_key", F.coalesce("label", "set_id").alias("group"))
 
