@@ -50,10 +50,13 @@ STAGES = [
 # Learned predictions and token ids are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
+#: Stages write whole texts. Small row groups without a dictionary keep what the writers of an executor hold small.
+WRITER = {"parquet_block_size": str(16 << 20), "parquet_enable_dictionary": "false"}
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = frames.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"), **WRITER)
     return docs
