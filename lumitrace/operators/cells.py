@@ -44,23 +44,28 @@ def with_cell(df: DataFrame, ra: str, dec: str, size: float) -> DataFrame:
     return df.withColumns({key: F.floor(axis / size) for key, axis in zip(CELL_KEYS, axes)})
 
 
-def with_cells_touched(df: DataFrame, ra: str, dec: str, size: float, reach) -> DataFrame:
+def with_cells_touched(df: DataFrame, ra: str, dec: str, size, reach, near_only: bool = False) -> DataFrame:
     """One copy of each row per cube that its box of half-width `reach` touches.
 
-    `reach` is a chord: a number, or a column for a radius that varies by row.
+    `reach` is a chord, `size` the edge of the cubes: numbers, or columns that
+    vary by row. With `near_only`, cubes that the sphere or the ball around
+    the row cannot reach are left out.
     """
     reach = F.lit(reach) if isinstance(reach, float) else reach
+    size = F.lit(size) if isinstance(size, float) else size
     places = [f"_at{key}" for key in CELL_KEYS]
     # The trigonometry is done once per row, before the row is copied.
-    df = df.withColumns(dict(zip(places, unit_vector(ra, dec)))).withColumn("_reach", reach)
-    runs = {
-        place: F.sequence(F.floor((F.col(place) - F.col("_reach")) / size), F.floor((F.col(place) + F.col("_reach")) / size))
-        for place in places
-    }
-    df = df.withColumns(runs)
-    for key, place in zip(CELL_KEYS, places):
-        df = df.withColumn(key, F.explode(place)).drop(place)
-    return df.drop("_reach")
+    df = df.withColumns(dict(zip(places, unit_vector(ra, dec)))).withColumns({"_reach": reach, "_size": size})
+    ways = [F.sequence(F.floor((F.col(p) - F.col("_reach")) / F.col("_size")), F.floor((F.col(p) + F.col("_reach")) / F.col("_size"))) for p in places]
+    for key, way in zip(CELL_KEYS, ways):
+        df = df.withColumn(key, F.explode(way))
+    if near_only:
+        middles = [(F.col(key) + 0.5) * F.col("_size") for key in CELL_KEYS]
+        half_diagonal = F.col("_size") * (3**0.5 / 2 * (1 + 1e-9))
+        from_centre = F.sqrt(sum((m * m for m in middles), F.lit(0.0)))
+        from_row = F.sqrt(sum(((m - F.col(p)) * (m - F.col(p)) for m, p in zip(middles, places)), F.lit(0.0)))
+        df = df.filter((F.abs(from_centre - 1.0) <= half_diagonal + 1e-9) & (from_row <= F.col("_reach") + half_diagonal))
+    return df.drop(*places, "_reach", "_size")
 
 
 def fullest_cell(df: DataFrame, ra: str, dec: str, size: float, by: tuple[str, ...] = ()) -> int:

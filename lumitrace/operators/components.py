@@ -18,8 +18,7 @@ def region_edges(regions: DataFrame) -> DataFrame:
     here = regions.select("id", F.col("centre_ra").alias("ra"), F.col("centre_dec").alias("dec"))
     reach = F.col("xtr_radius") * OVERLAP_FACTOR
     discs = regions.select(F.col("id").alias("other"), "centre_ra", "centre_dec", (reach * (1 + 1e-12)).alias("xtr_radius"))
-    widest = regions.agg(F.max(reach)).first()[0] or 1.0
-    pairs = region_join(here, discs, widest).select("id", "other")
+    pairs = region_join(here, discs).select("id", "other")
     return pairs.unionByName(pairs.select(F.col("other").alias("id"), F.col("id").alias("other"))).distinct()
 
 

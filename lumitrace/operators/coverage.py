@@ -24,8 +24,7 @@ def ideal_images(positions: DataFrame, images: DataFrame, regions: DataFrame) ->
     # One image per region and epoch is enough, so reduce before the join.
     offers = images.groupBy("skyreg_id", "epoch").agg(F.min(F.struct("datetime", "image_id")).alias("_image"))
     discs = regions.select(F.col("id").alias("skyreg_id"), "centre_ra", "centre_dec", "xtr_radius")
-    widest = regions.agg(F.max("xtr_radius")).first()[0] or 1.0
-    covered = region_join(positions, discs, widest, row_pos=("wavg_ra", "wavg_dec")).select("source", "skyreg_id", "sep")
+    covered = region_join(positions, discs, row_pos=("wavg_ra", "wavg_dec")).select("source", "skyreg_id", "sep")
     nearest = covered.join(offers, "skyreg_id").groupBy("source", "epoch").agg(F.min(F.struct("sep", "skyreg_id", "_image")).alias("_best"))
     return nearest.select("source", "epoch", F.col("_best._image.image_id").alias("image_id"), F.col("_best._image.datetime").alias("datetime"))
 

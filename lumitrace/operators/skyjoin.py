@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumitrace.functions.sky import separation
+from lumitrace.functions.sky import separation, unit_vector
 from lumitrace.operators.cells import CELL_KEYS, MIN_CHORD, cell_size, chord, fullest_cell, with_cell, with_cells_touched
 from lumitrace.workspace import materialize
 
@@ -147,24 +147,32 @@ def nearest_other(df: DataFrame, id_col: str = "id", pos: Position = ("ra", "dec
 def region_join(
     rows: DataFrame,
     regions: DataFrame,
-    max_radius_deg: float,
     radius_col: str = "xtr_radius",
     row_pos: Position = ("ra", "dec"),
     region_pos: Position = ("centre_ra", "centre_dec"),
 ) -> DataFrame:
     """Rows with every region whose centre is closer than the region's own radius.
 
-    Regions are copied into the cubes their disc touches, cubes being an
-    eighth of the widest disc so that rows spread over many keys.
+    Cubes come in levels, each half as wide as the one before. A region is
+    copied into the cubes its disc touches at the level of its own radius, a
+    row is filed once at every level that regions have, so small regions next
+    to wide ones stay cheap. Cubes with many rows are split over salts.
     """
-    size = chord(max_radius_deg) / 4
     angle = F.radians(F.least(F.col(radius_col), F.lit(180.0)))
-    reach = 2 * F.sin(angle / 2) * (1 + 1e-9) + 1e-12
-    discs = with_cells_touched(regions, *region_pos, size, reach)
-    # Only cubes the sphere passes through can hold a position.
-    middle = sum(((F.col(k) + 0.5) * size) ** 2 for k in CELL_KEYS)
-    discs = discs.filter(F.abs(F.sqrt(middle) - 1.0) <= size)
-    pairs = with_cell(rows, *row_pos, size).join(discs, CELL_KEYS).drop(*CELL_KEYS)
+    reach = F.greatest(2 * F.sin(angle / 2) * (1 + 1e-9) + 1e-12, F.lit(MIN_CHORD))
+    # A disc reaches over two to four cubes on either side.
+    discs = regions.filter(F.col(radius_col) > 0).withColumn("_level", F.ceil(F.log2(2.0 / reach)).cast("int"))
+    # Numbers from 0 to 21, as the chord lies between MIN_CHORD and 2.
+    levels = [r[0] for r in discs.select("_level").distinct().collect()]
+    size = F.pow(F.lit(0.5), F.col("_level"))
+    discs = with_cells_touched(discs, *region_pos, size, reach, near_only=True)
+    places = [f"_at{key}" for key in CELL_KEYS]
+    # The trigonometry is done once per row, before the row is copied.
+    filed = rows.withColumns(dict(zip(places, unit_vector(*row_pos))))
+    filed = filed.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+    filed = filed.withColumns({key: F.floor(F.col(place) / size) for key, place in zip(CELL_KEYS, places)}).drop(*places)
+    filed, discs = _salted(filed, discs, ["_level", *CELL_KEYS])
+    pairs = filed.join(discs, ["_level", *CELL_KEYS, "_salt"]).drop("_level", *CELL_KEYS, "_salt")
     pairs = pairs.withColumn("sep", separation(*row_pos, *region_pos))
     return pairs.filter(F.col("sep") < F.col(radius_col))
 

@@ -109,11 +109,31 @@ def test_nearest_other(spark, monkeypatch):
 def test_regions_with_their_own_radius(spark):
     left, right = tables(spark)
     regions = right.filter("id_2 % 6 = 0").withColumn("xtr_radius", 2.0 + F.col("id_2") % 40).withColumnsRenamed({"ra_2": "centre_ra", "dec_2": "centre_dec"})
-    got = rows_of(skyjoin.region_join(left, regions, 41.0), "id", "id_2")
+    got = rows_of(skyjoin.region_join(left, regions), "id", "id_2")
     expected = sorted((i, j) for i, p in enumerate(points(1, 150)) for j, q in enumerate(points(2, 150)) if j % 6 == 0 and sep(p, q) < 2.0 + j % 40)
     assert got == expected
 
 
+@pytest.mark.parametrize("salt", [1_000_000, 3])
+def test_regions_from_arcseconds_to_the_whole_sky(spark, monkeypatch, salt):
+    monkeypatch.setattr(skyjoin, "ROWS_PER_SALT", salt)
+    left, right = tables(spark)
+    radii = [1e-5, 0.1, 0.7, 3.0, 20.0, 90.0, 179.0, 180.0, 200.0, 0.0]
+    widths = F.element_at(F.array(*[F.lit(r) for r in radii]), (F.col("id_2") % len(radii) + 1).cast("int"))
+    regions = right.withColumn("xtr_radius", widths).withColumnsRenamed({"ra_2": "centre_ra", "dec_2": "centre_dec"})
+    got = rows_of(skyjoin.region_join(left, regions), "id", "id_2")
+    assert got == sorted((i, j) for i, p in enumerate(points(1, 150)) for j, q in enumerate(points(2, 150)) if sep(p, q) < radii[j % len(radii)])
+    assert skyjoin.region_join(left, regions.limit(0)).isEmpty()
+
+
+def test_regions_of_all_sizes_on_one_crowded_spot(spark, monkeypatch):
+    monkeypatch.setattr(skyjoin, "ROWS_PER_SALT", 100_000)
+    rows = spark.range(1_000_000).select("id", F.lit(10.0).alias("ra"), F.lit(-30.0).alias("dec"))
+    discs = frame(spark, [(k, 10.0 + 0.05 * (k % 2), -30.0, r) for k, r in enumerate([0.1, 0.02, 5.0, 0.04, 90.0, 45.0])], "other long, centre_ra double, centre_dec double, xtr_radius double")
+    counts = skyjoin.region_join(rows, discs).groupBy("other").count()
+    assert rows_of(counts, "other", "count") == [(k, 1_000_000) for k in (0, 2, 4, 5)]
+
+
 @pytest.mark.parametrize("ra,dec,radius", [(0.0, 0.0, 20.0), (123.0, 89.0, 5.0), (359.0, -60.0, 15.0), (10.0, 5.0, 170.0)])
 def test_cones(spark, ra, dec, radius):
     left, _ = tables(spark)
