@@ -200,12 +200,6 @@ def cone_search(df: DataFrame, ra_deg: float, dec_deg: float, radius_deg: float,
     return df.filter(cone_filter(ra_deg, dec_deg, radius_deg, pos)).withColumn("distance", distance).orderBy("distance")
 
 
-def sky_sorted(df: DataFrame, pos: Position = ("ra", "dec")) -> DataFrame:
-    """Rows of one patch of sky together, so cone boxes skip files once they are written."""
-    strip = F.floor(F.col(pos[1]))
-    return df.repartitionByRange(strip, F.col(pos[0])).sortWithinPartitions(strip, pos[0])
-
-
 def match_catalogue(
     sources: DataFrame,
     catalogue: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumitrace.operators.skyjoin import sky_sorted
+from lumitrace.sources.sky_table import SkyTable
 
 # Columns that hold a table's position, if it has one.
 POSITIONS = (("wavg_ra", "wavg_dec"), ("ra", "dec"))
@@ -70,7 +70,11 @@ class RunStore:
         version = max((v for _, v in history), default=0) + 1
         for name, df in tables.items():
             pos = next((p for p in POSITIONS if set(p) <= set(df.columns)), None)
-            (sky_sorted(df, pos) if pos else df).write.mode("overwrite").parquet(f"{self._dir(run, version)}/{name}")
+            path = f"{self._dir(run, version)}/{name}"
+            if pos:
+                SkyTable(self.spark, path).write(df, pos, mode="overwrite")
+            else:
+                df.write.mode("overwrite").parquet(path)
         self._point(run, version)
         return version
 
@@ -83,7 +87,17 @@ class RunStore:
         version = version or self.current_version(run)
         if version is None:
             raise KeyError(f"run {run} has no stored tables")
-        return self.spark.read.parquet(f"{self._dir(run, version)}/{table}")
+        stored = SkyTable(self.spark, f"{self._dir(run, version)}/{table}")
+        return stored.rows() if stored.exists() else self.spark.read.parquet(stored.root)
+
+    def cone(self, run: str, table: str, ra: float, dec: float, radius_deg: float, version: int | None = None) -> DataFrame:
+        """Rows of a stored table with positions in a cone, from the files that hold that part of the sky."""
+        version = version or self.current_version(run)
+        stored = SkyTable(self.spark, f"{self._dir(run, version)}/{table}")
+        if version is None or not stored.exists():
+            raise KeyError(f"run {run} has no table {table} by sky")
+        pos = next(p for p in POSITIONS if set(p) <= set(stored.rows().columns))
+        return stored.cone(ra, dec, radius_deg, pos)
 
     def previous(self, run: str, table: str) -> DataFrame:
         """A table of the version before the current one."""
