@@ -15,6 +15,8 @@ removes every row, and the join sees nothing of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ from lumitrace.workspace import materialize
 
 # Rows of one source on one salt of the pair join.
 ROWS_PER_SALT = 20_000
+# Row pairs of two cells that are formed rather than cut further; bits by which the first and later cells are cut, and where cutting ends.
+LEAF, FIRST, STEP, DEEPEST = 4096, 9, 3, 42
 # Slack that keeps the pruning safe against rounding.
 _SLACK = 1 - 1e-9
 
@@ -121,50 +125,143 @@ def significant_pairs(measurements: DataFrame, min_abs_vs: float = DEFAULTS["min
     return pairs.select(*order).withColumnsRenamed({"id_a": "meas_id_a", "id_b": "meas_id_b"})
 
 
-def _undominated(rows: DataFrame, kind: str) -> DataFrame:
+def _cells(rows: DataFrame, end: str, depth: int) -> DataFrame:
+    """Cells of one kind of ends: extent in flux, least error and a row that has it, number of rows."""
+    p = end[0]
+    found = _with_cell(rows.filter(f"_{end}"), p, depth).groupBy("source", *_cell_keys(p)).agg(
+        F.min("_f").alias(f"{p}_min"),
+        F.max("_f").alias(f"{p}_max"),
+        F.min(F.struct("_e", "_f")).alias("_row"),
+        F.count(F.lit(1)).alias(f"{p}_n"),
+        F.max("_e").alias(f"{p}_worst"),
+    )
+    return found.withColumns({f"{p}_e": F.col("_row._e"), f"{p}_f": F.col("_row._f")}).drop("_row")
+
+
+def _cell_keys(p: str) -> list[str]:
+    return [f"{p}_sign", f"{p}_cell"]
+
+
+def _with_cell(rows: DataFrame, p: str, depth: int) -> DataFrame:
+    cell = F.least(F.floor(F.col("_place") * 2**depth), F.lit(2**depth - 1))
+    return rows.withColumns({f"{p}_sign": F.col("_sign"), f"{p}_cell": cell})
+
+
+def _candidate_cells(rows: DataFrame, min_abs_vs: float) -> list[tuple[int, DataFrame]]:
+    """Pairs of cells that may hold the winning pair of a source, by depth: branch and bound.
+
+    Ends lie in cells of flux per source and sign. A pair of cells leaves when
+    no pair of its rows can be significant, or none can have an |m| as large
+    as that of a significant pair already met in the source. Cells with more
+    than LEAF row pairs between them are cut finer. |m| of ends of one sign
+    grows with the brighter and falls with the fainter flux; across signs it
+    is larger the closer the absolute values are, and without bound where
+    those of two cells overlap.
+    """
+    kept, floors, depth, step, open_ = [], [], 0, FIRST, None
+    promising = F.expr("_floor IS NULL OR _top >= _floor * (1 - 1e-12)")
+    while True:
+        high, low = _cells(rows, "high", depth), _cells(rows, "low", depth)
+        if open_ is None:
+            # Three signs on either side at most.
+            pairs = high.join(low, "source")
+        else:
+            for p, cells in (("h", high), ("l", low)):
+                cells = cells.withColumn("_parent", F.shiftright(F.col(f"{p}_cell"), step))
+                open_ = open_.withColumnRenamed(f"{p}_cell", "_parent").join(cells, ["source", f"{p}_sign", "_parent"]).drop("_parent")
+            pairs = open_
+        needed = F.hypot("h_e", "l_e") * (min_abs_vs * _SLACK)
+        pairs = pairs.filter((F.col("h_max") - F.col("l_min") >= needed) & (F.col("h_max") > F.col("l_min")))
+        across = (F.col("h_sign") > 0) & (F.col("l_sign") < 0)
+        overlap = (F.col("h_min") <= -F.col("l_min")) & (-F.col("l_max") <= F.col("h_max"))
+        closest = F.when(F.col("h_min") > -F.col("l_min"), m_metric("h_min", "l_min")).otherwise(m_metric("h_max", "l_max"))
+        top = F.when(across & overlap, F.lit(float("inf"))).when(across, F.abs(closest)).otherwise(F.abs(m_metric("h_max", "l_min")))
+        seen = F.when(vs_metric("h_f", "l_f", "h_e", "l_e") >= min_abs_vs, F.abs(m_metric("h_f", "l_f")))
+        pairs = materialize(pairs.withColumns({"_top": top, "_seen": seen}), "cells")
+        floors.append(pairs.groupBy("source").agg(F.max("_seen").alias("_floor")))
+        floor = reduce(DataFrame.unionByName, floors).groupBy("source").agg(F.max("_floor").alias("_floor"))
+        one_point = "h_min = h_max AND l_min = l_max AND h_e = h_worst AND l_e = l_worst"
+        small = F.expr(f"h_n * l_n <= {LEAF} OR ({one_point})") | F.lit(depth >= DEEPEST)
+        keys = ["source", *_cell_keys("h"), *_cell_keys("l")]
+        kept.append((depth, pairs.filter(small).select(*keys, "_top", "h_n", "l_n")))
+        if pairs.filter(~small).isEmpty():
+            break
+        large = pairs.filter(~small).join(floor, "source").filter(promising)
+        open_ = materialize(large.select(*keys), "open")
+        step = STEP if depth else FIRST
+        depth += step
+    # What was kept early is held against the best pair met since.
+    return [(d, pairs.join(floor, "source").filter(promising).drop("_floor")) for d, pairs in kept]
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Adds `_sign` and `_place`, 0 to 1 by the logarithm of the absolute flux, which is -745 to 710 for any double."""
+    log = F.coalesce(F.log(F.nullif(F.abs("_f"), F.lit(0.0))), F.lit(-745.0))
+    return rows.withColumns({"_sign": F.signum("_f").cast("int"), "_place": (log + 745.0) / 1456.0})
+
+
+def _undominated(rows: DataFrame) -> DataFrame:
     """Drop ends that cannot be in the pair with the largest |m|.
 
-    With positive fluxes a brighter high end with no larger error gives a
-    larger |m| and a larger |Vs| against any low end, and so does a fainter
-    low end. Rows beaten that way inside their own salt are unmarked; a salt
-    holds at most about ROWS_PER_SALT rows, so its window is bounded.
+    Against any end of its own sign, a brighter high end with no larger error
+    gives a larger |m| and a larger |Vs|, and so does a fainter low end. Ends
+    that may also meet the other sign, or a flux of 0, are left. Rows beaten
+    inside their own salt are unmarked; a salt holds at most about
+    ROWS_PER_SALT rows, so its window is bounded.
     """
-    flux, err = F.col(f"flux_{kind}"), F.col(f"flux_{kind}_err")
     salts = F.ceil(F.col("_n") / ROWS_PER_SALT)
     rows = rows.withColumn("_chunk", F.pmod(F.xxhash64("id"), salts))
-    chunk = Window.partitionBy("source", "_chunk")
+    chunk = Window.partitionBy("source", "_sign", "_chunk")
     before = (Window.unboundedPreceding, -1)
-    brighter = F.min(F.struct(err.alias("e"), (-flux).alias("f"))).over(chunk.orderBy(flux.desc(), err.desc()).rowsBetween(*before))
-    fainter = F.min(F.struct(err.alias("e"), flux.alias("f"))).over(chunk.orderBy(flux.asc(), err.desc()).rowsBetween(*before))
+    e, f = F.col("_e"), F.col("_f")
+    brighter = F.min(F.struct(e.alias("e"), (-f).alias("f"))).over(chunk.orderBy(f.desc(), e.desc()).rowsBetween(*before))
+    fainter = F.min(F.struct(e.alias("e"), f.alias("f"))).over(chunk.orderBy(f.asc(), e.desc()).rowsBetween(*before))
     rows = rows.withColumns({"_brighter": brighter, "_fainter": fainter})
 
-    def beaten(best: str, closer: Column) -> Column:
-        e, f = F.col(f"{best}.e"), F.col(f"{best}.f")
-        return F.coalesce((F.col(f"_min_{kind}") > 0) & ((e < err) | ((e == err) & (f < closer))), F.lit(False))
+    def beaten(best: str, own: Column, among: Column) -> Column:
+        return F.coalesce(among & ((F.col(f"{best}.e") < e) | ((F.col(f"{best}.e") == e) & (F.col(f"{best}.f") < own))), F.lit(False))
 
-    return rows.withColumns(
-        {
-            f"_high_{kind}": F.col(f"_high_{kind}") & ~beaten("_brighter", -flux),
-            f"_low_{kind}": F.col(f"_low_{kind}") & ~beaten("_fainter", flux),
-        }
-    ).drop("_brighter", "_fainter", "_chunk")
+    alone_high = (F.col("_sign") < 0) | ((F.col("_sign") > 0) & (F.col("_least") > 0))
+    alone_low = (F.col("_sign") > 0) | ((F.col("_sign") < 0) & (F.col("_most") < 0))
+    flags = {"_high": F.col("_high") & ~beaten("_brighter", -f, alone_high), "_low": F.col("_low") & ~beaten("_fainter", f, alone_low)}
+    return rows.withColumns(flags).filter("_high OR _low").drop("_brighter", "_fainter", "_chunk", "_n", "_least", "_most")
 
 
 def most_significant_pair(measurements: DataFrame, kind: str, min_abs_vs: float = DEFAULTS["min_abs_vs"]) -> DataFrame:
-    """|Vs| and |m| of the pair with the largest |m| among the significant ones.
+    """|Vs| and |m| of the pair with the largest |m| among the significant ones, for fluxes of any sign.
 
-    Ends that cannot win are dropped first, and pairs are folded map-side.
-    Ties go to the smaller (a, b) ids in time order.
+    Pairs are formed in cells that can hold the winner only, and folded
+    map-side. Ties go to the smaller (a, b) ids in time order; pairs that tie
+    for the first place are all formed, as between many rows of one flux and
+    error, or with an end whose flux is exactly 0.
     """
     if min_abs_vs <= 0:
         raise ValueError("min_abs_vs must be positive")
-    keep = ["id", "datetime", f"flux_{kind}", f"flux_{kind}_err"]
-    bounded = _with_bounds(measurements.select("source", *keep), (kind,), min_abs_vs)
-    rows = _undominated(bounded.filter(f"_high_{kind} OR _low_{kind}"), kind)
-    rows = materialize(rows.filter(f"_high_{kind} OR _low_{kind}"), "ends")
-    ends = _ends(rows, kind, keep)
-    vs = F.abs(vs_metric(f"flux_{kind}_h", f"flux_{kind}_l", f"flux_{kind}_err_h", f"flux_{kind}_err_l"))
-    m = F.abs(m_metric(f"flux_{kind}_h", f"flux_{kind}_l"))
+    flux, err = f"flux_{kind}", f"flux_{kind}_err"
+    bounded = _with_bounds(measurements.select("source", "id", "datetime", flux, err), (kind,), min_abs_vs)
+    ends = bounded.filter(f"_high_{kind} OR _low_{kind}").select(
+        "source", "id", "datetime", F.col(flux).alias("_f"), F.col(err).alias("_e"), F.col(f"_high_{kind}").alias("_high"), F.col(f"_low_{kind}").alias("_low"),
+        "_n", F.col(f"_min_{kind}").alias("_least"), F.col(f"_max_{kind}").alias("_most"),
+    )
+    rows = materialize(_undominated(_placed(ends)), "ends")
+    counts = rows.groupBy("source").agg((F.count_if("_high") * F.count_if("_low")).alias("_pairs"))
+
+    def end(name: str, chosen: DataFrame, on: list[str], of: DataFrame) -> DataFrame:
+        p = name[0]
+        return chosen.join(of.filter(f"_{name}").select(*on, *[F.col(c).alias(f"{c}_{p}") for c in ("id", "datetime", "_f", "_e")]), on)
+
+    few = counts.filter(f"_pairs BETWEEN 1 AND {LEAF}").select("source")
+    found = [end("low", end("high", few, ["source"], rows), ["source"], rows)]
+    many = counts.filter(f"_pairs > {LEAF}").select("source")
+    if not many.isEmpty():
+        rows = materialize(rows.join(many, "source", "left_semi"), "ends")
+        for depth, pairs in _candidate_cells(rows, min_abs_vs):
+            for name in ("high", "low"):
+                pairs = end(name, pairs, ["source", *_cell_keys(name[0])], _with_cell(rows, name[0], depth))
+            found.append(pairs.select(found[0].columns))
+    ends = reduce(DataFrame.unionByName, found).filter("_f_h > _f_l")
+    vs = F.abs(vs_metric("_f_h", "_f_l", "_e_h", "_e_l"))
+    m = F.abs(m_metric("_f_h", "_f_l"))
     first = F.struct("datetime_h", "id_h") < F.struct("datetime_l", "id_l")
     pairs = ends.select(
         "source",

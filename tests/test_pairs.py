@@ -4,8 +4,10 @@ import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from helpers import frame
+from pyspark.sql import functions as F
 
 from lumitrace.operators import pairs
 
@@ -39,9 +41,10 @@ def expected(data, kind, limit):
     return found, best
 
 
-@pytest.mark.parametrize("salt", [20_000, 3])
-def test_pairs(spark, monkeypatch, salt):
+@pytest.mark.parametrize("salt,leaf", [(20_000, 4096), (3, 2)])
+def test_pairs(spark, monkeypatch, salt, leaf):
     monkeypatch.setattr(pairs, "ROWS_PER_SALT", salt)
+    monkeypatch.setattr(pairs, "LEAF", leaf)
     data = rows()
     df = frame(spark, data, SCHEMA)
     peak, best_peak = expected(data, "peak", 2.5)
@@ -57,6 +60,58 @@ def test_pairs(spark, monkeypatch, salt):
             assert one[source] == pytest.approx((vs, -neg_m))
 
 
+def long_source(n, shape, seed=9):
+    """(flux, err) of one source that keeps simple bounds busy."""
+    rng = np.random.default_rng(seed)
+    if shape == "both signs":
+        return rng.normal(0, 5, n), rng.uniform(0.3, 3, n)
+    if shape == "errors grow with flux":
+        flux = rng.uniform(1, 100, n)
+        return flux, 0.1 * flux * rng.uniform(0.9, 1.1, n)
+    if shape == "all negative":
+        flux = -rng.lognormal(2, 1, n)
+        return flux, 0.2 * np.abs(flux) + 0.1
+    # Faint ends of both signs that are not significant among themselves, few bright ones.
+    flux = rng.normal(0, 1, n)
+    flux[:: n // 20] *= 40
+    return flux, np.ones(n)
+
+
+@pytest.mark.parametrize("shape", ["both signs", "errors grow with flux", "all negative", "faint"])
+def test_pairs_formed_in_long_sources_grow_about_linearly(spark, monkeypatch, shape):
+    monkeypatch.setattr(pairs, "LEAF", 256)
+    formed, real = [], pairs._candidate_cells
+
+    def counting(rows, limit):
+        out = real(rows, limit)
+        formed.append(sum(cells.agg(F.sum(F.col("h_n") * F.col("l_n"))).first()[0] or 0 for _, cells in out))
+        return out
+
+    monkeypatch.setattr(pairs, "_candidate_cells", counting)
+    for n in (1000, 4000):
+        flux, err = long_source(n, shape)
+        data = [(i, 7, i, 1, float(f), float(e)) for i, (f, e) in enumerate(zip(flux, err))]
+        df = frame(spark, data, "id long, source long, datetime long, image_id long, flux_peak double, flux_peak_err double")
+        got = pairs.most_significant_pair(df, "peak", 4.3).collect()
+        with np.errstate(divide="ignore", invalid="ignore"):
+            vs = np.abs(flux[:, None] - flux) / np.hypot(err[:, None], err)
+            m = np.where(vs >= 4.3, np.abs(2 * (flux[:, None] - flux) / (flux[:, None] + flux)), -1.0)
+        at = np.unravel_index(m.argmax(), m.shape)
+        assert [(r[1], r[2]) for r in got] == [(pytest.approx(vs[at]), pytest.approx(m[at]))]
+    # Of some 500 thousand and 8 million pairs.
+    assert max(formed, default=0) <= 40_000
+
+
+def test_ends_with_flux_zero_and_equal_rows(spark):
+    flux = [0.0, 0.0, -8.0, 8.0, 20.0, 20.0, 20.0, -3.0]
+    data = [(i, 1, 10 - i, 1, f, 1.0, f, 1.0) for i, f in enumerate(flux)] + [(20 + i, 2, i, 1, f, 1.0, f, 1.0) for i, f in enumerate([0.0, 9.0, 12.0, 0.0])]
+    got = {r["source"]: (r[1], r[2]) for r in pairs.most_significant_pair(frame(spark, data, SCHEMA), "peak", 4.3).collect()}
+    # All pairs with a flux of 0 have |m| = 2: the first two ids win.
+    assert got[2] == pytest.approx((9 / 2**0.5, 2.0))
+    # 8 and -8 have no m; of the others 20 and -8 have the largest.
+    assert got[1] == pytest.approx((28 / 2**0.5, 56 / 12))
+
+
 def test_a_positive_threshold_is_needed(spark):
     with pytest.raises(ValueError):
         pairs.significant_pairs(frame(spark, rows(), SCHEMA), 0.0)
