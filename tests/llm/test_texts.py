@@ -121,6 +121,18 @@ def test_kernel_weights_equal_kernel_products():
     assert len(grams[0]) <= len(expected) and len(grams[0]) > 0.95 * len(expected)
 
 
+def test_blocks_of_texts_score_as_single_texts():
+    weights = np.random.default_rng(3).normal(size=(language.GRAMS, 4))
+    model = language.Model(list("abcd"), weights)
+    texts = [("word " * (k % 7) + chr(97 + k % 26) * (k % 5)) for k in range(150)] + ["", "x" * 40_000 + "é漢字"]
+    got = model.scores(texts)
+    for text, row in zip(texts, got):
+        grams = language.gram_set(text)
+        alone = weights[grams].sum(axis=0) / np.sqrt(len(grams)) if len(grams) else np.zeros(4)
+        assert np.allclose(row, alone, rtol=1e-12, atol=1e-12)
+    assert model.scores([""]).tolist() == [[0.0] * 4] and model.scores([]).shape == (0, 4)
+
+
 def test_languages_are_told_apart(spark):
     rng = generator(7)
     alphabets = {"aa": "abcde ", "bb": "fghij ", "cc": "àéîõü "}
