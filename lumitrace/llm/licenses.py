@@ -151,17 +151,27 @@ def sql(rules: list[tuple[str, str]] | None = None) -> str:
     """The same for DuckDB, lists joined by commas."""
     folded = f"translate(coalesce(text, ''), '{frames.UPPER}', '{frames.LOWER}')"
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"{{'at': strpos(s, regexp_extract(s, {quoted(f' {p} ')})), 'name': {quoted(n)}, 'has': regexp_matches(s, {quoted(f' {p} ')})}}" for n, p in SENTENCES.items())
+    # Without look-behind: the character after a tag is blanked, so no sentence ends there.
+    joined = f"regexp_replace({folded}, '(spdx-license-identifier)[.!?;:\\n]', '\\1 ', 'g')"
+
+    def places(name: str, pattern: str) -> str:
+        """Matches of one sentence. Without look-ahead: spaces are doubled, so neighbours need not share one."""
+        p = quoted(f" {pattern} ".replace(" ", "  ")[1:-1])
+        length = lambda parts, upto: f"coalesce(list_sum(list_transform({parts}[1:{upto}], lambda x: length(x))), 0)"
+        at = length(f"string_split_regex(d, {p})", "i") + " + " + length(f"regexp_extract_all(d, {p}, 0)", "i - 1")
+        return f"CASE WHEN regexp_matches(d, {p}) THEN list_transform(regexp_extract_all(d, {p}, 0), lambda m, i: {{'at': ({at})::BIGINT, 'name': {quoted(name)}}}) ELSE [] END"
+
+    known = ", ".join(places(n, p) for n, p in SENTENCES.items())
     left = "array_to_string(list_transform(ids, lambda x: '<' || x || '>'), '')"
     for name, rule in rules or RULES:
         left = f"regexp_replace({left}, {quoted(rule)}, {quoted(f'#{name};')}, 'g')"
     return f"""
 WITH own AS (
-  SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), {quoted(HINT)})
-    THEN list_transform(string_split_regex({folded}, {quoted(BREAK)}), lambda s: ' ' || trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) || ' ') ELSE [] END AS own FROM documents
+  SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), {quoted(RAW_HINT)})
+    THEN list_transform(string_split_regex({joined}, {quoted(BREAK)}), lambda s: ' ' || trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) || ' ') ELSE [] END AS own FROM documents
 ),
-ids AS (SELECT doc_id, flatten(list_transform(list_filter(own, lambda s: regexp_matches(s, {quoted(HINT)})),
-  lambda s: list_transform(list_sort(list_transform(list_filter([{known}], lambda k: k.has), lambda k: {{'at': k.at, 'name': k.name}})), lambda k: k.name))) AS ids FROM own),
+ids AS (SELECT doc_id, flatten(list_transform(list_transform(list_filter(own, lambda s: regexp_matches(s, {quoted(HINT)})), lambda s: replace(s, ' ', '  ')),
+  lambda d: list_transform(list_sort(flatten([{known}])), lambda k: k.name))) AS ids FROM own),
 taken AS (SELECT doc_id, ids, {left} AS l FROM ids)
 SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentences, coalesce(array_to_string(regexp_extract_all(l, '#([^;]+);', 1), ','), '') AS licences,
   coalesce(array_to_string(regexp_extract_all(l, '<([^>]+)>', 1), ','), '') AS unmatched

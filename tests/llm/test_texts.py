@@ -6,7 +6,9 @@ import string
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from samples import WORDS, docs, generator, prose
@@ -373,6 +375,20 @@ def test_every_known_sentence_finds_itself(spark):
     assert [n for i, n in enumerate(plain) if n not in by_id[i]] == []
 
 
+def test_licences_equal_their_sql(spark):
+    rng = generator(15)
+    parts = [c for name, p in licenses.SENTENCES.items() for c in [re.sub(r"\(([^()|]*)[^()]*\)\??", r"\1", p).replace("[a-z0-9 ]+", "someone").replace("[12][0-9]{3}", "1999").replace("[23]", "2").replace("[01]", "1")]]
+    parts += ["SPDX-License-Identifier:", "spdx-license-identifier::", "SPDX-License-Identifier", "MIT", "Apache-2.0", "GPL-3.0-or-later", "All rights\nreserved", "public\n domain", "all rights reserved", "Copyright (c) 2020"]
+    gaps = [" ", " ", "\n", "\n\n", "\n\n\n", ". ", "; ", ": ", ", ", ":", "!\") "]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randrange(9)))) for i in range(600)] + [(1000 + i, r[1]) for i, r in enumerate(ODD)]
+    got = licenses.licences(docs(spark, rows)).collect()
+    con = duckdb.connect()
+    documents = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})  # noqa: F841
+    expected = sorted(con.execute(licenses.sql()).fetchall())
+    assert sorted((r["doc_id"], ",".join(r["sentences"]), ",".join(r["licences"]), ",".join(r["unmatched"])) for r in got) == expected
+    assert sum("spdx" in r[1] for r in expected) > 50 and sum(r[1].count("reserved") > 1 for r in expected) > 5
+
+
 def test_licences_of_many_rows(spark):
     assert licenses.licences(docs(spark, ODD)).count() == len(ODD)
     assert licenses.licences(docs(spark, ODD).limit(0)).count() == 0
