@@ -22,15 +22,15 @@ copies; NULL doc_ids take part; extra columns are ignored.
 from __future__ import annotations
 
 import re
-import struct
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumitrace.llm import frames, near_duplicates
+from lumitrace.llm import frames, near_duplicates, words
 from lumitrace.workspace import materialize
 
 LEADING = 2
@@ -42,39 +42,60 @@ PASSAGE = 20
 MIN_LONG = 2
 
 _DIGIT = re.compile(r"\d")
-_VARIABLE = re.compile(r"\S*\d\S*")
+#: Texts that this does not match, told of a whole batch at once, have no digit.
+_MAY_HAVE_DIGIT = r"[0-9]|[^\x00-\x7F]"
 
 
-def _hash(tokens: list[str], kind: int) -> int:
-    return xxhash.xxh3_64_intdigest(" ".join(tokens), kind)
+def _masked(tokens: list[str]) -> list[str]:
+    """Tokens with variable fields as `<*>`; a line of little but variable fields has no template and stands for itself."""
+    masked = [t if t.isalpha() or not _DIGIT.search(t) else "<*>" for t in tokens]
+    variable = masked.count("<*>")
+    return masked if 2 * variable <= len(masked) and len(masked) - variable >= MIN_TOKENS else tokens
 
 
-def _mix(parts: list[int], kind: int) -> int:
-    return xxhash.xxh3_64_intdigest(struct.pack(f"<{len(parts)}Q", *parts), kind)
-
-
-def line_keys(line: str) -> list[int]:
-    """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens. Keys of lines of PASSAGE tokens are odd, others even."""
+def line_parts(line: str, digits: bool = True) -> tuple[int, list[int]]:
+    """Number of tokens and hashes of the parts of a line: of all tokens if they are fewer than LONG, else of the leading ones and of each segment; none for a line with too few tokens."""
     tokens = line.split()
-    if _DIGIT.search(line):
-        masked = _VARIABLE.sub("<*>", line).split()
-        # A line of little but variable fields has no template: it stands for itself.
-        if 2 * masked.count("<*>") <= len(masked) and len(masked) - masked.count("<*>") >= MIN_TOKENS:
-            tokens = masked
     n = len(tokens)
+    if digits and _DIGIT.search(line):
+        tokens = _masked(tokens)
     if n < MIN_TOKENS:
-        return []
+        return n, []
+    digest, join = xxhash.xxh3_64_intdigest, " ".join
     if n < LONG:
-        keys = [_hash(tokens, n)]
-    else:
-        # The leading tokens and each segment are hashed once; a template is all parts, or all but one.
-        rest = n - LEADING
-        cuts = [LEADING + rest * s // SEGMENTS for s in range(SEGMENTS + 1)]
-        parts = [_hash(tokens[:LEADING], 0), *[_hash(tokens[x:y], 0) for x, y in zip(cuts, cuts[1:])]]
-        keys = [_mix(parts, n)]
-        for s in range(1, SEGMENTS + 1):
-            keys.append(_mix([*parts[:s], 0, *parts[s + 1 :]], n + (s << 40)))
-    return [k & ~1 | (n >= PASSAGE) for k in keys]
+        return n, [digest(join(tokens), n)]
+    rest = n - LEADING
+    cuts = [0, LEADING, *[LEADING + rest * s // SEGMENTS for s in range(1, SEGMENTS + 1)]]
+    return n, [digest(join(tokens[x:y])) for x, y in zip(cuts, cuts[1:])]
+
+
+def template_keys(sizes: np.ndarray, parts: np.ndarray) -> np.ndarray:
+    """Keys of the templates of lines of LONG tokens or more, a row per line: all parts, or all but one segment. `parts`: a row of hashes per line."""
+    keys = np.empty(parts.shape, np.uint64)
+    for variable in range(SEGMENTS + 1):
+        key = words.mix(sizes.astype(np.uint64) + np.uint64(variable << 40))
+        for k in range(SEGMENTS + 1):
+            key = words.mix(key if k and k == variable else key ^ parts[:, k]) + np.uint64(k)
+        keys[:, variable] = key
+    return keys
+
+
+def keys_of(sizes: list[int], hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all templates of some lines, and how many each has. `sizes`: tokens of each line, MIN_TOKENS or more; `hashes`: its parts. Keys of lines of PASSAGE tokens are odd, others even."""
+    sizes, hashes = np.array(sizes, np.int64), np.array(hashes, np.uint64)
+    # A line has as many templates as parts: one, or its own and one for each segment.
+    counts = np.where(sizes < LONG, 1, SEGMENTS + 1)
+    long = np.flatnonzero(sizes >= LONG)
+    at = (np.cumsum(counts) - counts)[long][:, None] + np.arange(SEGMENTS + 1)
+    keys = hashes.copy()
+    keys[at] = template_keys(sizes[long], hashes[at])
+    return keys & ~np.uint64(1) | np.repeat(sizes >= PASSAGE, counts).astype(np.uint64), counts
+
+
+def line_keys(line: str) -> list[int]:
+    """Keys of the line's templates: its own, then those with one segment variable; none for a line with too few tokens."""
+    n, parts = line_parts(line)
+    return keys_of([n], parts)[0].tolist() if parts else []
 
 
 def parsed(docs: DataFrame) -> DataFrame:
@@ -82,16 +103,20 @@ def parsed(docs: DataFrame) -> DataFrame:
     def parse(batches):
         for batch in batches:
             for some in frames.chunks(batch):
-                counts, ends, lines, keys = [], [0], [], []
-                for text in some.column("text").to_pylist():
+                texts = some.column("text")
+                counts, ends, lines, sizes, hashes = [], [0], [], [], []
+                for text, digits in zip(texts.to_pylist(), pc.match_substring_regex(texts, _MAY_HAVE_DIGIT).to_pylist()):
                     own = [] if text is None else text.split("\n")
                     counts.append(len(own))
                     for i, line in enumerate(own):
-                        found = line_keys(line)
-                        keys += found
-                        lines += [i] * len(found)
-                    ends.append(len(keys))
-                flat = pa.StructArray.from_arrays([pa.array(lines, pa.int32()), pa.array(np.array(keys, np.uint64).view(np.int64))], names=["line", "key"])
+                        n, parts = line_parts(line, digits)
+                        if parts:
+                            lines.append(i)
+                            sizes.append(n)
+                            hashes += parts
+                    ends.append(len(hashes))
+                keys, each = keys_of(sizes, hashes)
+                flat = pa.StructArray.from_arrays([pa.array(np.repeat(np.array(lines, np.int32), each)), pa.array(keys.view(np.int64))], names=["line", "key"])
                 templates = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("text_key"), pa.array(counts, pa.int32()), templates], names=["doc_id", "text_key", "n_lines", "templates"])
 
@@ -133,7 +158,9 @@ def recurring_lines(rows: DataFrame, docs: DataFrame, min_documents: int = MIN_D
     often = materialize(held.join(often, "key", "left_semi"), "often")
     if often.isEmpty():
         return often.select(F.lit(None).cast("long").alias("doc_id"), "text_key", F.array().cast("array<int>").alias("dropped"))
-    counted = often.join(near_duplicates.groups(docs, among=often.select("text_key").distinct()), "text_key").select("key", "group").distinct()
+    # Of rows with one text, that of the smallest id speaks for all.
+    speaking = lines.join(often.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
+    counted = often.join(near_duplicates.groups(docs, among=speaking), "text_key").select("key", "group").distinct()
     recurring = materialize(counted.groupBy("key").agg(enough.alias("enough")).filter("enough").select("key"), "recurring")
     lines = lines.join(recurring, "key", "left_semi")
     return lines.groupBy(*row).agg(F.collect_set("line").alias("dropped"))

@@ -123,15 +123,17 @@ def set_hash(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, size: int = SIZE, among: DataFrame | None = None) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_id and buckets of every row; the last two are NULL for empty sets. `among`: of rows whose text_key is there, and perhaps a few others."""
-    few = None
+    """doc_id, text_key, n_shingles, set_id and buckets of every row; the last two are NULL for empty sets. `among`: of rows whose doc_id and text_key are there, and perhaps a few others."""
+    few, rows = None, frames.keyed(docs)
     if among is not None:
-        few = docs.sparkSession.sparkContext.broadcast(frames.BitFilter.build(among, "text_key"))
+        named = F.xxhash64("doc_id", "text_key", F.col("doc_id").isNull()).alias("named")
+        few = docs.sparkSession.sparkContext.broadcast(frames.BitFilter.build(materialize(among.select(named), "among"), "named"))
+        rows = rows.withColumn("named", named)
 
     def sign(batches):
         for batch in batches:
             if few is not None:
-                batch = batch.filter(pa.array(few.value.has(batch.column("text_key").to_numpy().view(np.uint64))))
+                batch = batch.filter(pa.array(few.value.has(batch.column("named").to_numpy().view(np.uint64))))
             for some in frames.chunks(batch):
                 w = words.Words(some.column("text"), words.SPACED)
                 counts, ids, signs = [], [], []
@@ -145,7 +147,7 @@ def signatures(docs: DataFrame, size: int = SIZE, among: DataFrame | None = None
                     names=["doc_id", "text_key", "n_shingles", "set_id", "buckets"],
                 )
 
-    return frames.arrow_map(frames.keyed(docs), sign, "doc_id long, text_key long, n_shingles long, set_id long, buckets array<long>")
+    return frames.arrow_map(rows, sign, "doc_id long, text_key long, n_shingles long, set_id long, buckets array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -352,7 +354,7 @@ def _labelled(docs: DataFrame, size: int, threshold: int, among: DataFrame | Non
 
 
 def groups(docs: DataFrame, size: int = SIZE, threshold: int = THRESHOLD, among: DataFrame | None = None) -> DataFrame:
-    """text_key and group of every text with words, each text once: near copies are in one group, whatever their ids. `among`: only texts with these text_keys."""
+    """text_key and group of every text with words, each text once: near copies are in one group, whatever their ids. `among`: only of rows with these doc_ids and text_keys."""
     signed, _, labels = _labelled(docs, size, threshold, among)
     named = signed.filter("set_id IS NOT NULL").select("text_key", "set_id").distinct()
     return named.join(labels, "set_id", "left").select("text_key", F.coalesce("label", "set_id").alias("group"))
