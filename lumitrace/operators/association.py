@@ -42,9 +42,15 @@ class Association:
     """Outcome of a run: who belongs to whom, and the catalogue to go on from."""
 
     associations: DataFrame  # source, meas_id, d2d (arcsec), dr
-    relations: DataFrame  # from_source_id, to_source_id
+    links: DataFrame  # from_source_id, to_source_id
     state: DataFrame  # running sums per source
     next_id: int
+    classes: DataFrame | None = None  # class_id, source, size: sources related by a shared measurement
+
+    @property
+    def relations(self) -> DataFrame:
+        """All related pairs. A class of n sources has n squared of them; `links` and `classes` hold the same in n rows."""
+        return self.links if self.classes is None else related_pairs(self.links, self.classes)
 
 
 # --- decisions within one epoch -------------------------------------------------------------
@@ -56,13 +62,14 @@ def untangle(pairs: DataFrame, dist: str) -> DataFrame:
     Among pairs whose measurement and whose source both occur in several
     pairs, keep for each measurement the pairs at its smallest distance.
     """
-    # Two aggregates of the same table; with_group_values joins them back.
-    counted = with_group_values(pairs, ["id"], _per_meas=F.count(F.lit(1)))
-    counted = with_group_values(counted, ["source"], _per_source=F.count(F.lit(1)))
-    tangled = (F.col("_per_meas") > 1) & (F.col("_per_source") > 1)
-    least = with_group_values(counted.withColumn("_tangled", tangled), ["id"], _least=F.min(F.when(tangled, F.col(dist))))
-    kept = least.filter(~F.col("_tangled") | (F.col(dist) == F.col("_least")))
-    return kept.select(*pairs.columns)
+    # A pair of which one end occurs once is not tangled, so only pairs between the ends below can be.
+    ends = {k: materialize(pairs.groupBy(k).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(k), f"several-{k}") for k in ("id", "source")}
+    tangled = pairs.select("id", "source", dist).join(ends["id"], "id", "left_semi").join(ends["source"], "source", "left_semi")
+    tangled = materialize(tangled, "tangled")
+    if tangled.isEmpty():
+        return pairs
+    least = with_group_values(tangled, ["id"], _least=F.min(dist))
+    return pairs.join(least.filter(F.col(dist) > F.col("_least")).select("id", "source"), ["id", "source"], "left_anti").select(*pairs.columns)
 
 
 def mark_forks(pairs: DataFrame, dist: str) -> DataFrame:
@@ -98,17 +105,32 @@ def fork_relations(rows: DataFrame) -> DataFrame:
     )
 
 
-def sharing_relations(rows: DataFrame) -> DataFrame:
-    """Sources that share a measurement are related to each other.
+def sharing_classes(rows: DataFrame) -> DataFrame:
+    """Classes of sources that share a measurement: class_id, source, size, a row per member.
 
-    These edges are themselves the result; only measurements with several
-    sources take part, and `untangle` has reduced those before.
+    Measurements with the same sources make one class, named by the smallest
+    of their ids. Sets of sources are told apart by their size, their least and
+    greatest source and 128 bits of hashes, so no list is collected.
     """
-    shared = rows.groupBy("id").agg(F.count_distinct("source").alias("_n")).filter("_n > 1").select("id")
-    ends = rows.join(shared, "id", "left_semi").select("id", "source").distinct()
-    a = ends.withColumnRenamed("source", "from_source_id")
-    b = ends.withColumnRenamed("source", "to_source_id")
-    return a.join(b, "id").filter("from_source_id <> to_source_id").select("from_source_id", "to_source_id").distinct()
+    ends = rows.select("id", "source").distinct()
+    same = {"size": F.count(F.lit(1)), "_lo": F.min("source"), "_hi": F.max("source"), "_x": F.bit_xor(F.xxhash64("source")), "_y": F.bit_xor(F.xxhash64("source", F.lit(1)))}
+    sets = ends.groupBy("id").agg(*[value.alias(name) for name, value in same.items()]).filter("size > 1")
+    named = sets.groupBy(*same).agg(F.min("id").alias("id")).select("id", "size")
+    return ends.join(named, "id").select(F.col("id").alias("class_id"), "source", "size")
+
+
+def related_pairs(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links and all ordered pairs of members of a class, each once."""
+    a = classes.select("class_id", F.col("source").alias("from_source_id"))
+    b = classes.select("class_id", F.col("source").alias("to_source_id"))
+    pairs = a.join(b, "class_id").filter("from_source_id <> to_source_id").select("from_source_id", "to_source_id")
+    return links.select("from_source_id", "to_source_id").unionByName(pairs).distinct()
+
+
+def sharing_relations(rows: DataFrame) -> DataFrame:
+    """Sources that share a measurement are related to each other."""
+    classes = sharing_classes(rows)
+    return related_pairs(classes.filter("false").select(F.col("source").alias("from_source_id"), F.col("source").alias("to_source_id")), classes)
 
 
 # --- running sums ---------------------------------------------------------------------------
@@ -318,19 +340,20 @@ def associate(
     log_schema = T.StructType([*assigned.schema.fields, T.StructField("step", T.LongType())])
     log = spark.read.schema(log_schema).parquet(log_path)
     steps = log.select("source", F.col("id").alias("meas_id"), "d2d", "dr", "step")
-    relations = fork_relations(log)
-    if settings.method != "basic":
-        relations = relations.unionByName(sharing_relations(log))
+    links = fork_relations(log)
+    classes = materialize(sharing_classes(log), "classes") if settings.method != "basic" else None
     if prior:
         if earlier is None:
             before = prior.associations.select(*ASSOCIATION_COLUMNS, F.lit(0).cast("long").alias("step"))
             steps = before.unionByName(steps)
         if not only_new:
-            relations = relations.unionByName(prior.relations)
+            links = links.unionByName(prior.links)
+            if prior.classes is not None:
+                classes = prior.classes if classes is None else classes.unionByName(prior.classes)
     forks = log.filter("parent IS NOT NULL").select(F.col("source").alias("child"), "parent", "step")
     # Rows of earlier calls are step 0.
     associations = materialize(inherit_history(steps, forks, 1 if only_new else 0, earlier), "associations")
-    return Association(associations, materialize(relations.distinct(), "relations"), state, next_id)
+    return Association(associations, materialize(links.distinct(), "links"), state, next_id, classes)
 
 
 # --- ids of separate runs of the loop -------------------------------------------------------
@@ -375,8 +398,8 @@ def renumber_added(rows: DataFrame, relations: DataFrame, done: DataFrame, start
 # --- adding images to a finished run --------------------------------------------------------
 
 
-def rebuild(associations: DataFrame, measurements: DataFrame, relations: DataFrame, images: DataFrame) -> Association:
-    """The association state of a finished run, from its stored tables.
+def rebuild(associations: DataFrame, measurements: DataFrame, relations: DataFrame, images: DataFrame, classes: DataFrame | None = None) -> Association:
+    """The association state of a finished run, from its stored tables. `relations` are all pairs, or links beside `classes`.
 
     Sums come from measurements that are not forced; forced ones stay in the
     history. Without new images this is also the state to carry on with.
@@ -386,4 +409,4 @@ def rebuild(associations: DataFrame, measurements: DataFrame, relations: DataFra
     rows = associations.select("source", F.col("meas_id").alias("id")).join(measurements.filter("NOT forced"), "id")
     state = materialize(add_sums(contributions(rows.join(info, "image_id"))), "state")
     top = associations.agg(F.max("source")).first()[0] or 0
-    return Association(associations.select(*ASSOCIATION_COLUMNS), relations.select("from_source_id", "to_source_id"), state, top + 1)
+    return Association(associations.select(*ASSOCIATION_COLUMNS), relations.select("from_source_id", "to_source_id"), state, top + 1, classes)

@@ -29,11 +29,11 @@ def with_neighbours(sources: DataFrame) -> DataFrame:
     return sources.join(spots.select(F.col("id").alias("source"), F.col("sep").alias("n_neighbour_dist")), "source", "left")
 
 
-def final_sources(curves: DataFrame, relations: DataFrame, new: DataFrame, settings: RunSettings, neighbours: bool = True) -> DataFrame:
-    """One row per source with all statistics; those of its own rows only without `neighbours`."""
+def final_sources(curves: DataFrame, relations: DataFrame, new: DataFrame, settings: RunSettings, neighbours: bool = True, classes: DataFrame | None = None) -> DataFrame:
+    """One row per source with all statistics; those of its own rows only without `neighbours`. `relations` are all pairs, or links beside `classes`."""
     sources = source_statistics(curves)
     sources = flag_new(sources, new)
-    sources = sources.join(relation_counts(relations), "source", "left").withColumn("n_rel", F.coalesce("n_rel", F.lit(0)))
+    sources = sources.join(relation_counts(relations, classes), "source", "left").withColumn("n_rel", F.coalesce("n_rel", F.lit(0)))
     if neighbours:
         sources = with_neighbours(sources)
     if settings.pair_metrics:

@@ -80,9 +80,12 @@ def search_sources(
     return found
 
 
-def related_sources(sources: DataFrame, relations: DataFrame, source_id: int) -> DataFrame:
-    """Sources a source is related to."""
+def related_sources(sources: DataFrame, relations: DataFrame, source_id: int, classes: DataFrame | None = None) -> DataFrame:
+    """Sources a source is related to: by pairs and, if given, as members of its classes (class_id, source)."""
     targets = relations.filter(F.col("from_source_id") == source_id).select(F.col("to_source_id").alias("id"))
+    if classes is not None:
+        own = classes.filter(F.col("source") == source_id).select("class_id")
+        targets = targets.unionByName(classes.join(own, "class_id", "left_semi").filter(F.col("source") != source_id).select(F.col("source").alias("id")))
     return sources.join(targets, "id", "left_semi")
 
 

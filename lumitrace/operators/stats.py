@@ -92,8 +92,25 @@ def related_ids(relations: DataFrame) -> DataFrame:
     return relations.select("from_source_id", "to_source_id").filter("from_source_id <> to_source_id").dropDuplicates()
 
 
-def relation_counts(relations: DataFrame) -> DataFrame:
-    return related_ids(relations).groupBy(F.col("from_source_id").alias("source")).agg(F.count(F.lit(1)).alias("n_rel"))
+def relation_counts(relations: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Number of sources that each source is related to, by pairs and, if given, by classes (class_id, source, size).
+
+    A source of one class is related to the rest of it, whose number is known,
+    and to what its pairs add outside. Members are listed only for sources of
+    several classes, as these may overlap.
+    """
+    pairs = related_ids(relations).select(F.col("from_source_id").alias("source"), F.col("to_source_id").alias("other"))
+    if classes is not None:
+        members = classes.select("class_id", F.col("source").alias("other"))
+        held = classes.groupBy("source").agg(F.count(F.lit(1)).alias("_classes"), F.min("class_id").alias("class_id"), F.min("size").alias("size"))
+        one = held.filter("_classes = 1").select("source", "class_id", "size")
+        outside = pairs.join(one.select("source", "class_id"), "source", "left").join(members, ["class_id", "other"], "left_anti")
+        several = classes.join(held.filter("_classes > 1").select("source"), "source", "left_semi").select("source", "class_id")
+        listed = several.join(members, "class_id").filter("source <> other").select("source", "other")
+        pairs = outside.select("source", "other").unionByName(listed).distinct()
+        counts = pairs.groupBy("source").agg(F.count(F.lit(1)).alias("n_rel")).unionByName(one.select("source", (F.col("size") - 1).alias("n_rel")))
+        return counts.groupBy("source").agg(F.sum("n_rel").alias("n_rel"))
+    return pairs.groupBy("source").agg(F.count(F.lit(1)).alias("n_rel"))
 
 
 def run_counters(images: DataFrame, sources: DataFrame, measurements: DataFrame) -> DataFrame:

@@ -69,6 +69,7 @@ def run(
     fits: DataFrame | None = None,
     prior: dict[str, DataFrame] | None = None,
     pair_list: bool = False,
+    relation_list: bool = True,
 ) -> dict[str, DataFrame]:
     """All tables of a run.
 
@@ -79,7 +80,9 @@ def run(
     settings: only images that are not in it are associated, and the ids of
     its forced measurements must not be among the new ones. `pair_list` adds
     `measurement_pairs`, which grows with the square of a source's rows; the
-    pair metrics of a source need no list.
+    pair metrics of a source need no list. Without `relation_list`,
+    `relations` holds links of forks only and `relation_classes` the classes of
+    sources that share a measurement, a row per member instead of all pairs.
     """
     images = materialize(images, "images")
     measurements = clean.with_flux_fraction(measurements, settings.flux_fractional_error)
@@ -88,7 +91,7 @@ def run(
     else:
         known = prior["images"].select("image_id")
         todo = images.join(known, "image_id", "left_anti")
-        start = association.rebuild(prior["associations"], prior["measurements"], prior["relations"], images)
+        start = association.rebuild(prior["associations"], prior["measurements"], prior["relations"], images, prior.get("relation_classes"))
         old_forced = prior["measurements"].filter("forced")
         measurements = forced.append_forced(measurements, old_forced)
     result = association.associate(measurements.filter("NOT forced"), todo, settings, start)
@@ -117,10 +120,12 @@ def run(
         "images": images,
         "measurements": measurements,
         "associations": associations,
-        "relations": result.relations,
+        "relations": result.relations if relation_list else result.links,
         "missing": missing,
-        "sources": finalise.final_sources(curves, result.relations, new, settings),
+        "sources": finalise.final_sources(curves, result.links, new, settings, classes=result.classes),
     }
+    if not relation_list and result.classes is not None:
+        tables["relation_classes"] = result.classes
     if pair_list:
         ids = curves.select("source").distinct().withColumn("id", F.col("source"))
         tables["measurement_pairs"] = finalise.final_pairs(curves, images, ids, settings.min_abs_vs)
@@ -134,5 +139,6 @@ def run_and_store(store: RunStore, name: str, *args, **kwargs) -> int:
 
 def add_images(store: RunStore, name: str, measurements: DataFrame, images: DataFrame, regions: DataFrame, settings: RunSettings, **kwargs) -> int:
     """Add the images that the stored run has not seen, as a new version."""
-    prior = {table: store.read(name, table) for table in RUN_TABLES}
+    kept = RUN_TABLES if kwargs.get("relation_list", True) or settings.method == "basic" else [*RUN_TABLES, "relation_classes"]
+    prior = {table: store.read(name, table) for table in kept}
     return store.save(name, run(measurements, images, regions, settings, prior=prior, **kwargs))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from lumitrace.operators import association, components, duplicates
+from lumitrace.operators import association, components, duplicates, stats
 from lumitrace.registry.base import lifted_sql, query, rnd, rounded, sep_sql
 from lumitrace.settings import RunSettings
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, run_images, run_images_sql, table
@@ -92,6 +92,23 @@ for _method in ("basic", "advanced", "deruiter"):
     _two_epochs(_method)
 
 
+@query("relation_counts_by_class", f"{two_epochs_sql('deruiter')} SELECT CAST(x AS BIGINT) AS source, count(DISTINCT y) AS n_rel FROM ({relations_sql('deruiter')}) WHERE x <> y GROUP BY x")
+def relation_counts_by_class(spark, sf_dir):
+    """Related sources of each source, from links and classes."""
+    done = run(spark, sf_dir, "deruiter", 15)
+    return stats.relation_counts(done.links, done.classes)
+
+
+@query(
+    "sources_sharing_measurements",
+    f"""{two_epochs_sql('deruiter')}, g AS (SELECT id, list(DISTINCT source ORDER BY source) AS members FROM f GROUP BY id HAVING count(DISTINCT source) > 1)
+    SELECT class_id, CAST(source AS BIGINT) AS source, size FROM (SELECT min(id) AS class_id, unnest(members) AS source, len(members) AS size FROM g GROUP BY members)""",
+)
+def sources_sharing_measurements(spark, sf_dir):
+    """Classes of sources that share a measurement, a row per member."""
+    return run(spark, sf_dir, "deruiter", 15).classes
+
+
 @query(
     "weighted_positions",
     f"""{two_epochs_sql("basic")}, w AS (SELECT a.source, sum(weight_ew * {lifted_sql("ra")}) / sum(weight_ew) AS ra,

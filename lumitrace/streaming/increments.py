@@ -139,6 +139,7 @@ class Increments:
             prior = Association(none, self.spark.createDataFrame([], _RELATIONS), state.drop("home"), last.numbers["next_id"])
         result = association.associate(rows, arrived, self.settings, prior, only_new=True, earlier=earlier if last else None)
 
+        relations = materialize(result.relations, "relations")
         after = self._filed(result.state, state)
         moved = sorted(set(patch_list(after)) - set(touched))
         others = self._filed(self._state(last, moved).drop("home"), self._state(last, moved))
@@ -151,7 +152,7 @@ class Increments:
         commit = Commit(batch, dict(last.copies) if last else {}, {"next_id": result.next_id, "next_forced": last.numbers["next_forced"] if last else 1})
 
         if extra is not None:
-            curves, final = self._covered(extra, last, commit, state, curves, result.relations, images, arrived)
+            curves, final = self._covered(extra, last, commit, state, curves, relations, images, arrived)
             placed = final.join(after.select("source", "patch"), "source")
             if last and moved:
                 kept = self.store.copies("sources", None, last, moved) if any(p in last.copies.get("sources", {}) for p in moved) else None
@@ -161,7 +162,7 @@ class Increments:
         self.store.add("curves", curves.join(homes, "source"), batch)
         if not self.store._found("shape"):
             curves.limit(0).coalesce(1).write.parquet(f"{self.store.root}/shape")
-        ends = result.relations.join(homes.withColumnRenamed("source", "from_source_id"), "from_source_id")
+        ends = relations.join(homes.withColumnRenamed("source", "from_source_id"), "from_source_id")
         self.store.add("relations", ends, batch)
         self.store.put("images", arrived.select("image_id"), batch)
         self._replace("state", after.unionByName(others), commit, touched + moved)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from lumitrace.operators import association as A
 from lumitrace.operators.components import group_regions
 from lumitrace.operators.duplicates import drop_epoch_duplicates
+from lumitrace.operators.search import related_sources
+from lumitrace.operators.stats import relation_counts
 from lumitrace.settings import RunSettings
 
 PAIRS = "id long, source long, d2d double, dr double"
@@ -62,6 +64,42 @@ def test_sources_sharing_a_measurement_are_related(spark):
     assert rows_of(A.sharing_relations(rows), "from_source_id", "to_source_id") == [(1, 2), (1, 7), (2, 1), (2, 7), (7, 1), (7, 2)]
 
 
+def test_pairs_without_a_tangle_are_left_as_they_are(spark):
+    pairs = frame(spark, [(1, 1, 1.0, 0.0), (1, 2, 2.0, 0.0), (2, 3, 1.0, 0.0), (3, 3, 2.0, 0.0)], PAIRS)
+    assert A.untangle(pairs, "d2d") is pairs
+
+
+def test_a_clump_of_sources_has_a_row_per_member(spark):
+    n = 10_000
+    clump = spark.range(n).select(F.lit(7).cast("long").alias("id"), F.col("id").alias("source"))
+    # The same sources on two more measurements are the same class; a measurement of one source is none.
+    rows = clump.unionByName(clump.withColumn("id", F.col("id") + 1)).unionByName(clump.withColumn("id", F.col("id") - 2)).unionByName(frame(spark, [(1, 3)], "id long, source long"))
+    classes = A.sharing_classes(rows)
+    assert classes.count() == n and {tuple(r) for r in classes.select("class_id", "size").distinct().collect()} == {(5, n)}
+    # Links inside the class add nothing, one that leaves it adds one at either end.
+    links = frame(spark, [(1, 2), (2, 1), (3, n), (n, 3)], "from_source_id long, to_source_id long")
+    counts = {r["source"]: r["n_rel"] for r in relation_counts(links, classes).collect()}
+    assert counts == {i: n - 1 for i in range(n)} | {3: n, n: 1}
+    sources = spark.range(n + 1)
+    assert related_sources(sources, links, 3, classes).count() == n and rows_of(related_sources(sources, links, n, classes), "id") == [(3,)]
+
+
+def test_counts_by_class_equal_counts_by_pair(spark):
+    rng = random.Random(5)
+    rows = frame(spark, [(rng.randrange(25), rng.randrange(30)) for _ in range(60)], "id long, source long")
+    links = frame(spark, [(rng.randrange(30), rng.randrange(40)) for _ in range(30)], "from_source_id long, to_source_id long")
+    classes = A.sharing_classes(rows)
+    related = {(a, b) for a, b in rows_of(links, "from_source_id", "to_source_id") if a != b}
+    held = {}
+    for meas, source in set(rows_of(rows, "id", "source")):
+        held.setdefault(meas, set()).add(source)
+    related |= {(a, b) for group in held.values() for a in group for b in group if a != b}
+    pairs = A.related_pairs(links, classes)
+    assert {r for r in rows_of(pairs, "from_source_id", "to_source_id") if r[0] != r[1]} == related
+    expected = sorted((s, sum(a == s for a, _ in related)) for s in {a for a, _ in related})
+    assert rows_of(relation_counts(links, classes), "source", "n_rel") == rows_of(relation_counts(pairs), "source", "n_rel") == expected
+
+
 MEAS = "id long, image_id long, ra double, dec double, uncertainty_ew double, uncertainty_ns double, weight_ew double, weight_ns double, forced boolean"
 IMG = "image_id long, epoch long, ra double, dec double, beam_bmaj double"
 
