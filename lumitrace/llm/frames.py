@@ -142,14 +142,14 @@ def among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:
-    """The row as `row` beside doc_id, text and text_key, so no column of its can clash with one that an operator adds."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
-        "text_key", F.xxhash64("text", F.col("text").isNull())
-    )
+    """The row's other columns as `row` beside doc_id, text and text_key, so no column of its can clash with one that an operator adds, and a text travels once."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    return docs.select(others.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text", F.col("text").isNull()))
 
 
 def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
-    """The columns of `row` again, some of them replaced."""
+    """The columns of a table again from its `whole_rows`, some of them replaced."""
+    changed = {"text": F.col("text"), **changed}
     return rows.select(*[(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in columns])
 
 
