@@ -30,6 +30,8 @@ ROWS_PER_SALT = 20_000
 LEAF, FIRST, STEP, DEEPEST = 4096, 9, 3, 42
 # Slack that keeps the pruning safe against rounding.
 _SLACK = 1 - 1e-9
+# Ratios of the fluxes of a pair that differ by more than this give different |m| after rounding.
+_APART = 1e-14
 
 _FLUXES = ["flux_peak", "flux_peak_err", "flux_int", "flux_int_err"]
 
@@ -204,7 +206,10 @@ def _undominated(rows: DataFrame) -> DataFrame:
     """Drop ends that cannot be in the pair with the largest |m|.
 
     Against any end of its own sign, a brighter high end with no larger error
-    gives a larger |m| and a larger |Vs|, and so does a fainter low end. Ends
+    gives a larger |m| and a larger |Vs|, and so does a fainter low end. Fluxes
+    so close that |m| may be rounded to one value beat nothing, as ids decide
+    between equal |m|: the ratio of the fluxes must differ by more than _APART
+    against the end where it differs least. Ends
     that may also meet the other sign, or a flux of 0, are left. Rows beaten
     inside their own salt are unmarked; a salt holds at most about
     ROWS_PER_SALT rows, so its window is bounded.
@@ -218,12 +223,17 @@ def _undominated(rows: DataFrame) -> DataFrame:
     fainter = F.min(F.struct(e.alias("e"), f.alias("f"))).over(chunk.orderBy(f.asc(), e.desc()).rowsBetween(*before))
     rows = rows.withColumns({"_brighter": brighter, "_fainter": fainter})
 
-    def beaten(best: str, own: Column, among: Column) -> Column:
-        return F.coalesce(among & ((F.col(f"{best}.e") < e) | ((F.col(f"{best}.e") == e) & (F.col(f"{best}.f") < own))), F.lit(False))
-
-    alone_high = (F.col("_sign") < 0) | ((F.col("_sign") > 0) & (F.col("_least") > 0))
-    alone_low = (F.col("_sign") > 0) | ((F.col("_sign") < 0) & (F.col("_most") < 0))
-    flags = {"_high": F.col("_high") & ~beaten("_brighter", -f, alone_high), "_low": F.col("_low") & ~beaten("_fainter", f, alone_low)}
+    def beaten(best: str, gain: Column, among: Column) -> Column:
+        return F.coalesce(among & (F.col(f"{best}.e") <= e) & (gain > _APART), F.lit(False))
+
+    least, most, positive = F.col("_least"), F.col("_most"), F.col("_sign") > 0
+    alone_high = (F.col("_sign") < 0) | (positive & (least > 0))
+    alone_low = positive | ((F.col("_sign") < 0) & (most < 0))
+    # By how much the ratio of fainter to brighter absolute flux falls, against the end where it falls least.
+    up, down = -F.col("_brighter.f"), F.col("_fainter.f")
+    gain_high = F.when(positive, F.try_divide(least, f) - F.try_divide(least, up)).otherwise(F.try_divide(f, least) - F.try_divide(up, least))
+    gain_low = F.when(positive, F.try_divide(f, most) - F.try_divide(down, most)).otherwise(F.try_divide(most, f) - F.try_divide(most, down))
+    flags = {"_high": F.col("_high") & ~beaten("_brighter", gain_high, alone_high), "_low": F.col("_low") & ~beaten("_fainter", gain_low, alone_low)}
     return rows.withColumns(flags).filter("_high OR _low").drop("_brighter", "_fainter", "_chunk", "_n", "_least", "_most")
 
 

@@ -115,3 +115,15 @@ def test_ends_with_flux_zero_and_equal_rows(spark):
 def test_a_positive_threshold_is_needed(spark):
     with pytest.raises(ValueError):
         pairs.significant_pairs(frame(spark, rows(), SCHEMA), 0.0)
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_fluxes_a_rounding_apart_tie(spark, sign):
+    """Fluxes that differ in their last bit give one |m|; then ids decide, not the error."""
+    bright, faint = 44.0, 3.0
+    above = math.nextafter(bright, math.inf)
+    assert 2 * (bright - faint) / (bright + faint) == 2 * (above - faint) / (above + faint)
+    flux, err = [bright, above, faint], [2.0, 0.5, 1.0]
+    data = [(i, 1, i, 1, sign * f, e, sign * f, e) for i, (f, e) in enumerate(zip(flux, err))]
+    got = pairs.pair_aggregates(frame(spark, data, SCHEMA), 4.3).collect()
+    assert [tuple(r) for r in got] == [(1, *[pytest.approx(41 / 5**0.5), pytest.approx(82 / 47)] * 2)]
