@@ -14,6 +14,8 @@ GALACTIC_ROTATION = (
     (-0.8676661375596588, -0.19807633727300059, 0.4559838136873017),
 )
 
+# Rounding of a separation in degrees, far below that of a stored position: a row on the edge of a cone is in it.
+EDGE_DEG = 1e-12
 # Radius units, as units per degree.
 UNITS_PER_DEG = {"arcsec": 3600.0, "arcmin": 60.0, "deg": 1.0}
 

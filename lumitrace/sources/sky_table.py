@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumitrace.functions.sky import separation
+from lumitrace.functions.sky import EDGE_DEG, separation
 from lumitrace.operators.sky_curve import KEY, cone_ranges, in_ranges, sky_key
 
 Position = tuple[str, str]
@@ -59,5 +59,5 @@ class SkyTable:
         stored = self.spark.read.parquet(f"{self.root}/rows")
         found = self.spark.read.schema(stored.schema).parquet(*paths) if paths else stored.limit(0)
         sep = separation(*pos, F.lit(float(ra_deg)), F.lit(float(dec_deg)))
-        near = found.filter(in_ranges(ranges)).withColumn("distance", sep * 3600.0).filter(sep <= radius_deg)
+        near = found.filter(in_ranges(ranges)).withColumn("distance", sep * 3600.0).filter(sep <= radius_deg + EDGE_DEG)
         return near.drop(KEY).orderBy("distance")

@@ -10,6 +10,7 @@ from test_sky import points, sep
 from test_stored import scans
 
 from lumitrace.operators import sky_curve
+from lumitrace.operators.skyjoin import cone_search
 from lumitrace.sources.sky_table import SkyTable
 from lumitrace.sources.tables import RunStore
 
@@ -101,3 +102,13 @@ def test_a_table_without_rows_and_a_clashing_column(spark, tmp_path):
     assert table.cone(1.0, 2.0, 3.0).collect() == [] and table.rows().columns == ["id", "ra", "dec"]
     with pytest.raises(ValueError):
         SkyTable(spark, str(tmp_path / "clash")).write(empty.withColumn("sky_key", F.lit(1)))
+
+
+def test_rows_on_the_edge_are_in_the_cone(spark, tmp_path):
+    """All positions of one declination are equally far from the pole, whatever rounding says of some."""
+    df = frame(spark, [(k, (k * 137.508) % 360.0, 65.0) for k in (115000, 275000, 435000, 595000, 755000)], "id long, ra double, dec double")
+    table = SkyTable(spark, str(tmp_path / "edge"))
+    table.write(df)
+    assert table.cone(120.0, 90.0, 25.0).count() == 5
+    assert cone_search(df, 120.0, 90.0, 25.0).count() == 5
+    assert table.cone(120.0, 90.0, 25.0 - 1e-9).count() == 0
