@@ -175,7 +175,7 @@ def match_basic(rows: DataFrame, state: DataFrame, limit_deg: float, n_sources:
     """Each measurement with its closest source within the limit."""
     # A catalogue smaller than one crowded cube needs no look for crowded cubes.
     radii = [limit_deg] if n_sources is not None and n_sources <= CROWDED else None
-    near = nearest_join(rows, positions(state), limit_deg, "id", "source", right_pos=("src_ra", "src_dec"), by=("skyreg_group",), radii=radii)
+    near = nearest_join(rows, positions(state), limit_deg, "id", "source", right_pos=("src_ra", "src_dec"), by=("skyreg_group",), radii=radii, sparse=True)
     return near.select("id", "source", (F.col("sep") * ARCSEC_PER_DEG).alias("d2d"), F.lit(0.0).alias("dr"))
 
 

@@ -85,6 +85,23 @@ def test_radius_join(spark, radius, hot, monkeypatch):
     assert got == expected
 
 
+@pytest.mark.parametrize("radius", [5.0, 60.0])
+def test_joins_dealt_by_pairs(spark, radius, monkeypatch):
+    """Cubes are cut on both sides, and as many tasks share their pairs as these ask for."""
+    for name, value in (("PAIRS_PER_TASK", 40), ("PAIRS_PER_PART", 6), ("COPIES_PER_PART", 3)):
+        monkeypatch.setattr(skyjoin, name, value)
+    left, right = tables(spark, 60)
+    near = skyjoin.radius_join(left, right, radius, deal=True)
+    assert rows_of(near, "id", "id_2") == sorted((i, j) for i, p in enumerate(points(1, 60)) for j, q in enumerate(points(2, 60)) if sep(p, q) <= radius)
+    assert near.columns == ["id", "ra", "dec", "id_2", "ra_2", "dec_2", "sep"]
+    filed = left.select("id", F.lit(1).alias("cube"))
+    copied = right.select("id_2", F.lit(1).alias("cube"))
+    filed, copied, tasks = skyjoin._dealt(filed, copied, ["cube"])
+    assert tasks == -(-left.count() * right.count() // 40)
+    parts = filed.join(copied, ["cube", "_along", "_across"]).groupBy("_along", "_across").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id_2").alias("copies"))
+    assert parts.agg(F.sum("n")).first()[0] == left.count() * right.count() and parts.count() > 100
+
+
 def test_nearest_join_through_crowded_cubes(spark, monkeypatch):
     monkeypatch.setattr(skyjoin, "CROWDED", 5)
     left, right = tables(spark)
