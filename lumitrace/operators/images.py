@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +21,25 @@ FREQUENCY_TYPES = ["FREQ", "VOPT"]
 BAND_TOLERANCE = 0.02
 
 
-def pivot_cards(cards: DataFrame) -> DataFrame:
-    """One row per image with a column per keyword, from (image, keyword, value) cards."""
-    upper = cards.withColumn("keyword", F.upper("keyword"))
-    return upper.groupBy("image").pivot("keyword", KEYWORDS).agg(F.min("value"))
+# Cards of one task: aggregates of strings sort their rows, so a task holds that many.
+CARDS_PER_TASK = 1_000_000
+
+
+def pivot_cards(cards: DataFrame, keywords: list[str] = KEYWORDS) -> DataFrame:
+    """One row per image with a column per keyword, from (image, keyword, value) cards.
+
+    Cards are dealt by image to as many tasks as there are cards for, before
+    anything is sorted.
+    """
+    upper = cards.select("image", F.upper("keyword").alias("keyword"), "value")
+    tasks = math.ceil(upper.count() / CARDS_PER_TASK)
+    return upper.repartition(max(tasks, 1), "image").groupBy("image").pivot("keyword", keywords).agg(F.min("value"))
 
 
 def header_problems(cards: DataFrame, telescope: str = "ASKAP") -> DataFrame:
     """Keywords an image of the telescope should have and has not, one row each."""
-    wide = pivot_cards(cards).filter(F.col("TELESCOP") == telescope)
+    needed = ["TELESCOP", *REQUIRED]
+    wide = pivot_cards(cards.filter(F.upper("keyword").isin(needed)), needed).filter(F.col("TELESCOP") == telescope)
     absent = F.filter(
         F.array(*[F.when(F.col(f"`{k}`").isNull(), F.lit(k)) for k in REQUIRED]), lambda k: k.isNotNull()
     )

@@ -176,12 +176,12 @@ _CARDS = {
 _POLARISED = "c_custkey % 2 = 0"
 
 
-def header_cards(spark, sf_dir):
+def header_cards(spark, sf_dir, *more):
     c = table(spark, sf_dir, "customer")
     cards = [F.struct(F.lit(k).alias("keyword"), F.expr(e.replace("VARCHAR", "STRING")).alias("value")) for k, e in _CARDS.items()]
     cards.append(F.struct(F.lit("STOKES").alias("keyword"), F.when(F.expr(_POLARISED), F.lit("V")).alias("value")))
-    rows = c.select(F.col("c_name").alias("image"), F.explode(F.array(*cards)).alias("card"))
-    return rows.select("image", "card.*").filter("value IS NOT NULL")
+    rows = c.select(F.col("c_name").alias("image"), *more, F.explode(F.array(*cards)).alias("card"))
+    return rows.select("image", *more, "card.*").filter("value IS NOT NULL")
 
 
 # The reference pixel is 500/450 pixels off the centre: the SIN deprojection in full.
@@ -224,8 +224,7 @@ def image_attributes(spark, sf_dir):
     "SELECT c_name AS image, 'BPA' AS missing FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 = 0",
 )
 def header_problems(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("image"), "c_custkey")
-    cards = header_cards(spark, sf_dir).join(c, "image").filter("NOT (keyword = 'BPA' AND c_custkey % 7 = 0)")
+    cards = header_cards(spark, sf_dir, "c_custkey").filter("NOT (keyword = 'BPA' AND c_custkey % 7 = 0)")
     return images.header_problems(cards)
 
 

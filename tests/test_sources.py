@@ -188,3 +188,48 @@ def test_feature_collection_is_one_document(spark, tmp_path):
     assert [f["id"] for f in doc["features"]] == ["SkyRegion1", "SkyRegion12"]
     assert doc["features"][0]["properties"] == {"n": "01", "loc": [-160.0, 5.0]}
     assert doc["features"][0]["geometry"]["coordinates"][0][0] == [-158.0, 6.0]
+
+
+def test_cards_are_dealt_by_image(spark, monkeypatch):
+    """As many tasks as there are cards for, each image in one; other keywords make a row without values."""
+    monkeypatch.setattr(images, "CARDS_PER_TASK", 20)
+    cards = [(f"i{n}", k, f"{k}{n}") for n in range(40) for k in ("TELESCOP", "bmaj", "BPA")] + [("odd", "HISTORY", "x")]
+    wide = images.pivot_cards(frame(spark, cards, "image string, keyword string, value string"))
+    assert wide.rdd.getNumPartitions() == 7
+    assert rows_of(wide, "image", "BMAJ", "BMIN") == sorted([(f"i{n}", f"bmaj{n}", None) for n in range(40)] + [("odd", None, None)])
+    ours = [(i, k, "ASKAP" if k == "TELESCOP" else v) for i, k, v in cards]
+    missing = rows_of(images.header_problems(frame(spark, ours, "image string, keyword string, value string")), "image", "missing")
+    assert missing == sorted((f"i{n}", k) for n in range(40) for k in ("DATE-OBS", "TIMESYS", "BMIN"))
+
+
+def test_headers_of_csv_files_are_found_once(spark, tmp_path):
+    """Rows are not held against the names of columns again when they are read; quoted and odd headers are still known."""
+    write_csv(tmp_path / "a.csv", [component(1), component(2, comment="flux_peak_of_it")], NAMES)
+    first, text = (tmp_path / "a.csv").read_text().split("\n", 1)
+    names = [f'"{n}"' if n == "ra_err" else n.lower() if n == "spectral_index_from_TT" else n for n in first.strip().split(",")]
+    (tmp_path / "b.csv").write_text(",".join(names) + "\n" + text)
+    read = catalogues.read_csv(spark, [f"{tmp_path}/a.csv", f"{tmp_path}/b.csv"])
+    assert rows_of(read, "component_id", "flux_peak") == [("component_1a", 11.0)] * 2 + [("component_2a", 12.0)] * 2
+    assert "exists(" not in read._jdf.queryExecution().toString()
+
+
+def test_tiles_are_written_by_as_many_tasks_as_they_ask_for(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from lumitrace.sources import pixel_tiles
+
+    asked, real = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *a: asked.append(a) or real(self, *a))
+    monkeypatch.setattr(pixel_tiles, "TILES_PER_TASK", 4)
+    pixels = frame(spark, [(1, i, j, float(i + j)) for i in range(12) for j in range(12)], "image_id long, i long, j long, value double")
+    tiles = pixel_tiles.PixelTiles(spark, str(tmp_path / "t"), 2)
+    tiles.write(pixels)
+    assert asked == [(9, "tile")]
+    near = tiles.near(frame(spark, [(1, 5, 5, 0)], "image_id long, i long, j long, half long"))
+    assert rows_of(near, "i", "j") == [(4, 4), (4, 5), (5, 4), (5, 5)]
+
+
+def test_statistics_are_worked_out_once_for_all_ranges(spark):
+    from lumitrace.registry.searching import sources_by_every_range
+
+    assert "events" not in sources_by_every_range(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
