@@ -8,6 +8,7 @@ from lumitrace.registry.lifecycle import _STATUS
 from lumitrace.registry.scalars import _B, _L, _dms_sql, _hms_sql
 from lumitrace.registry.statistics import PAIRS_CTE, edges, EDGES_SQL, statistics_body
 from lumitrace.sources.driver_tables import measurements, measurements_sql, run_images, run_images_sql, table
+from lumitrace.workspace import materialize
 
 # Sources of 25 runs (nations) with the statistics of the events, runs in several states, tags from orders.
 CTE = f"""WITH m AS ({measurements_sql()}), s0 AS ({statistics_body(lambda e: e)}),
@@ -61,7 +62,9 @@ _EVERY_RANGE_SQL = " UNION ALL ".join(f"SELECT '{c}' AS criterion, id FROM f WHE
 @query("sources_by_every_range", f"{CTE}, f AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in _FILLED.items())} FROM done) {_EVERY_RANGE_SQL}")
 def sources_by_every_range(spark, sf_dir):
     """Each of the 25 criteria in turn; neighbour distances are asked for in arcmin."""
-    s, r = sources(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _FILLED.items()}), runs(spark, sf_dir)
+    filled = sources(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _FILLED.items()})
+    # Each criterion reads the stored rows, none works the statistics out again.
+    s, r = materialize(filled.select("id", "run_id", *search.RANGE_COLUMNS), "sources"), runs(spark, sf_dir)
     found = None
     for c in search.RANGE_COLUMNS:
         low, high = (15.0, 45.0) if c == "n_neighbour_dist" else (0.3, 60.0)
