@@ -8,6 +8,8 @@ key, and the others are pruned at the scan.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from lumitrace.workspace import materialize
 SIZE = 256
 #: Tiles that are broadcast to prune by: some 40 bytes each. More are joined by shuffle, as most of the table is asked for then.
 BROADCAST_TILES = 250_000
+#: Tiles, and so files, that one task writes; AQE looks at bytes, and would have one task write them all.
+TILES_PER_TASK = 128
 
 
 class PixelTiles:
@@ -30,7 +34,8 @@ class PixelTiles:
         """Store pixels (image_id, i, j, value); a tile goes to one file."""
         place = self._tile(F.floor(F.col("i") / self.size), F.floor(F.col("j") / self.size))
         tiled = pixels.select("image_id", "i", "j", "value", place)
-        tiled.repartition("tile").write.mode(mode).partitionBy("tile").parquet(self.root)
+        tasks = math.ceil(tiled.select("tile").distinct().count() / TILES_PER_TASK)
+        tiled.repartition(max(tasks, 1), "tile").write.mode(mode).partitionBy("tile").parquet(self.root)
 
     def near(self, boxes: DataFrame) -> DataFrame:
         """Pixels (image_id, i, j, value) of all tiles that boxes (image_id, i, j, half) touch."""
