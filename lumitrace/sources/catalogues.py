@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumitrace.workspace import materialize
+
 # Catalogue column -> (measurement column, type).
 COMPONENT_COLUMNS = {
     "island_id": ("island_id", "string"),
@@ -91,8 +93,8 @@ def _boolean(text: Column, name: str) -> Column:
     return F.when(low.isin("true", "t"), True).when(low.isin("false", "f"), False).otherwise(_number(text, name, "double") != 0)
 
 
-def _pick(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """Rows (catalogue_path, values) to typed columns by each file's header (catalogue_path, names)."""
+def _pick(rows: DataFrame, headers: DataFrame, among: bool = False) -> DataFrame:
+    """Rows (catalogue_path, values) to typed columns by each file's header (catalogue_path, names), which may be `among` the rows."""
     required = F.array(*[F.lit(c) for c in COMPONENT_COLUMNS])
     headers = headers.select("catalogue_path", F.transform("names", _canonical).alias("names"))
     # Every file has to have a header, and every header all columns, before a row is read by one.
@@ -101,10 +103,15 @@ def _pick(rows: DataFrame, headers: DataFrame) -> DataFrame:
     broken = known.select("catalogue_path", absent.alias("absent")).filter(F.size("absent") > 0).limit(1).collect()
     if broken:
         raise KeyError(f"catalogue {broken[0]['catalogue_path']} lacks columns {broken[0]['absent']}")
-    joined = rows.join(headers, "catalogue_path")
+    # Names are looked up once a file, not once a row. All columns are known to be there by now.
+    places = F.array(*[F.array_position("names", F.lit(name)).cast("int") - 1 for name in COMPONENT_COLUMNS])
+    joined = rows.join(headers.select("catalogue_path", places.alias("places")), "catalogue_path")
+    field = {name: F.get("values", F.get("places", F.lit(i))) for i, name in enumerate(COMPONENT_COLUMNS)}
+    if among:
+        joined = joined.filter(F.coalesce(_canonical(field["island_id"]) != "island_id", F.lit(True)))
     out = []
     for name, (target, kind) in COMPONENT_COLUMNS.items():
-        text = F.trim(F.get("values", F.array_position("names", F.lit(name)).cast("int") - 1))
+        text = F.trim(field[name])
         value = text if kind == "string" else _boolean(text, name) if kind == "boolean" else _number(text, name, kind)
         out.append(value.alias(target))
     return joined.select("catalogue_path", *out)
@@ -115,6 +122,17 @@ def _is_header(values: str) -> Column:
     return F.exists(values, lambda v: F.coalesce(_canonical(v).isin(*COMPONENT_COLUMNS), F.lit(False)))
 
 
+def _may_be_header(line: str) -> Column:
+    """Whether a line holds the text of a column's name; quick, and true of every header."""
+    names = {name.lower() for name in COMPONENT_COLUMNS}
+    least = sorted(n for n in names if not any(other != n and other in n for other in names))
+    low = F.lower(line)
+    out = F.lit(False)
+    for name in least:
+        out = out | low.contains(name)
+    return out
+
+
 def read_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Whitespace-separated catalogues: a `#` line with names, a `#` line with units, then rows."""
     lines = spark.read.text(paths).select(_path().alias("catalogue_path"), F.trim("value").alias("line")).filter("line <> ''")
@@ -126,15 +144,23 @@ def read_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """CSV catalogues with a header line each, of any width; short rows are filled with NULL."""
+    text = spark.read.text(paths).select(_path().alias("catalogue_path"), "value")
     # No line has more fields than commas and one; quoted commas only make the bound larger.
-    width = spark.read.text(paths).agg(F.max(F.size(F.split("value", ",")))).first()[0] or 1
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    raw = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
-    lines = raw.select(_path().alias("catalogue_path"), F.array(*[F.col(f"c{i}") for i in range(width)]).alias("values"))
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    width = text.agg(F.max(commas)).first()[0]
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range((width or 0) + 1)])
+
+    def fields(c):
+        return F.array(*[F.col(f"{c}{f.name}") for f in schema.fields])
+
+    # Lines that may be headers are few; only their fields are held against the names, and all files are read once for them.
+    parsed = text.filter(_may_be_header("value")).select("catalogue_path", F.from_csv("value", ", ".join(f"{f.name} string" for f in schema.fields)).alias("f"))
+    found = parsed.select("catalogue_path", fields("f.").alias("values")).filter(_is_header("values"))
     # The header array may hold NULLs for unused places; empty names match nothing.
-    names = F.transform("values", lambda v: F.coalesce(v, F.lit("")))
-    headers = lines.filter(_is_header("values")).select("catalogue_path", names.alias("names"))
-    return _pick(lines.filter(~_is_header("values")), headers)
+    headers = materialize(found.select("catalogue_path", F.transform("values", lambda v: F.coalesce(v, F.lit(""))).alias("names")), "headers")
+    raw = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
+    lines = raw.select(_path().alias("catalogue_path"), fields("").alias("values"))
+    return _pick(lines, headers, among=True)
 
 
 def read_votable(spark: SparkSession, paths: str | list[str]) -> DataFrame:
