@@ -24,8 +24,10 @@ from lumitrace.operators.ranking import dense_index, number_rows, ordered_table,
 from lumitrace.operators.skyjoin import CROWDED, nearest_join, radius_join
 from lumitrace.operators.stats import lifted_ra
 from lumitrace.settings import ARCSEC_PER_DEG, RunSettings
-from lumitrace.workspace import materialize, new_path
+from lumitrace.workspace import materialize, new_path, no_rows
 
+# Rows of an epoch that one task prepares and one file holds.
+ROWS_PER_PART = 100_000
 # What a row of an epoch does to the source list.
 KEEPS, FORKS, NEW = 0, 1, 2
 
@@ -277,22 +279,26 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
 
     `images` has image_id, epoch, ra, dec, beam_bmaj and optionally
     skyreg_group. `_ord` is the order new sources are numbered in: RA where
-    an epoch has several images, else the id alone.
+    an epoch has several images, else the id alone. `_parts` is the number
+    of tasks that the rows of the epoch ask for.
     """
     # Images without a group share one; the group is a key of joins, where NULL would match nothing.
     group = F.coalesce(F.col("skyreg_group").cast("long"), F.lit(0)) if "skyreg_group" in images.columns else F.lit(0)
     images = images.withColumn("skyreg_group", group.cast("long"))
+    # Images may be derived from all measurements; they are needed three times.
+    images = materialize(images.select("image_id", "epoch", "skyreg_group", "ra", "dec", "beam_bmaj"), "images")
     per_epoch = images.groupBy("skyreg_group", "epoch").agg(F.count(F.lit(1)).alias("_images"), F.max("beam_bmaj").alias("_beam"))
     info = images.select("image_id", "epoch", "skyreg_group", "ra", "dec")
     needed = ["id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns"]
     rows = measurements.select(*needed).join(info.drop("ra", "dec"), "image_id")
-    rows = with_centre_distance(rows, info)
+    rows = materialize(with_centre_distance(rows, info), "rows")
+    parts = rows.groupBy("epoch").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_PART).alias("_parts"))
     rows = drop_epoch_duplicates(rows, settings.epoch_duplicate_radius / ARCSEC_PER_DEG, ("skyreg_group", "epoch"))
     if settings.method == "deruiter":
         limit: Column = F.lit(settings.beamwidth_limit / 2) * F.col("_beam")
     else:
         limit = F.lit(settings.radius / ARCSEC_PER_DEG)
-    rows = rows.join(per_epoch, ["skyreg_group", "epoch"])
+    rows = rows.join(per_epoch, ["skyreg_group", "epoch"]).join(parts, "epoch")
     order = F.when(F.col("_images") > 1, F.col("ra")).otherwise(F.lit(0.0))
     return rows.withColumns({"_limit": limit, "_ord": order}).drop("_images", "_beam", "dist_from_centre")
 
@@ -316,13 +322,15 @@ def associate(
     spark = measurements.sparkSession
     rows = prepare_rows(measurements, images, settings)
     prepared = new_path(spark, "epochs")
-    # Ranges of (epoch, id): few files per epoch, and a large epoch over several tasks.
-    rows.repartitionByRange("epoch", "id").write.partitionBy("epoch").parquet(prepared)
+    # Few files per epoch, and a large epoch over several tasks. Ranges would have all rows prepared twice, to find their bounds first.
+    dealt = rows.repartition("epoch", F.pmod(F.xxhash64("id"), "_parts"))
+    rows = rows.drop("_parts")
+    dealt.select(*rows.columns).write.partitionBy("epoch").parquet(prepared)
     rows = spark.read.schema(rows.schema).parquet(prepared)
     # One number per epoch reaches the driver: the widest search radius.
     limits = rows.groupBy("epoch").agg(F.max("_limit").alias("limit")).orderBy("epoch").collect()
 
-    state = prior.state if prior else spark.createDataFrame([], STATE_SCHEMA)
+    state = prior.state if prior else no_rows(spark, STATE_SCHEMA)
     next_id = prior.next_id if prior else 1
     log_path = new_path(spark, "log")
     for step, (epoch, limit) in enumerate(limits, 1):

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumitrace.functions.sky import separation
-from lumitrace.operators.cells import CELL_KEYS, chord, with_cell
-from lumitrace.operators.skyjoin import radius_join
-from lumitrace.workspace import materialize
+from lumitrace.operators.skyjoin import without_near
 
 
 def with_centre_distance(measurements: DataFrame, images: DataFrame) -> DataFrame:
@@ -26,34 +22,12 @@ def drop_epoch_duplicates(measurements: DataFrame, limit_deg: float, by: tuple[s
     A row may be dropped by one that is dropped itself. Order is
     `dist_from_centre`, then id. All epochs are handled at once.
 
-    Clumps are thinned by aggregates first: two rows of a small cube are
-    always within the limit, so per cube only the earliest row of any image
-    and the earliest row of any other image decide. Only rows that pass are
-    compared with the neighbourhood.
+    A row leaves at the first such row it meets, so a clump of several images
+    is not paired with itself.
     """
-    order = F.struct("dist_from_centre", "id")
-    rows = measurements.select("id", "image_id", "ra", "dec", *by, order.alias("_order"))
-    rows = materialize(rows, "rows")
-    # Cube diagonal = chord of the limit; shrunk so rounding cannot lie.
-    edge = chord(limit_deg) / math.sqrt(3) * (1 - 1e-6)
-    filed = with_cell(rows, "ra", "dec", edge) if limit_deg * 3600 > 0.25 else None
-    if filed is not None:
-        keys = [*by, *CELL_KEYS]
-        per_image = filed.groupBy(*keys, "image_id").agg(F.min("_order").alias("_order"))
-        first = per_image.groupBy(*keys).agg(F.min(F.struct("_order", "image_id")).alias("_first"))
-        others = per_image.join(first, keys).filter("image_id <> _first.image_id")
-        second = others.groupBy(*keys).agg(F.min("_order").alias("_second"))
-        best = first.join(second, keys, "left")
-        earliest_other = F.when(F.col("image_id") == F.col("_first.image_id"), F.col("_second")).otherwise(F.col("_first._order"))
-        passed = filed.join(best, keys).filter(~F.coalesce(earliest_other < F.col("_order"), F.lit(False)))
-        passed = passed.select(*rows.columns)
-    else:
-        passed = rows
-    passed = materialize(passed, "passed")
-    rivals = rows.select(
-        F.col("image_id").alias("_image2"), F.col("ra").alias("_ra2"), F.col("dec").alias("_dec2"), F.col("_order").alias("_order2"), *by
-    )
-    near = radius_join(passed, rivals, limit_deg, right_pos=("_ra2", "_dec2"), by=by, spread_hot=True)
-    beaten = near.filter("image_id <> _image2 AND _order2 < _order").select("id").distinct()
-    kept = passed.select("id").join(beaten, "id", "left_anti")
-    return measurements.join(kept, "id", "left_semi")
+    # NULL distances come first.
+    dist = F.coalesce("dist_from_centre", F.lit(-1.0))
+    rows = measurements.withColumn("_dist", dist)
+    rivals = measurements.select(F.col("id").alias("_id2"), F.col("image_id").alias("_image2"), F.col("ra").alias("_ra2"), F.col("dec").alias("_dec2"), dist.alias("_dist2"), *by)
+    before = (F.col("_dist2") < F.col("_dist")) | ((F.col("_dist2") == F.col("_dist")) & (F.col("_id2") < F.col("id")))
+    return without_near(rows, rivals, limit_deg, (F.col("image_id") != F.col("_image2")) & before, by=by).drop("_dist")

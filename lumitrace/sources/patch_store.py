@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumitrace.workspace import no_rows
+
 _LINE = "kind string, name string, patch long, value long"
 
 
@@ -51,7 +53,7 @@ class PatchStore:
             return reader.parquet(*paths)
         if schema is None:
             raise KeyError(f"nothing stored under {self.root}")
-        return self.spark.createDataFrame([], schema)
+        return no_rows(self.spark, schema)
 
     # --- the log
 

@@ -37,10 +37,11 @@ from lumitrace.operators.patches import WIDTH, patch, patch_list, patches_within
 from lumitrace.operators.ranking import dense_index
 from lumitrace.settings import ARCSEC_PER_DEG, RunSettings
 from lumitrace.sources.patch_store import Commit, PatchStore
-from lumitrace.workspace import materialize
+from lumitrace.workspace import materialize, no_rows
 
 _STATE = T.StructType([*STATE_SCHEMA.fields, T.StructField("home", T.LongType())])
 _RELATIONS = T.StructType([T.StructField("from_source_id", T.LongType()), T.StructField("to_source_id", T.LongType())])
+_ASSOCIATIONS = T.StructType([T.StructField("source", T.LongType()), T.StructField("meas_id", T.LongType()), T.StructField("d2d", T.DoubleType()), T.StructField("dr", T.DoubleType())])
 _ISLANDS = T.StructType([T.StructField("image_id", T.LongType()), T.StructField("prefix", T.StringType()), T.StructField("max_id", T.LongType())])
 
 
@@ -135,8 +136,8 @@ class Increments:
 
         prior = None
         if last:
-            none = self.spark.createDataFrame([], "source long, meas_id long, d2d double, dr double")
-            prior = Association(none, self.spark.createDataFrame([], _RELATIONS), state.drop("home"), last.numbers["next_id"])
+            none = no_rows(self.spark, _ASSOCIATIONS)
+            prior = Association(none, no_rows(self.spark, _RELATIONS), state.drop("home"), last.numbers["next_id"])
         result = association.associate(rows, arrived, self.settings, prior, only_new=True, earlier=earlier if last else None)
 
         relations = materialize(result.relations, "relations")

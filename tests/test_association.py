@@ -264,6 +264,30 @@ def test_epoch_duplicates(spark):
     assert [r[0] for r in rows_of(drop_epoch_duplicates(df, lim), "id")] == sorted(kept)
 
 
+def test_epoch_duplicates_take_one_join(spark):
+    """Rows are dealt once and their rivals once; a row without a position is nobody's duplicate."""
+    rows = [(1, 1, 10.0, 0.0, 0.1, 1), (2, 2, 10.0, 0.0, 0.2, 1), (3, 2, None, None, None, 1)]
+    df = frame(spark, rows, "id long, image_id long, ra double, dec double, dist_from_centre double, epoch long")
+    kept = drop_epoch_duplicates(df, 2.5 / 3600)
+    assert [r[0] for r in rows_of(kept, "id")] == [1, 3]
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 2
+
+
+def test_rows_are_prepared_once(spark):
+    """Images derived from the measurements are worked out once, and a file holds the rows of one part of an epoch."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    m = frame(spark, [meas(i, 1 + i % 2, 10.0 + i, 0.0) for i in range(20)], MEAS).mapInArrow(count, MEAS)
+    images = m.groupBy("image_id").agg(F.first("image_id").alias("epoch"), F.lit(0.0).alias("ra"), F.lit(0.0).alias("dec"), F.lit(0.004).alias("beam_bmaj"))
+    A.associate(m, images, RunSettings())
+    assert seen.value == 40
+
+
 def test_id_corrections(spark):
     rows = frame(spark, [(1, [2, 3]), (2, None)], "source long, related array<long>")
     shifted = A.shift_ids(rows, 2, ("source", "related"))

@@ -173,6 +173,18 @@ def test_grid_keeps_pairs_at_the_exact_radius():
     assert cells.cell_size(10.0) >= 2 * 2 * math.sin(math.radians(5.0))
 
 
+def test_few_copies_of_a_row(spark):
+    """A row is copied into the cubes that its ball and the sphere share; all places of the ball lie in one of them."""
+    rng = random.Random(5)
+    rows = [(i, rng.uniform(0, 360), math.degrees(math.asin(rng.uniform(-1, 1)))) for i in range(400)]
+    near = [(i, ra, min(max(dec + step, -90.0), 90.0)) for i, ra, dec in rows for step in (-0.001, 0.0, 0.001)]
+    size, reach = cells.cell_size(0.001), cells.chord(0.001)
+    copies = cells.with_cells_touched(frame(spark, rows, "id long, ra double, dec double"), "ra", "dec", size, reach, near_only=True)
+    assert copies.count() < 3 * len(rows)
+    places = cells.with_cell(frame(spark, near, "id long, ra double, dec double"), "ra", "dec", size)
+    assert places.join(copies, ["id", *cells.CELL_KEYS], "left_anti").isEmpty()
+
+
 def test_pixels_of_projections(spark):
     for projection in ("SIN", "TAN"):
         ra, dec = sky.pixel_to_sky(F.lit(120.0), F.lit(40.0), F.lit(projection), 30.0, -40.0, 100.0, 80.0, -0.1, 0.1)
