@@ -27,9 +27,12 @@ LETTERS = byte_classes(lambda b: 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (the finaliser of splitmix64)."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def _power(kind: str, n: int) -> np.ndarray:
@@ -91,4 +94,5 @@ def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     """Distinct shingles in order; a text of fewer words is one shingle, a text without words none."""
     if 0 < len(hashes) < size:
         return shingles(hashes, len(hashes))
-    return np.unique(shingles(hashes, size))
+    found = np.sort(shingles(hashes, size))
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found

@@ -246,3 +246,37 @@ def test_small_sets_of_one_block_are_compared_exactly():
         assert sum(f.num_rows for f in found) == (100 * n >= 75 * len(whole))
         links += 100 * n >= 75 * len(whole)
     assert links > 250
+
+
+def test_empty_bins_look_at_few_places():
+    """Bins are filled as by the whole order of each, but most orders are left early."""
+    rng = np.random.default_rng(3)
+    looked = []
+
+    class Order(np.ndarray):
+        def take(self, *args, **kwargs):
+            part = np.asarray(self).take(*args, **kwargs)
+            looked.append(part.size)
+            return part
+
+    for n in (1, 3, 40, 600, 5000):
+        own = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1))
+        for bins in (near_duplicates.BINS, near_duplicates.FINE):
+            order, edges = near_duplicates._ORDERS[bins], near_duplicates._EDGES[bins]
+            whole = np.hstack(order)
+            first = np.append(np.searchsorted(own, edges), len(own))
+            full = first[1:] > first[:-1]
+            slow = np.where(full, own[np.minimum(first[:-1], len(own) - 1)], np.uint64(0))
+            filled = np.flatnonzero(full)
+            for b in np.flatnonzero(~full):
+                donors = whole[b][full[whole[b]]]
+                slow[b] = slow[donors[0]] if len(donors) else slow[filled[np.searchsorted(filled, b * 7919 % bins) % len(filled)]]
+            looked.clear()
+            near_duplicates._ORDERS[bins] = [part.view(Order) for part in order]
+            try:
+                got = near_duplicates.minima(own, bins)
+            finally:
+                near_duplicates._ORDERS[bins] = order
+            assert (got == slow).all()
+            if n >= 600:
+                assert sum(looked) < 32 * bins
