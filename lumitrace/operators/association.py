@@ -287,9 +287,14 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
     images = images.withColumn("skyreg_group", group.cast("long"))
     # Images may be derived from all measurements; they are needed three times.
     images = materialize(images.select("image_id", "epoch", "skyreg_group", "ra", "dec", "beam_bmaj"), "images")
+    if images.isEmpty():
+        # Measurements need not be read to find that none is in an image.
+        measurements = measurements.limit(0)
     per_epoch = images.groupBy("skyreg_group", "epoch").agg(F.count(F.lit(1)).alias("_images"), F.max("beam_bmaj").alias("_beam"))
     info = images.select("image_id", "epoch", "skyreg_group", "ra", "dec")
-    needed = ["id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns"]
+    needed = ["id", "image_id", "ra", "dec", "weight_ew", "weight_ns"]
+    if settings.method == "deruiter":
+        needed += ["uncertainty_ew", "uncertainty_ns"]
     rows = measurements.select(*needed).join(info.drop("ra", "dec"), "image_id")
     rows = materialize(with_centre_distance(rows, info), "rows")
     parts = rows.groupBy("epoch").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_PART).alias("_parts"))
@@ -300,7 +305,7 @@ def prepare_rows(measurements: DataFrame, images: DataFrame, settings: RunSettin
         limit = F.lit(settings.radius / ARCSEC_PER_DEG)
     rows = rows.join(per_epoch, ["skyreg_group", "epoch"]).join(parts, "epoch")
     order = F.when(F.col("_images") > 1, F.col("ra")).otherwise(F.lit(0.0))
-    return rows.withColumns({"_limit": limit, "_ord": order}).drop("_images", "_beam", "dist_from_centre")
+    return rows.withColumns({"_limit": limit, "_ord": order}).drop("_images", "_beam", "dist_from_centre", "image_id")
 
 
 def associate(

@@ -29,13 +29,13 @@ def chord(radius_deg: float) -> float:
     return max(2 * math.sin(radius / 2) * (1 + 1e-9) + _MARGIN, MIN_CHORD)
 
 
-def cell_size(radius_deg: float) -> float:
-    """Cube edge for a search radius.
+def cell_size(radius_deg: float, chords: int = 4) -> float:
+    """Cube edge for a search radius, in chords of it.
 
     At four times the chord a ball around a row touches about two of the cubes
     that the sphere passes through, against eight at twice the chord.
     """
-    return 4 * chord(radius_deg)
+    return chords * chord(radius_deg)
 
 
 def with_cell(df: DataFrame, ra: str, dec: str, size: float) -> DataFrame:

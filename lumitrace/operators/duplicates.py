@@ -27,7 +27,6 @@ def drop_epoch_duplicates(measurements: DataFrame, limit_deg: float, by: tuple[s
     """
     # NULL distances come first.
     dist = F.coalesce("dist_from_centre", F.lit(-1.0))
-    rows = measurements.withColumn("_dist", dist)
     rivals = measurements.select(F.col("id").alias("_id2"), F.col("image_id").alias("_image2"), F.col("ra").alias("_ra2"), F.col("dec").alias("_dec2"), dist.alias("_dist2"), *by)
-    before = (F.col("_dist2") < F.col("_dist")) | ((F.col("_dist2") == F.col("_dist")) & (F.col("_id2") < F.col("id")))
-    return without_near(rows, rivals, limit_deg, (F.col("image_id") != F.col("_image2")) & before, by=by).drop("_dist")
+    before = (F.col("_dist2") < dist) | ((F.col("_dist2") == dist) & (F.col("_id2") < F.col("id")))
+    return without_near(measurements, rivals, limit_deg, (F.col("image_id") != F.col("_image2")) & before, by=by)

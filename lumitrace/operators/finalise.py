@@ -12,6 +12,9 @@ from lumitrace.operators.skyjoin import nearest_other
 from lumitrace.operators.stats import relation_counts, source_statistics
 from lumitrace.settings import RunSettings
 
+#: Columns of light curves that coverage and the final rows of sources are made of.
+CURVE_COLUMNS = ["source", "id", "image_id", "epoch", "datetime", "forced", "has_siblings", "ra", "dec", "weight_ew", "weight_ns", "compactness", "snr"]
+CURVE_COLUMNS += [f"flux_{k}{c}" for k in ("int", "peak") for c in ("", "_err", "_isl_ratio")]
 PAIR_COLUMNS = [f"{m}_abs_significant_max_{k}" for k in ("int", "peak") for m in ("vs", "m")]
 
 

@@ -14,7 +14,7 @@ from lumitrace.sources import catalogues
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, measurements_sql, run_images
 from lumitrace.sources.tables import RunStore, read_measurements, write_by_image
 from lumitrace.streaming.increments import Increments
-from lumitrace.workspace import new_path
+from lumitrace.workspace import materialize, new_path
 
 _READ = ["local_rms", "ra", "dec", "flux_peak", "flux_int", "flux_peak_err", "bmaj", "pa"]
 _READ_SQL = f"SELECT 'IMG' || image_id AS image, island_id, component_id, {rnds(*_READ)}, false AS has_siblings FROM ({COMPONENTS_SQL})"
@@ -111,7 +111,7 @@ def restored_version(spark, sf_dir):
 def arriving_images(spark, sf_dir):
     """Epochs arrive one after the other as files of a stream."""
     m = measurements(spark, sf_dir, 15).drop("source")
-    images = run_images(spark, sf_dir, 15)
+    images = materialize(run_images(spark, sf_dir, 15), "run-images")
     rows = m.select("id", "image_id", "ra", "dec", "uncertainty_ew", "uncertainty_ns", "weight_ew", "weight_ns", "epoch")
     folder, checkpoint = new_path(spark, "arriving"), new_path(spark, "stream")
     steps = Increments(spark, new_path(spark, "increments"), SETTINGS, width=30.0)

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
-from lumitrace.operators import association, coverage, finalise, forced, stats
+from lumitrace.operators import association, coverage, finalise, forced
 from lumitrace.operators.association import STATE_SCHEMA, Association
 from lumitrace.operators.patches import WIDTH, patch, patch_list, patches_within
 from lumitrace.operators.ranking import dense_index
@@ -148,7 +148,9 @@ class Increments:
         if taken:
             old = taken[0].drop("source", "d2d", "dr").dropDuplicates(["id"])
             curves = curves.unionByName(result.associations.withColumnRenamed("meas_id", "id").join(old, "id").select(*curves.columns))
-        curves = materialize(curves, "curves")
+        if extra is not None:
+            # Read several times.
+            curves = materialize(curves, "curves")
         homes = after.select("source", F.col("home").alias("patch"))
         commit = Commit(batch, dict(last.copies) if last else {}, {"next_id": result.next_id, "next_forced": last.numbers["next_forced"] if last else 1})
 
@@ -192,7 +194,9 @@ class Increments:
         if last:
             homes = patch_list(state, "home")
             history = self._curves(last, homes).join(state.select("source"), "source", "left_semi")
-            curves = materialize(history.unionByName(added), "curves")
+            # The whole history is written, so only what is made use of here.
+            used = [c for c in added.columns if c in finalise.CURVE_COLUMNS]
+            curves = materialize(history.select(*used).unionByName(added.select(*used)), "curves")
             edges = relations.unionByName(self.store.added("relations", _RELATIONS, last, homes)).distinct()
             done = self.store.plain("images", T.StructType([T.StructField("image_id", T.LongType())]), last)
         so_far = arrived if done is None else images.join(done, "image_id", "left_semi").unionByName(arrived.select(*images.columns))
@@ -207,7 +211,7 @@ class Increments:
         usable = materialize(forced.clean_fits(extra.fits).join(wanted.select("source", "image_id"), ["source", "image_id"], "left_semi"), "usable")
         first = forced.island_maxima(added, arrived)
         known = islands.unionByName(first.select(*_ISLANDS.fieldNames())).groupBy("image_id").agg(F.min("prefix").alias("prefix"), F.max("max_id").alias("max_id"))
-        rows = forced.complete_forced(usable, stats.average_position(seen), so_far, known, settings, extra.run_id)
+        rows = forced.complete_forced(usable, wanted.select("source", "wavg_ra", "wavg_dec").distinct(), so_far, known, settings, extra.run_id)
         rows = dense_index(rows, ["image_id", "source"], "id", commit.numbers["next_forced"]).withColumn("id", -F.col("id"))
         rows = materialize(rows.join(so_far.select("image_id", "epoch", "datetime"), "image_id"), "forced")
         commit.numbers["next_forced"] += rows.count()

@@ -311,3 +311,31 @@ def test_region_groups(spark):
 def test_unknown_method_is_refused():
     with pytest.raises(ValueError):
         RunSettings(method="unknown")
+
+
+def test_rivals_are_copied_seldom(spark, monkeypatch):
+    """Rivals of an epoch's rows are copied into little more than one cube each."""
+    from lumitrace.operators import skyjoin
+
+    copies, touched = [], skyjoin.with_cells_touched
+    monkeypatch.setattr(skyjoin, "with_cells_touched", lambda *args, **kw: copies.append(touched(*args, **kw)) or copies[-1])
+    rng = random.Random(8)
+    rows = [(i, i % 3, rng.uniform(0, 360), rng.uniform(-60, 60), rng.random(), 1) for i in range(2000)]
+    df = frame(spark, rows, "id long, image_id long, ra double, dec double, dist_from_centre double, epoch long")
+    drop_epoch_duplicates(df, 2.5 / 3600)
+    assert copies[0].count() < 1.5 * len(rows)
+
+
+def test_without_new_images_no_measurement_is_read(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = frame(spark, [meas(i, 1, 10.0 + i, 0.0) for i in range(20)], MEAS)
+    images = images_of(spark, 1)
+    done = A.associate(plain, images, RunSettings(method="basic"))
+    again = A.associate(plain.mapInArrow(count, MEAS), images.filter("false"), RunSettings(method="basic"), done)
+    assert again is done and seen.value == 0
