@@ -13,6 +13,7 @@ from lumitrace.operators.pixels import sample_noise
 from lumitrace.operators.skyjoin import region_join
 from lumitrace.operators.stats import average_position
 from lumitrace.sources.pixel_tiles import PixelTiles
+from lumitrace.workspace import materialize
 
 
 def ideal_images(positions: DataFrame, images: DataFrame, regions: DataFrame) -> DataFrame:
@@ -24,6 +25,8 @@ def ideal_images(positions: DataFrame, images: DataFrame, regions: DataFrame) ->
     # One image per region and epoch is enough, so reduce before the join.
     offers = images.groupBy("skyreg_id", "epoch").agg(F.min(F.struct("datetime", "image_id")).alias("_image"))
     discs = regions.select(F.col("id").alias("skyreg_id"), "centre_ra", "centre_dec", "xtr_radius")
+    # A region without an image offers nothing.
+    discs = materialize(discs.join(images.select("skyreg_id").distinct(), "skyreg_id", "left_semi"), "regions")
     covered = region_join(positions, discs, row_pos=("wavg_ra", "wavg_dec")).select("source", "skyreg_id", "sep")
     nearest = covered.join(offers, "skyreg_id").groupBy("source", "epoch").agg(F.min(F.struct("sep", "skyreg_id", "_image")).alias("_best"))
     return nearest.select("source", "epoch", F.col("_best._image.image_id").alias("image_id"), F.col("_best._image.datetime").alias("datetime"))
@@ -43,7 +46,7 @@ def missing_images(detections: DataFrame, images: DataFrame, regions: DataFrame)
     was seen in), detection_time, in_primary (whether its first ideal image
     saw it), wavg_ra, wavg_dec.
     """
-    positions = average_position(detections)
+    positions = materialize(average_position(detections), "positions")
     ideal = ideal_images(positions, images, regions)
     seen = detections.groupBy("source", "image_id").agg(F.min("epoch").alias("epoch"))
     times = images.select("image_id", "datetime")

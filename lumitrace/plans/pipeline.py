@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumitrace.operators import association, clean, components, coverage, finalise, forced, lifecycle, stats
+from lumitrace.operators import association, clean, components, coverage, finalise, forced, lifecycle
 from lumitrace.operators.ranking import dense_index
 from lumitrace.settings import RunSettings
 from lumitrace.sources.tables import RunStore, write_by_image
@@ -52,7 +52,8 @@ def _forced_rows(
     wanted = forced.forced_candidates(missing, curves, images, settings.monitor_min_sigma)
     usable = forced.clean_fits(fits).join(wanted.select("source", "image_id"), ["source", "image_id"], "left_semi")
     islands = forced.island_maxima(measurements, images)
-    positions = stats.average_position(curves)
+    # Those of the sources that `missing` was found for.
+    positions = wanted.select("source", "wavg_ra", "wavg_dec").distinct()
     rows = forced.complete_forced(usable, positions, images, islands, settings, run_id)
     return materialize(lifecycle.assign_ids(rows, measurements.select("id"), ["image_id", "source"]), "forced")
 
@@ -96,7 +97,9 @@ def run(
         measurements = forced.append_forced(measurements, old_forced)
     result = association.associate(measurements.filter("NOT forced"), todo, settings, start)
 
-    curves = materialize(finalise.light_curves(result.associations, measurements, images), "curves")
+    # Of all measurements, only what the tables below are made of travels.
+    used = [c for c in measurements.columns if c in finalise.CURVE_COLUMNS]
+    curves = materialize(finalise.light_curves(result.associations, measurements.select(*used), images), "curves")
     missing = materialize(coverage.missing_images(curves, images, regions), "missing")
     if wcs is not None and noise_pixels is not None:
         new = coverage.new_sources(missing, curves, images, wcs, noise_pixels, settings.new_source_min_sigma, settings.monitor_edge_buffer)
@@ -111,7 +114,7 @@ def run(
             gaps = forced.candidates_when_adding(missing, known, prior["sources"].select("source"))
         extra = _forced_rows(gaps, curves, measurements, images, fits, settings, run_id)
         times = images.select("image_id", "epoch", "datetime")
-        curves = materialize(forced.append_forced(curves, extra.join(times, "image_id")), "curves")
+        curves = forced.append_forced(curves, materialize(extra.join(times, "image_id"), "forced-curves"))
         measurements = forced.append_forced(measurements, extra)
         links = extra.select("source", F.col("id").alias("meas_id"), F.lit(0.0).alias("d2d"), F.lit(0.0).alias("dr"))
         associations = associations.unionByName(links)

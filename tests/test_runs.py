@@ -162,3 +162,17 @@ def test_manifests_and_settings(spark):
     assert S.rerun_mode(before, before) == "same"
     assert S.rerun_mode(before, kv([("inputs.image", "a,b"), ("method", "basic")])) == "add_images"
     assert S.rerun_mode(before, kv([("inputs.image", "a,b"), ("method", "advanced")])) == "full_rerun"
+
+
+def test_only_what_is_made_use_of_travels(spark, monkeypatch):
+    """Light curves have no columns that nothing is made of; regions without images are not met with sources."""
+    from lumitrace.operators import coverage
+
+    seen, region_join, missing_images = {}, coverage.region_join, coverage.missing_images
+    monkeypatch.setattr(coverage, "region_join", lambda rows, discs, **kw: seen.update(regions=discs.count()) or region_join(rows, discs, **kw))
+    monkeypatch.setattr(coverage, "missing_images", lambda curves, *rest: seen.update(curves=curves.columns) or missing_images(curves, *rest))
+    bare = frame(spark, [(9, 150.0, -30.0, 5.0)], "id long, centre_ra double, centre_dec double, xtr_radius double")
+    tables = pipeline.run(measurements(spark), images_of(spark, [1, 2, 3, 4]), regions(spark).unionByName(bare), RunSettings(method="basic"))
+    assert tables["sources"].count() == 5
+    assert seen["regions"] == 2
+    assert "island_id" not in seen["curves"] and "name" not in seen["curves"]
