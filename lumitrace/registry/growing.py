@@ -1,9 +1,11 @@
 """Whole runs with sampled noise, new sources and forced rows: in one go, and growing with the images that arrive."""
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from lumitrace.functions.display import round_to
 from lumitrace.operators import association
 from lumitrace.plans import pipeline
 from lumitrace.registry.associating import SETTINGS, chain_sql, two_epochs_sql
@@ -15,7 +17,7 @@ from lumitrace.settings import RunSettings
 from lumitrace.sources.driver_tables import key_dec, key_ra, measurements, run_images, table
 from lumitrace.sources.tables import RunStore
 from lumitrace.streaming.increments import Coverage, Increments
-from lumitrace.workspace import new_path
+from lumitrace.workspace import materialize, new_path
 
 DAYS = 10
 # Noise images: SIN, SIDE pixels of SCALE degrees a side.
@@ -27,7 +29,8 @@ def _run_tables(spark, sf_dir):
     """Measurements, images of five sky regions, and what coverage needs."""
     m = measurements(spark, sf_dir, DAYS).drop("source", "epoch", "datetime").withColumn("forced", F.lit(False))
     region = F.col("image_id") % 10
-    images = run_images(spark, sf_dir, DAYS).withColumns({"skyreg_id": region, "ra": key_ra(region), "dec": key_dec(region)})
+    # Images and pixels are few, and derived from whole tables.
+    images = materialize(run_images(spark, sf_dir, DAYS).withColumns({"skyreg_id": region, "ra": key_ra(region), "dec": key_dec(region)}), "run-images")
     number = lambda v: F.lit(float(v))
     wcs = images.select(
         "image_id", F.lit("SIN").alias("projection"), F.col("ra").alias("crval1"), F.col("dec").alias("crval2"), number(16).alias("crpix1"), number(16).alias("crpix2"),
@@ -37,7 +40,7 @@ def _run_tables(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
         (10 * (1 + k % 3) + 1 + part % 5).alias("image_id"), ((k * 7 + F.col("l_linenumber")) % SIDE).alias("i"), ((part * 3 + F.floor(k / SIDE)) % SIDE).alias("j"), (F.col("l_quantity").cast("double") / 1e5).alias("value")
     )
-    pixels = lines.groupBy("image_id", "i", "j").agg(F.min("value").alias("value"))
+    pixels = materialize(lines.groupBy("image_id", "i", "j").agg(F.min("value").alias("value")), "pixels")
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("long").alias("source"), (10 * (1 + F.col("o_orderkey") % 3) + 1 + F.floor(F.col("o_orderkey") / 3) % 5).alias("image_id"), (F.col("o_totalprice").cast("double") / 1e7).alias("price")
     )
@@ -77,8 +80,9 @@ _RUN_SQL = f"""WITH {chain_sql(DAYS, centre=_CENTRE)},
 
 
 def _final(sources):
-    shown = rounded(sources.select("source", "n_meas", "n_meas_forced", "n_rel", "new", "new_high_sigma", "wavg_ra", "wavg_dec", "max_flux_int", "v_peak", "n_neighbour_dist"), 5)
-    return shown.join(rounded(sources.select("source", "avg_flux_peak"), 10), "source").join(rounded(sources.select("source", "eta_peak"), 4), "source")
+    # In one pass: joins of parts of a table work it out once for each part.
+    digits = dict.fromkeys(["new_high_sigma", "wavg_ra", "wavg_dec", "max_flux_int", "v_peak", "n_neighbour_dist"], 5) | {"avg_flux_peak": 10, "eta_peak": 4}
+    return sources.select("source", "n_meas", "n_meas_forced", "n_rel", "new", *[round_to(F.col(name), n).alias(name) for name, n in digits.items()])
 
 
 @query("monitored_run", _RUN_SQL)
@@ -92,6 +96,8 @@ def monitored_run(spark, sf_dir):
 def grown(spark, sf_dir, epochs_by_batch):
     """The run with its epochs arriving in batches."""
     m, images, extra = _run_tables(spark, sf_dir)
+    # Every batch looks for its fits among all.
+    extra = replace(extra, fits=materialize(extra.fits, "fits"))
     steps = Increments(spark, new_path(spark, "grown"), MONITORED, width=30.0)
     for batch, wanted in enumerate(epochs_by_batch):
         rows = m.join(images.filter(wanted).select("image_id"), "image_id", "left_semi")
@@ -111,7 +117,7 @@ _TWO = f"{two_epochs_sql('basic')} SELECT CAST(source AS BIGINT) AS source, meas
 def _stored_run(spark, sf_dir):
     """Tables of a run over the first of two epochs, and all measurements and images."""
     m = measurements(spark, sf_dir, 15).drop("source").withColumn("forced", F.lit(False))
-    images = run_images(spark, sf_dir, 15)
+    images = materialize(run_images(spark, sf_dir, 15), "run-images")
     first = images.filter("epoch = 1")
     done = association.associate(m.join(first.select("image_id"), "image_id", "left_semi"), first, SETTINGS)
     store = RunStore(spark, new_path(spark, "stored-run"))
