@@ -162,7 +162,8 @@ def signatures(docs: DataFrame, size: int = SIZE, among: DataFrame | None = None
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """set_id and text of the documents named in `wanted` (set_id, doc_id, text_key); others leave before any shuffle."""
     texts = frames.among(docs, wanted)
-    return frames.on_key(wanted, texts, ["doc_id", "text_key"], "inner").select("set_id", "text")
+    # A shuffle lies between the Python that picks rows and the one that reads them: executors keep every worker that their tasks ever used at once.
+    return frames.on_key(wanted.hint("shuffle_hash"), texts, ["doc_id", "text_key"], "inner").select("set_id", "text")
 
 
 def looks(docs: DataFrame, wanted: DataFrame, size: int = SIZE) -> DataFrame:
@@ -337,7 +338,8 @@ def _labelled(docs: DataFrame, size: int, threshold: int, among: DataFrame | Non
     centres = members.join(met, "set_id").groupBy("bucket").agg(F.max(F.struct("met", "set_id")).alias("c")).select("bucket", "c.set_id")
     stars = members.select("bucket", F.col("set_id").alias("a")).join(centres.withColumnRenamed("set_id", "b"), "bucket").filter("a <> b").select("a", "b").distinct()
     side = {c: seen.select(F.col("set_id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("fine", "n", "whole")]) for c in "ab"}
-    judge = F.arrow_udf(_judged(threshold), "int")
+    # Else the filter on what is judged has every pair judged a second time, by a second worker.
+    judge = F.arrow_udf(_judged(threshold), "int").asNondeterministic()
     judged = stars.join(side["a"], "a").join(side["b"], "b").select("a", "b", judge("fine_a", "fine_b", "n_a", "n_b", "whole_a", "whole_b").alias("judged"))
     labels = _merged(links(docs, sets, judged, size, threshold))
 

@@ -280,3 +280,27 @@ def test_empty_bins_look_at_few_places():
             assert (got == slow).all()
             if n >= 600:
                 assert sum(looked) < 32 * bins
+
+
+def python_steps(plan):
+    """Python evaluations that one task of a plan runs at once: most in its last stage, and most in any stage."""
+    below = [python_steps(plan.children().apply(i)) for i in range(plan.children().size())]
+    own = plan.nodeName() in ("ArrowEvalPython", "MapInArrow")
+    here = own + (max if plan.nodeName() == "Union" else sum)([h for h, _ in below] or [0])
+    most = max([here, *[m for _, m in below]])
+    return (0, most) if "Exchange" in plan.nodeName() else (here, most)
+
+
+def test_no_task_runs_two_python_evaluations(spark, monkeypatch):
+    seen, write = {}, near_duplicates.materialize
+
+    def noted(df, label, **options):
+        plan = df._jdf.queryExecution().executedPlan()
+        plan = plan.initialPlan() if "Adaptive" in plan.nodeName() else plan
+        seen[label] = max(seen.get(label, 0), python_steps(plan)[1])
+        return write(df, label, **options)
+
+    monkeypatch.setattr(near_duplicates, "materialize", noted)
+    near_duplicates.components(docs(spark, near_rows())).collect()
+    assert seen["looks"] == 1 and seen["judged"] == 1
+    assert max(seen.values()) == 1, seen
