@@ -68,20 +68,22 @@ def _with_bounds(measurements: DataFrame, kinds: tuple[str, ...], min_abs_vs: fl
     return rows.withColumns(flags)
 
 
-def _ends(rows: DataFrame, kind: str, keep: list[str]) -> DataFrame:
-    """Brighter and fainter ends joined per source.
+def _ends(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Brighter and fainter ends of either flux type joined per source, with their flags.
 
-    Only sources with both kinds of ends are kept. Where a source has many
-    brighter ends left, they are split over salts and its fainter ends copied.
+    Both flux types share one join, so a row travels once a side. Where a
+    source has many brighter ends left, they are split over salts and its
+    fainter ends copied.
     """
-    left = rows.groupBy("source").agg(F.count_if(f"_high_{kind}").alias("_highs"), F.count_if(f"_low_{kind}").alias("_lows"))
-    left = left.filter("_highs > 0 AND _lows > 0").select("source", F.ceil(F.col("_highs") / ROWS_PER_SALT).alias("_salts"))
-    rows = rows.join(left, "source")
-    high = rows.filter(f"_high_{kind}").withColumn("_salt", F.pmod(F.xxhash64("id"), "_salts"))
-    low = rows.filter(f"_low_{kind}").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
-    high = high.select("source", "_salt", *[F.col(c).alias(f"{c}_h") for c in keep])
-    low = low.select("source", "_salt", *[F.col(c).alias(f"{c}_l") for c in keep])
-    return high.join(low, ["source", "_salt"]).drop("_salt")
+    high, low = "_high_peak OR _high_int", "_low_peak OR _low_int"
+    # Only a source of many rows can have many ends: at most one in ROWS_PER_SALT rows is in this list.
+    split = rows.filter(F.col("_n") > ROWS_PER_SALT).groupBy("source").agg(F.ceil(F.count_if(F.expr(high)) / ROWS_PER_SALT).alias("_salts"))
+    rows = rows.join(F.broadcast(split.filter("_salts > 1")), "source", "left").withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long")))
+    highs = rows.filter(high).withColumn("_salt", F.pmod(F.xxhash64("id"), "_salts"))
+    lows = rows.filter(low).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
+    highs = highs.select("source", "_salt", "_high_peak", "_high_int", *[F.col(c).alias(f"{c}_h") for c in keep])
+    lows = lows.select("source", "_salt", "_low_peak", "_low_int", *[F.col(c).alias(f"{c}_l") for c in keep])
+    return highs.join(lows, ["source", "_salt"]).drop("_salt")
 
 
 def significant_pairs(measurements: DataFrame, min_abs_vs: float = DEFAULTS["min_abs_vs"], min_abs_m: float = 0.0) -> DataFrame:
@@ -96,21 +98,17 @@ def significant_pairs(measurements: DataFrame, min_abs_vs: float = DEFAULTS["min
     rows = _with_bounds(measurements.select("source", *keep), ("peak", "int"), min_abs_vs)
     # Few rows are left and each is read several times below.
     rows = materialize(rows.filter("_high_peak OR _low_peak OR _high_int OR _low_int"), "ends")
-    found = {}
-    for kind in ("peak", "int"):
-        ends = _ends(rows, kind, keep)
-        vs = vs_metric(f"flux_{kind}_h", f"flux_{kind}_l", f"flux_{kind}_err_h", f"flux_{kind}_err_l")
-        m = m_metric(f"flux_{kind}_h", f"flux_{kind}_l")
-        ends = ends.filter((vs >= min_abs_vs) & ((F.abs(m) >= min_abs_m) if min_abs_m > 0 else F.lit(True)))
-        # A pair significant in both flux types must be listed once: the
-        # integrated pass leaves out what the peak pass has found.
-        if kind == "int":
-            vs_p = F.abs(vs_metric("flux_peak_h", "flux_peak_l", "flux_peak_err_h", "flux_peak_err_l"))
-            m_p = F.abs(m_metric("flux_peak_h", "flux_peak_l"))
-            by_peak = (vs_p >= min_abs_vs) & ((m_p >= min_abs_m) if min_abs_m > 0 else F.lit(True))
-            ends = ends.filter(~F.coalesce(by_peak, F.lit(False)))
-        found[kind] = ends
-    both = found["peak"].unionByName(found["int"])
+
+    def listed(kind: str, size=lambda x: x) -> Column:
+        vs = size(vs_metric(f"flux_{kind}_h", f"flux_{kind}_l", f"flux_{kind}_err_h", f"flux_{kind}_err_l"))
+        m = F.abs(m_metric(f"flux_{kind}_h", f"flux_{kind}_l"))
+        return (vs >= min_abs_vs) & ((m >= min_abs_m) if min_abs_m > 0 else F.lit(True))
+
+    # A pair significant in both flux types, whose ends may be the other way
+    # round in the second, must be listed once: as peak flux has it.
+    peak = F.col("_high_peak") & F.col("_low_peak") & listed("peak")
+    integrated = F.col("_high_int") & F.col("_low_int") & listed("int") & ~F.coalesce(listed("peak", F.abs), F.lit(False))
+    both = _ends(rows, keep).filter(peak | integrated)
     first = F.struct("datetime_h", "id_h") < F.struct("datetime_l", "id_l")
     sides = {}
     for c in keep:
