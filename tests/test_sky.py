@@ -102,6 +102,20 @@ def test_joins_dealt_by_pairs(spark, radius, monkeypatch):
     assert parts.agg(F.sum("n")).first()[0] == left.count() * right.count() and parts.count() > 100
 
 
+def test_rows_sent_to_crowded_cubes_grow_with_the_tables(spark, monkeypatch):
+    """Not with their pairs; and copies of rows that lie in one file are made by many tasks."""
+    for name, value in (("PAIRS_PER_PART", 1000), ("PARTS", 16), ("COPIES_PER_TASK", 100)):
+        monkeypatch.setattr(skyjoin, name, value, raising=False)
+    for n in (300, 900):
+        filed = spark.range(n).select("id", F.lit(1).alias("cube"))
+        copied = spark.range(0, n, 1, 1).select(F.col("id").alias("id_2"), F.lit(1).alias("cube"))
+        filed, copied, _ = skyjoin._dealt(filed, copied, ["cube"])
+        assert copied.count() <= 6 * n and filed.count() <= 6 * n
+        assert copied.rdd.getNumPartitions() >= n // 100
+        pairs = filed.join(copied, ["cube", "_along", "_across"]).groupBy("id", "id_2").count()
+        assert pairs.count() == n * n and pairs.agg(F.max("count")).first()[0] == 1
+
+
 def test_nearest_join_through_crowded_cubes(spark, monkeypatch):
     monkeypatch.setattr(skyjoin, "CROWDED", 5)
     left, right = tables(spark)
